@@ -1,0 +1,104 @@
+"""A history dimension that is kept up to date from a stream of changes.
+
+Window functions cannot run on a stream, so each micro-batch refreshes, as a batch job, the history of the keys it
+touched. Layout below ``path``::
+
+    log/run=<n>/bucket=<b>/        the changes of a run
+    history/run=<n>/bucket=<b>/    full history of every bucket the run touched
+    current/run=<n>/               which buckets the run replaced
+
+A key always falls into the same bucket. A run writes only its own folders and its ``current`` entry last, so a run that
+died is repeated under its number without trace and readers never see half of one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from tidemark.operators.scd import END, START, scd2
+from tidemark.sources.tables import read_or_empty
+
+_CURRENT = "run bigint, bucket int"
+
+
+@dataclass(frozen=True)
+class HistoryStore:
+    path: str
+    keys: tuple[str, ...]
+    sequence_by: tuple[str, ...]
+    track: tuple[str, ...]
+    buckets: int = 64
+
+    def apply(self, changes: DataFrame, run: int) -> None:
+        """Add the changes of one run and refresh the history of their keys."""
+        spark = changes.sparkSession
+        schema = _nullable(changes.schema)
+        bucketed = changes.withColumn("bucket", F.pmod(F.hash(*self.keys), F.lit(self.buckets)))
+        self._write(bucketed, f"{self.path}/log/run={run}")
+
+        arrived = self._log(spark, schema).filter(F.col("run") == run)
+        touched = [r["bucket"] for r in arrived.select("bucket").distinct().collect()]
+        if not touched:
+            return
+        touched_keys = arrived.select(*self.keys).distinct()
+        log = self._log(spark, schema).filter((F.col("run") <= run) & F.col("bucket").isin(touched))
+        affected = self._matching(log, touched_keys, "left_semi").drop("run", "bucket")
+        fresh = scd2(affected, self.keys, self.sequence_by, self.track)
+        before = self._read(spark, schema, run - 1, touched)
+        kept = self._matching(before, touched_keys, "left_anti")
+        refreshed = fresh.unionByName(kept).withColumn(
+            "bucket", F.pmod(F.hash(*self.keys), F.lit(self.buckets))
+        )
+        self._write(refreshed, f"{self.path}/history/run={run}")
+        done = spark.createDataFrame([(b,) for b in touched], "bucket int")
+        done.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/current/run={run}")
+
+    def sink(self) -> Callable[[DataFrame, int], None]:
+        """For ``writeStream.foreachBatch``: the batch number is the run number."""
+        return lambda batch, number: self.apply(batch, number)
+
+    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        """The history as of the last complete run; ``schema`` is that of the changes."""
+        return self._read(spark, _nullable(schema), None, None)
+
+    def _read(
+        self, spark: SparkSession, schema: StructType, until: int | None, only: list[int] | None
+    ) -> DataFrame:
+        moment = schema[self.sequence_by[0]].dataType
+        shape = StructType([*schema.fields]).add(START, moment).add(END, moment)
+        entries = read_or_empty(spark, f"{self.path}/current", _CURRENT)
+        if until is not None:
+            entries = entries.filter(F.col("run") <= until)
+        if only is not None:
+            entries = entries.filter(F.col("bucket").isin(only))
+        # One row per bucket, so the list is as short as the number of buckets.
+        newest = entries.groupBy("bucket").agg(F.max("run").alias("run")).collect()
+        root = f"{self.path}/history"
+        folders = [f"{root}/run={r['run']}/bucket={r['bucket']}" for r in newest]
+        if not folders:
+            return spark.createDataFrame([], shape)
+        return spark.read.schema(shape).parquet(*folders)
+
+    def _log(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        wide = StructType([*schema.fields]).add("run", "long").add("bucket", "integer")
+        return spark.read.schema(wide).parquet(f"{self.path}/log")
+
+    def _matching(self, df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        condition = F.lit(True)
+        for k in self.keys:
+            condition = condition & df[k].eqNullSafe(keys[k])
+        return df.join(keys, condition, how)
+
+    @staticmethod
+    def _write(df: DataFrame, folder: str) -> None:
+        # Rebalancing gathers a bucket into few files and, unlike a plain repartition, splits an oversized one.
+        df.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(folder)
+
+
+def _nullable(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
