@@ -25,6 +25,7 @@ def local_session(cpus: int | str = "*", app: str = "tidemark", **extra: str) ->
     conf = {
         **RECOMMENDED_CONF,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": partitions,
         "spark.driver.memory": "8g",
         **extra,
