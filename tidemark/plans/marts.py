@@ -75,18 +75,23 @@ def top_creators(
 ) -> DataFrame:
     """Events and listening time per creator, reached from the facts through the item, most events first.
 
-    The facts are summed per item before any join, so the joins and the second sum see one row per item.
+    The facts are summed per item before the first join and per creator before the second, so no join sees more than
+    one row per key from that side, however hot the key. The last grouping only matters for a creator listed twice; it
+    finds the rows partitioned by creator already.
     """
     per_item = count_per_key(fact, item_key, event, seconds)
     bridge = items.select(item_key, creator_key)
     labelled = creators.select(creator_key, *labels)
-    sums = (
-        per_item.join(bridge, item_key)
-        .join(labelled, creator_key)
-        .groupBy(creator_key, *labels)
-        .agg(F.sum("__rows").alias("total_streams"), F.sum("__total").alias("total_listen_duration_sec"))
+    sums = [F.sum("__rows").alias("__rows"), F.sum("__total").alias("__total")]
+    per_creator = per_item.join(bridge, item_key).groupBy(creator_key).agg(*sums)
+    totals = per_creator.join(labelled, creator_key).groupBy(creator_key, *labels).agg(*sums)
+    result = totals.select(
+        creator_key,
+        *labels,
+        F.col("__rows").alias("total_streams"),
+        F.col("__total").alias("total_listen_duration_sec"),
     )
-    return ranked(sums, "total_streams", [creator_key, *labels], n=n)
+    return ranked(result, "total_streams", [creator_key, *labels], n=n)
 
 
 def top_creators_minutes(top: DataFrame, keys: Sequence[str] = ("artist_id",), n: int = 10) -> DataFrame:

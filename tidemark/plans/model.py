@@ -14,20 +14,47 @@ from tidemark.operators.star import StarEntry, star_join
 from tidemark.plans.marts import daily_metrics, top_creators
 from tidemark.sources.control import TableSpec
 
+
+def _columns(**kinds: str) -> StructType:
+    schema = StructType()
+    for name, kind in kinds.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 # Source tables, columns and types.
-USER_COLUMNS = (
-    "user_id int, user_name string, country string, subscription_type string, "
-    "start_date date, end_date date, updated_at timestamp"
+USER_COLUMNS = _columns(
+    user_id="integer",
+    user_name="string",
+    country="string",
+    subscription_type="string",
+    start_date="date",
+    end_date="date",
+    updated_at="timestamp",
+)
+ARTIST_COLUMNS = _columns(
+    artist_id="integer", artist_name="string", genre="string", country="string", updated_at="timestamp"
+)
+TRACK_COLUMNS = _columns(
+    track_id="integer",
+    track_name="string",
+    artist_id="integer",
+    album_name="string",
+    duration_sec="integer",
+    release_date="date",
+    updated_at="timestamp",
 )
-ARTIST_COLUMNS = "artist_id int, artist_name string, genre string, country string, updated_at timestamp"
-TRACK_COLUMNS = (
-    "track_id int, track_name string, artist_id int, album_name string, "
-    "duration_sec int, release_date date, updated_at timestamp"
+DATE_COLUMNS = _columns(
+    date_key="integer", date="date", day="integer", month="integer", year="integer", weekday="string"
 )
-DATE_COLUMNS = "date_key int, date date, day int, month int, year int, weekday string"
-FACT_COLUMNS = (
-    "stream_id bigint, user_id int, track_id int, date_key int, "
-    "listen_duration int, device_type string, stream_timestamp timestamp"
+FACT_COLUMNS = _columns(
+    stream_id="long",
+    user_id="integer",
+    track_id="integer",
+    date_key="integer",
+    listen_duration="integer",
+    device_type="string",
+    stream_timestamp="timestamp",
 )
 
 # Names, predicates and actions of the quality rules.
@@ -52,7 +79,7 @@ MODEL: dict[str, TableSpec] = {
         TableSpec(
             "DimUser",
             "updated_at",
-            columns=StructType.fromDDL(USER_COLUMNS),
+            columns=USER_COLUMNS,
             keys=("user_id",),
             sequence=("updated_at",),
             dedupe="version",
@@ -63,7 +90,7 @@ MODEL: dict[str, TableSpec] = {
         TableSpec(
             "DimTrack",
             "updated_at",
-            columns=StructType.fromDDL(TRACK_COLUMNS),
+            columns=TRACK_COLUMNS,
             keys=("track_id",),
             sequence=("updated_at",),
             dedupe="version",
@@ -73,7 +100,7 @@ MODEL: dict[str, TableSpec] = {
         TableSpec(
             "DimDate",
             "date",
-            columns=StructType.fromDDL(DATE_COLUMNS),
+            columns=DATE_COLUMNS,
             keys=("date_key",),
             sequence=("date",),
             dedupe="version",
@@ -81,7 +108,7 @@ MODEL: dict[str, TableSpec] = {
         TableSpec(
             "DimArtist",
             "updated_at",
-            columns=StructType.fromDDL(ARTIST_COLUMNS),
+            columns=ARTIST_COLUMNS,
             keys=("artist_id",),
             sequence=("updated_at",),
             dedupe="version",
@@ -90,7 +117,7 @@ MODEL: dict[str, TableSpec] = {
         TableSpec(
             "FactStream",
             "stream_timestamp",
-            columns=StructType.fromDDL(FACT_COLUMNS),
+            columns=FACT_COLUMNS,
             keys=("stream_id",),
             sequence=("stream_timestamp",),
             dedupe="unseen",

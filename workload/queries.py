@@ -4,7 +4,7 @@ The tables stand in for the published model as follows: ``events`` and ``lineite
 ``part`` for items, ``supplier`` with ``nation`` for creators, and ``events`` keyed by user for a change feed.
 
 Measures are doubles with two decimals there. They are summed as decimals, so that a sum does not depend on the order of
-its addends, and shown as doubles.
+its addends, and shown as doubles. Eight digits hold every value, and Spark adds decimals that short as integers.
 """
 
 from __future__ import annotations
@@ -237,7 +237,7 @@ def _creators(spark: SparkSession, sf_dir: str, n: int | None) -> DataFrame:
     facts = _table(spark, sf_dir, "lineitem").select(
         F.col("l_linenumber").alias("stream_id"),
         F.col("l_orderkey").alias("track_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("listen_duration"),
+        F.col("l_extendedprice").cast("decimal(8,2)").alias("listen_duration"),
     )
     items = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("track_id"), F.col("o_custkey").alias("artist_id")
@@ -268,7 +268,7 @@ def top_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("stream_id"),
         F.col("l_suppkey").alias("track_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("listen_duration"),
+        F.col("l_extendedprice").cast("decimal(8,2)").alias("listen_duration"),
     )
     suppliers = _table(spark, sf_dir, "supplier")
     nations = _table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("genre"))
@@ -433,7 +433,7 @@ def stream_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         sink = available_now(_event_stream(spark, sf_dir), fresh_dir(spark, "stream-facts-checkpoint"))
         await_all([sink.foreachBatch(lambda batch, _: append_unseen(batch, path, ["event_id"], "ts")).start()])
-    return spark.read.schema(_events(spark, sf_dir).schema).parquet(path)
+    return spark.read.parquet(path).select(*_EVENT_COLUMNS)
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
