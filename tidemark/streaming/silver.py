@@ -45,7 +45,10 @@ def append_unseen(batch: DataFrame, path: str, keys: Sequence[str], event_time:
     if path_exists(spark, path):
         days = [r[DAY] for r in batch.select(F.to_date(event_time).alias(DAY)).distinct().collect()]
         shape = StructType([batch.schema[c] for c in identity]).add(DAY, "date")
-        seen = spark.read.schema(_nullable(shape)).parquet(path).filter(F.col(DAY).isin(days))
+        touched = F.col(DAY).isin([d for d in days if d is not None])
+        if None in days:
+            touched = touched | F.col(DAY).isNull()
+        seen = spark.read.schema(_nullable(shape)).parquet(path).filter(touched)
         same = [fresh[c].eqNullSafe(seen[c]) for c in [*identity, DAY]]
         fresh = fresh.join(seen, same, "left_anti")
     fresh.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
