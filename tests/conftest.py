@@ -11,7 +11,8 @@ from tidemark.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")
-    session = local_session(4, app="tests", **{"spark.sql.warehouse.dir": str(warehouse)})
+    conf = {"spark.sql.warehouse.dir": str(warehouse), "spark.sql.shuffle.partitions": "3"}
+    session = local_session(8, app="tests", **conf)
     yield session
     session.stop()
 
