@@ -5,7 +5,17 @@ from conftest import values
 
 from tidemark.plans.cycle import run_cycle
 from tidemark.plans.ingest import LakePaths
-from tidemark.plans.model import ARTIST_COLUMNS, DATE_COLUMNS, FACT_COLUMNS, MODEL, TRACK_COLUMNS, USER_COLUMNS, star_query
+from tidemark.plans.model import (
+    ARTIST_COLUMNS,
+    DATE_COLUMNS,
+    DIMENSIONS,
+    FACT_COLUMNS,
+    MODEL,
+    TRACK_COLUMNS,
+    USER_COLUMNS,
+    dimension,
+    star_query,
+)
 from tidemark.streaming.files import stream_files
 
 T0 = datetime(2025, 9, 1, 12)
@@ -68,7 +78,7 @@ def everything(report):
 
 def test_full_cycle_then_changes_then_nothing_new(spark, source, paths):
     specs = list(MODEL.values())
-    first = run_cycle(spark, specs, source(), paths)
+    first = run_cycle(spark, specs, source(), paths, buckets=2)
     assert {r["status"] for r in first.audit.collect()} == {"OK"}
     gold = first.gold
 
@@ -107,7 +117,7 @@ def test_full_cycle_then_changes_then_nothing_new(spark, source, paths):
     }
 
     changed = source(USER_CHANGES, ARTIST_CHANGES, LATE_FACTS)
-    second = run_cycle(spark, specs, changed, paths)
+    second = run_cycle(spark, specs, changed, paths, buckets=2)
     versions = second.gold["gold_dim_user_scd2"].orderBy("user_id", "__START_AT").collect()
     assert [(v["user_id"], v["subscription_type"], v["__START_AT"], v["__END_AT"]) for v in versions] == [
         (1, "Free", t(1), t(9)),
@@ -128,13 +138,18 @@ def test_full_cycle_then_changes_then_nothing_new(spark, source, paths):
         (7, "Premium", "Pop"),
     ]
 
+    # The dimensions, kept up to date batch by batch, equal those derived from the whole logs.
+    for name, table in DIMENSIONS.items():
+        log = spark.read.parquet(f"{paths.silver}/{table}/data")
+        assert values(second.gold[name]) == values(dimension(name, log).select(*second.gold[name].columns))
+
     before = everything(second)
-    third = run_cycle(spark, specs, changed, paths)
+    third = run_cycle(spark, specs, changed, paths, buckets=2)
     assert {r["status"] for r in third.audit.collect()} == {"EMPTY"}
     assert everything(third) == before
 
     # A full backfill delivers every row a second time.
-    fourth = run_cycle(spark, specs, changed, paths, backfill=True)
+    fourth = run_cycle(spark, specs, changed, paths, buckets=2, backfill=True)
     assert {r["status"] for r in fourth.audit.collect()} == {"OK"}
     assert everything(fourth) == before
 
@@ -142,7 +157,7 @@ def test_full_cycle_then_changes_then_nothing_new(spark, source, paths):
 def test_cycle_with_a_failed_table(spark, source, paths):
     partial = source()
     del partial["FactStream"]
-    report = run_cycle(spark, list(MODEL.values()), partial, paths)
+    report = run_cycle(spark, list(MODEL.values()), partial, paths, buckets=2)
     status = {r["table_name"]: r["status"] for r in report.audit.collect()}
     assert status.pop("FactStream") == "FAILED" and set(status.values()) == {"OK"}
     assert report.gold["gold_fact_stream"].count() == 0

@@ -7,8 +7,9 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.dedupe import dedupe_stream
 from tidemark.operators.quality import apply_rules, expect, expect_or_drop
-from tidemark.operators.scd import scd2
+from tidemark.operators.scd import scd1, scd2
 from tidemark.sources.control import TableSpec
+from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import (
     append_stream,
     available_now,
@@ -17,7 +18,6 @@ from tidemark.streaming.files import (
     stream_files,
     stream_table,
 )
-from tidemark.streaming.history import HistoryStore
 from tidemark.streaming.silver import append_unseen, read_silver, run_silver
 
 SCHEMA = StructType().add("k", "integer").add("tier", "string").add("at", "timestamp")
@@ -176,11 +176,10 @@ LOG = [
 ]
 
 
-@pytest.mark.parametrize("cuts", [[10], [3, 10], [1, 4, 7, 10]])
-@pytest.mark.parametrize("backwards", [False, True])
+@pytest.mark.parametrize("cuts, backwards", [([10], False), ([3, 10], True), ([2, 6, 10], False)])
 def test_history_by_batches_equals_history_at_once(spark, tmp_path, cuts, backwards):
     log = LOG[::-1] if backwards else LOG
-    store = HistoryStore(f"{tmp_path}/store", ("k",), ("at",), ("tier",), buckets=3)
+    store = DimensionStore(f"{tmp_path}/store", ("k",), ("at",), ("tier",), buckets=3)
     start = 0
     for run, end in enumerate(cuts):
         batch = spark.createDataFrame(log[start:end], SCHEMA)
@@ -191,22 +190,31 @@ def test_history_by_batches_equals_history_at_once(spark, tmp_path, cuts, backwa
     assert values(store.read(spark, SCHEMA)) == values(whole)
 
 
+def test_latest_rows_by_batches_equal_latest_at_once(spark, tmp_path):
+    store = DimensionStore(f"{tmp_path}/store", ("k",), ("at",), buckets=3)
+    for run, part in enumerate((LOG[:4], LOG[4:7], LOG[7:7], LOG[7:])):
+        store.apply(spark.createDataFrame(part, SCHEMA), run)
+        store.apply(spark.createDataFrame(part, SCHEMA), run)
+    whole = scd1(spark.createDataFrame(LOG, SCHEMA), ["k"], ["at"])
+    assert values(store.read(spark, SCHEMA)) == values(whole)
+
+
 def test_history_survives_a_run_that_died(spark, tmp_path, monkeypatch):
-    store = HistoryStore(f"{tmp_path}/store", ("k",), ("at",), ("tier",), buckets=2)
+    store = DimensionStore(f"{tmp_path}/store", ("k",), ("at",), ("tier",), buckets=2)
     store.apply(spark.createDataFrame(LOG[:5], SCHEMA), 0)
     before = values(store.read(spark, SCHEMA))
 
-    real = HistoryStore._write
+    real = DimensionStore._write
 
-    def dies_after_history(df, folder):
-        real(df, folder)
-        if "/history/" in folder:
+    def dies_after_rows(self, df, folder):
+        real(self, df, folder)
+        if "/rows/" in folder:
             raise RuntimeError("lost")
 
-    monkeypatch.setattr(HistoryStore, "_write", staticmethod(dies_after_history))
+    monkeypatch.setattr(DimensionStore, "_write", dies_after_rows)
     with pytest.raises(RuntimeError):
         store.apply(spark.createDataFrame(LOG[5:], SCHEMA), 1)
-    monkeypatch.setattr(HistoryStore, "_write", staticmethod(real))
+    monkeypatch.setattr(DimensionStore, "_write", real)
     assert values(store.read(spark, SCHEMA)) == before
 
     store.apply(spark.createDataFrame(LOG[5:], SCHEMA), 1)
@@ -215,11 +223,11 @@ def test_history_survives_a_run_that_died(spark, tmp_path, monkeypatch):
 
 
 def test_history_from_a_stream(spark, lake):
-    store = HistoryStore(f"{lake.base}/store", ("k",), ("at",), ("tier",), buckets=4)
+    store = DimensionStore(f"{lake.base}/store", ("k",), ("at",), ("tier",), buckets=4)
     for part in (LOG[:4], LOG[4:]):
         lake.drop(part)
         sink = available_now(lake.source(), f"{lake.base}/history-checkpoint")
-        await_all([sink.foreachBatch(store.sink()).start()])
+        await_all([sink.foreachBatch(store.apply).start()])
     whole = scd2(spark.createDataFrame(LOG, SCHEMA), ["k"], ["at"], ["tier"])
     assert values(store.read(spark, SCHEMA)) == values(whole)
     assert store.read(spark, SCHEMA).filter(F.col("__END_AT").isNull()).count() == 4

@@ -42,6 +42,7 @@ def scd2(
     sequence_by: Sequence[str],
     track: Sequence[str],
     hot_rows: int = HOT_ROWS,
+    scratch: str | None = None,
 ) -> DataFrame:
     """All versions per key, each with the interval in which it held.
 
@@ -60,9 +61,9 @@ def scd2(
     hot_frame, hot_total = hot
     on = _same(log, hot_frame, keys)
     rest = _unique_in_place(log.join(F.broadcast(hot_frame), on, "left_anti"), keys, sequence_by)
-    pieces = _segmented(
-        log.join(F.broadcast(hot_frame), on, "left_semi"), keys, sequence_by, math.ceil(hot_total / hot_rows)
-    )
+    hot_log = log.join(F.broadcast(hot_frame), on, "left_semi")
+    path = scratch or fresh_dir(log.sparkSession, "hot-keys")
+    pieces = _segmented(hot_log, keys, sequence_by, math.ceil(hot_total / hot_rows), path)
     return _versions(rest, keys, sequence_by, track).unionByName(
         _versions(pieces, keys, sequence_by, track, segment=_SEGMENT)
     )
@@ -179,18 +180,18 @@ def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame
     return frame, sum(r["__rows"] for r in found)
 
 
-def _segmented(rows: DataFrame, keys: list[str], sequence: list[str], pieces: int) -> DataFrame:
+def _segmented(rows: DataFrame, keys: list[str], sequence: list[str], pieces: int, path: str) -> DataFrame:
     """Rows of hot keys, unique per key and sequence, with the number of the key-and-sequence range they fall in.
 
     Spark samples the ranges anew in every plan, and several plans read these rows, so the numbering is fixed by
     writing the rows to the shared folder. Redelivered copies are merged before that, inside the map tasks first.
     """
     unique = dedupe_version(rows, keys, sequence)
-    path = fresh_dir(rows.sparkSession, "hot-keys")
     (
         unique.repartitionByRange(max(pieces, 2), *keys, *sequence)
         .withColumn(_SEGMENT, F.spark_partition_id())
-        .write.parquet(path)
+        .write.mode("overwrite")
+        .parquet(path)
     )
     return rows.sparkSession.read.schema(_plain(unique.schema).add(_SEGMENT, "integer")).parquet(path)
 

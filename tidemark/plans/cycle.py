@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tidemark.operators.quality import apply_rules, quality_report
+from tidemark.operators.quality import apply_rules, keep_valid, quality_report
 from tidemark.operators.rows import event_date
 from tidemark.plans.ingest import LakePaths, Source, ingest_all
 from tidemark.plans.model import DIMENSIONS, FACT_RULES, fact_stream, gold_marts
 from tidemark.sources.control import EPOCH_DATE, TableSpec
 from tidemark.sources.schemas import registered_schema
-from tidemark.sources.tables import path_exists, write_path
-from tidemark.streaming.files import append_stream, await_all, rule_totals, stream_files
+from tidemark.sources.tables import path_exists, read_or_empty, write_path
+from tidemark.streaming.dimensions import DimensionStore
+from tidemark.streaming.files import append_stream, available_now, await_all, stream_files
 from tidemark.streaming.silver import read_silver, run_silver, silver_schema
 
 FACT = "FactStream"
@@ -39,19 +40,24 @@ def run_cycle(
     paths: LakePaths,
     backfill: bool = False,
     backfill_from: str = EPOCH_DATE,
+    buckets: int = 64,
 ) -> CycleReport:
     """Ingest, refine, publish. Running it again without new source rows leaves every table as it is."""
+    by_table = {s.table: s for s in specs}
     audit = ingest_all(spark, specs, source, paths, backfill, backfill_from)
     landed = landed_schemas(spark, specs, paths)
     run_silver(spark, specs, landed, paths.bronze, paths.silver)
-    silver = {
-        s.table: read_silver(spark, s, landed.get(s.table) or s.columns, paths.silver) for s in specs
-    }
-    fact_spec = next(s for s in specs if s.table == FACT)
-    if FACT in landed:
-        publish_fact(spark, fact_spec, landed[FACT], paths)
-    gold = publish_gold(spark, silver, paths)
-    checked = [quality_report(silver[s.table], s.rules, s.table) for s in specs if s.rules]
+    schemas = {t: silver_schema(spark, s, landed.get(t) or s.columns) for t, s in by_table.items()}
+    gold = publish_dimensions(spark, by_table, schemas, landed.keys(), paths, buckets)
+    gold[FACT_TABLE] = publish_fact(spark, schemas[FACT], FACT in landed, paths)
+    for name, mart in gold_marts(gold).items():
+        write_path(mart, f"{paths.gold}/{name}")
+        gold[name] = spark.read.schema(mart.schema).parquet(f"{paths.gold}/{name}")
+    checked = [
+        quality_report(read_silver(spark, s, landed.get(s.table) or s.columns, paths.silver), s.rules, s.table)
+        for s in specs
+        if s.rules
+    ]
     return CycleReport(audit, reduce(DataFrame.unionAll, checked), gold)
 
 
@@ -67,39 +73,36 @@ def landed_schemas(
     return found
 
 
-def publish_fact(
-    spark: SparkSession, spec: TableSpec, schema: StructType, paths: LakePaths
-) -> dict[str, int]:
-    """Stream new silver events through the rules into the fact table; returns the rule counts of this run."""
-    arriving = stream_files(spark, f"{paths.silver}/{FACT}/data", silver_schema(spark, spec, schema))
-    valid, _ = apply_rules(arriving, FACT_RULES, "fact_rules")
-    query = append_stream(
-        event_date(valid),
-        f"{paths.gold}/{FACT_TABLE}/data",
-        f"{paths.gold}/{FACT_TABLE}/checkpoint",
-        name=FACT_TABLE,
-        partition_by=["stream_date"],
-    )
-    await_all([query])
-    return rule_totals(query, "fact_rules")
-
-
-def publish_gold(
-    spark: SparkSession, silver: Mapping[str, DataFrame], paths: LakePaths
+def publish_dimensions(
+    spark: SparkSession,
+    specs: Mapping[str, TableSpec],
+    schemas: Mapping[str, StructType],
+    landed: Collection[str],
+    paths: LakePaths,
+    buckets: int,
 ) -> dict[str, DataFrame]:
-    """Derive the dimensions from the silver change logs, then the marts from fact and dimensions."""
-    gold = {name: _stored(spark, build(silver), f"{paths.gold}/{name}") for name, build in DIMENSIONS.items()}
-    shape = fact_stream(silver[FACT]).schema
+    """Stream what is new in the silver change logs into the dimensions, all side by side."""
+    stores, queries = {}, []
+    for name, table in DIMENSIONS.items():
+        spec, base = specs[table], f"{paths.gold}/{name}"
+        stores[name] = DimensionStore(f"{base}/data", spec.keys, spec.sequence, spec.track, buckets)
+        if table in landed:
+            arriving = stream_files(spark, f"{paths.silver}/{table}/data", schemas[table])
+            sink = available_now(keep_valid(arriving, spec.rules), f"{base}/checkpoint", name)
+            queries.append(sink.foreachBatch(stores[name].apply).start())
+    await_all(queries)
+    return {name: stores[name].read(spark, schemas[table]) for name, table in DIMENSIONS.items()}
+
+
+def publish_fact(spark: SparkSession, schema: StructType, landed: bool, paths: LakePaths) -> DataFrame:
+    """Stream new silver events through the rules into the fact table."""
     data = f"{paths.gold}/{FACT_TABLE}/data"
-    if path_exists(spark, data):
-        gold[FACT_TABLE] = spark.read.schema(shape).parquet(data)
-    else:
-        gold[FACT_TABLE] = spark.createDataFrame([], shape)
-    for name, mart in gold_marts(gold).items():
-        gold[name] = _stored(spark, mart, f"{paths.gold}/{name}")
-    return gold
-
-
-def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    write_path(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    shape = fact_stream(spark.createDataFrame([], schema)).schema
+    if landed:
+        arriving = stream_files(spark, f"{paths.silver}/{FACT}/data", schema)
+        valid, _ = apply_rules(arriving, FACT_RULES, FACT_TABLE)
+        checkpoint = f"{paths.gold}/{FACT_TABLE}/checkpoint"
+        await_all(
+            [append_stream(event_date(valid), data, checkpoint, name=FACT_TABLE, partition_by=["stream_date"])]
+        )
+    return read_or_empty(spark, data, shape)

@@ -162,21 +162,22 @@ COMMENTS = {
 PROPERTIES = {"quality": "gold"}
 
 
-def dim_date(silver: Mapping[str, DataFrame]) -> DataFrame:
-    return scd1(silver["DimDate"], ["date_key"], ["date"])
-
-
-def dim_user(silver: Mapping[str, DataFrame]) -> DataFrame:
-    spec = MODEL["DimUser"]
-    return scd2(keep_valid(silver["DimUser"], spec.rules), spec.keys, spec.sequence, spec.track)
-
-
-def dim_artist(silver: Mapping[str, DataFrame]) -> DataFrame:
-    return _latest(silver, MODEL["DimArtist"])
+# Published dimension -> source table. A table with tracked columns becomes a dimension of type 2, any other of type 1.
+DIMENSIONS = {
+    "gold_dim_date": "DimDate",
+    "gold_dim_user_scd2": "DimUser",
+    "gold_dim_artist_scd1": "DimArtist",
+    "gold_dim_track_scd1": "DimTrack",
+}
 
 
-def dim_track(silver: Mapping[str, DataFrame]) -> DataFrame:
-    return _latest(silver, MODEL["DimTrack"])
+def dimension(name: str, log: DataFrame) -> DataFrame:
+    """A published dimension, derived in one go from its whole silver change log."""
+    spec = MODEL[DIMENSIONS[name]]
+    valid = keep_valid(log, spec.rules)
+    if spec.track:
+        return scd2(valid, spec.keys, spec.sequence, spec.track)
+    return scd1(valid, spec.keys, spec.sequence)
 
 
 def fact_stream(silver_fact: DataFrame) -> DataFrame:
@@ -204,14 +205,3 @@ def gold_marts(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         ),
     }
 
-
-def _latest(silver: Mapping[str, DataFrame], spec: TableSpec) -> DataFrame:
-    return scd1(keep_valid(silver[spec.table], spec.rules), spec.keys, spec.sequence)
-
-
-DIMENSIONS = {
-    "gold_dim_date": dim_date,
-    "gold_dim_user_scd2": dim_user,
-    "gold_dim_artist_scd1": dim_artist,
-    "gold_dim_track_scd1": dim_track,
-}

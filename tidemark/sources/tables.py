@@ -64,9 +64,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files, if it is there."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def _quoted(text: str) -> str:

@@ -47,8 +47,8 @@ from tidemark.session import fresh_dir
 from tidemark.sources.control import TableSpec
 from tidemark.sources.extract import extract_from, extract_since, extract_window
 from tidemark.sources.schemas import conform, merge_schemas
+from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import append_stream, available_now, await_all, stream_files
-from tidemark.streaming.history import HistoryStore
 from tidemark.streaming.silver import append_unseen, read_silver, run_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,7 +439,7 @@ def stream_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History kept up to date batch by batch, the newer half of the log arriving first."""
     base = fresh_dir(spark, "stream-scd2")
-    store = HistoryStore(f"{base}/store", _CHANGE_KEY, _CHANGE_ORDER, _TRACKED, buckets=8)
+    store = DimensionStore(f"{base}/store", _CHANGE_KEY, _CHANGE_ORDER, _TRACKED, buckets=8)
     events = _events(spark, sf_dir)
     store.apply(extract_since(events, "ts", _SPLIT), 0)
     older = _event_stream(spark, sf_dir).filter(F.col("ts") <= F.lit(_SPLIT).cast("timestamp_ntz"))
