@@ -49,7 +49,8 @@ def scd2(
     A version opens when a tracked column differs from the preceding row (NULL equals NULL); rows that change only
     other columns update the open version, so it carries the values of its last row. ``__START_AT`` is the first
     sequence column of its first row, ``__END_AT`` that of the next version's first row, NULL while it is open. Rows
-    with equal key and sequence count once. Sequence columns must not be NULL.
+    with equal key and sequence count once. The first sequence column must not be NULL; extraction never yields a row
+    without it.
 
     Ordinary keys need one shuffle and one sort. Keys whose log exceeds ``hot_rows`` would make a single task sort
     their whole history; they are found first and cut into ranges of the sequence, see :func:`_segmented`.
@@ -93,44 +94,51 @@ def _versions(
     rows: DataFrame, keys: list[str], sequence: list[str], track: list[str], segment: str | None = None
 ) -> DataFrame:
     """Versions from rows that are unique per key and sequence."""
-    start = F.col(sequence[0])
     columns = [c for c in rows.columns if c != segment]
+    start = F.col(sequence[0])
 
-    tracked = F.struct(*[F.col(c) for c in track])
-    around = _neighbours(rows, keys, sequence, F.struct(tracked.alias("t"), start.alias("s")), segment)
-    flagged = around.withColumns(
-        {
-            "__opens": F.col("__prev").isNull() | ~F.col("__prev.t").eqNullSafe(tracked),
-            "__closes": F.col("__next").isNull() | ~F.col("__next.t").eqNullSafe(tracked),
-            END: F.col("__next.s"),
-        }
-    ).drop("__prev", "__next")
+    around = _neighbours(rows, keys, sequence, [sequence[0], *track], segment)
+    flagged = around.select(
+        *rows.columns,
+        (F.col("__prev_0").isNull() | ~_equal(track, "__prev_", 1)).alias("__opens"),
+        (F.col("__next_0").isNull() | ~_equal(track, "__next_", 1)).alias("__closes"),
+        F.col("__next_0").alias(END),
+    )
 
     # What is left alternates: a version is one row that opens and closes it, or an opening and then a closing row.
     ends = flagged.filter("__opens OR __closes")
-    paired = _neighbours(ends, keys, sequence, F.struct(start.alias("s")), segment)
+    paired = _neighbours(ends, keys, sequence, sequence[:1], segment)
     return paired.filter("__closes").select(
-        *columns, F.when(F.col("__opens"), start).otherwise(F.col("__prev.s")).alias(START), END
+        *columns, F.when(F.col("__opens"), start).otherwise(F.col("__prev_0")).alias(START), END
     )
 
 
 def _neighbours(
-    rows: DataFrame, keys: list[str], order: list[str], value: Column, segment: str | None
+    rows: DataFrame, keys: list[str], order: list[str], values: list[str], segment: str | None
 ) -> DataFrame:
-    """Add ``__prev`` and ``__next``: the value of the adjacent rows of the same key, NULL where there is none."""
+    """Add ``__prev_<i>`` and ``__next_<i>``: the values of the adjacent rows of the same key.
+
+    The first value is never NULL in a row, so NULL there says that the key has no such neighbour.
+    """
     grouping = keys if segment is None else [*keys, segment]
     w = Window.partitionBy(*grouping).orderBy(*order)
-    near = rows.withColumns({"__prev": F.lag(value).over(w), "__next": F.lead(value).over(w)})
+    near = rows.withColumns(
+        {
+            **{f"__prev_{i}": F.lag(c).over(w) for i, c in enumerate(values)},
+            **{f"__next_{i}": F.lead(c).over(w) for i, c in enumerate(values)},
+        }
+    )
     if segment is None:
         return near
 
     # The first and last row of a segment find their neighbour in the adjacent segment. There is one edge row per key
     # and segment, that is at most as many as segments and hot keys together, and both are bounded by construction.
     position = F.struct(*order)
+    kept = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
     across = Window.partitionBy(*keys).orderBy(segment)
     edges = (
         rows.groupBy(*grouping)
-        .agg(F.min_by(value, position).alias("__first"), F.max_by(value, position).alias("__last"))
+        .agg(F.min_by(kept, position).alias("__first"), F.max_by(kept, position).alias("__last"))
         .select(
             *grouping,
             F.lag("__last").over(across).alias("__before"),
@@ -138,10 +146,15 @@ def _neighbours(
         )
     )
     joined = near.join(F.broadcast(edges), _same(near, edges, grouping), "inner")
+
+    def filled(side: str, beyond: str, i: int) -> Column:
+        value = F.when(near[f"{side}0"].isNull(), edges[beyond][f"v{i}"]).otherwise(near[f"{side}{i}"])
+        return value.alias(f"{side}{i}")
+
     return joined.select(
         *[near[c] for c in rows.columns],
-        F.coalesce(near["__prev"], edges["__before"]).alias("__prev"),
-        F.coalesce(near["__next"], edges["__after"]).alias("__next"),
+        *[filled("__prev_", "__before", i) for i in range(len(values))],
+        *[filled("__next_", "__after", i) for i in range(len(values))],
     )
 
 
@@ -149,35 +162,41 @@ def _unique_in_place(rows: DataFrame, keys: list[str], sequence: list[str]) -> D
     """One row per key and sequence, using the partitioning and order that the version windows need anyway."""
     rest = [c for c in rows.columns if c not in keys and c not in sequence]
     w = Window.partitionBy(*keys).orderBy(*sequence, *rest)
-    position = F.struct(*[F.col(c) for c in sequence])
-    return (
-        rows.withColumn("__following", F.lead(position).over(w))
-        .filter(F.col("__following").isNull() | ~F.col("__following").eqNullSafe(position))
-        .drop("__following")
-    )
+    following = rows.withColumns({f"__next_{i}": F.lead(c).over(w) for i, c in enumerate(sequence)})
+    return following.filter(~_equal(sequence, "__next_")).select(*rows.columns)
+
+
+def _equal(columns: list[str], prefix: str, first: int = 0) -> Column:
+    """Whether the columns equal the numbered ones; NULL equals NULL."""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(columns, first)])
 
 
 def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, int] | None:
-    """The keys with more than ``hot_rows`` rows, and their rows in total.
+    """The keys with more than about ``hot_rows`` rows, and about how many rows they have in total.
 
-    At most one key per shuffle partition is taken, largest first. Any other key holds no more rows than an average
-    partition, so it is no hot spot, and the list stays small enough to collect and broadcast.
+    Their sizes are estimated from a sample in which a key of that size has a thousand rows; only the choice between two
+    ways to the same result hangs on it. At most one key per shuffle partition is taken, largest first. Any other key
+    holds no more rows than an average partition, so it is no hot spot, and the list stays small enough to collect and
+    broadcast.
     """
     spark = log.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fraction = min(1.0, 1000 / hot_rows)
+    sample = log.select(*keys)
+    if fraction < 1.0:
+        sample = sample.sample(fraction, seed=17)
     found = (
-        log.groupBy(*keys)
+        sample.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > hot_rows)
+        .filter(F.col("__rows") > hot_rows * fraction)
         .orderBy(F.desc("__rows"), *keys)
-        .limit(most)
+        .limit(int(spark.conf.get("spark.sql.shuffle.partitions")))
         .collect()
     )
     if not found:
         return None
     schema = StructType([StructField(k, log.schema[k].dataType) for k in keys])
     frame = spark.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
-    return frame, sum(r["__rows"] for r in found)
+    return frame, math.ceil(sum(r["__rows"] for r in found) / fraction)
 
 
 def _segmented(rows: DataFrame, keys: list[str], sequence: list[str], pieces: int, path: str) -> DataFrame:
