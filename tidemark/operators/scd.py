@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.operators.dedupe import dedupe_latest, dedupe_version
+from tidemark.operators.dedupe import dedupe_latest
 from tidemark.session import fresh_dir
 
 START = "__START_AT"
@@ -25,8 +25,9 @@ IS_CURRENT = "__IS_CURRENT"
 # Fixed value: the end of an interval that is still open, for readers that cannot take NULL.
 FOREVER = "9999-12-31 23:59:59"
 
-# A key with more log rows than this is worked on in pieces of about this many rows.
-HOT_ROWS = 2_000_000
+# A key with more log rows than this is worked on in pieces, this many for every so many rows.
+HOT_ROWS = 1_000_000
+PIECES = 8
 
 _SEGMENT = "__segment"
 
@@ -58,15 +59,19 @@ def scd2(
     keys, sequence_by, track = list(keys), list(sequence_by), list(track)
     hot = _hot_keys(log, keys, hot_rows)
     if hot is None:
-        return _versions(_unique_in_place(log, keys, sequence_by), keys, sequence_by, track)
+        return _versions(log, keys, sequence_by, track)
     hot_frame, hot_total = hot
     on = _same(log, hot_frame, keys)
-    rest = _unique_in_place(log.join(F.broadcast(hot_frame), on, "left_anti"), keys, sequence_by)
-    hot_log = log.join(F.broadcast(hot_frame), on, "left_semi")
-    path = scratch or fresh_dir(log.sparkSession, "hot-keys")
-    pieces = _segmented(hot_log, keys, sequence_by, math.ceil(hot_total / hot_rows), path)
+    rest = log.join(F.broadcast(hot_frame), on, "left_anti")
+    pieces = _segmented(
+        log.join(F.broadcast(hot_frame), on, "left_semi"),
+        keys,
+        sequence_by,
+        math.ceil(PIECES * hot_total / hot_rows),
+        scratch or fresh_dir(log.sparkSession, "hot-keys"),
+    )
     return _versions(rest, keys, sequence_by, track).unionByName(
-        _versions(pieces, keys, sequence_by, track, segment=_SEGMENT)
+        _versions(pieces, keys, sequence_by, track, _SEGMENT)
     )
 
 
@@ -93,81 +98,81 @@ def closed_intervals(history: DataFrame) -> DataFrame:
 def _versions(
     rows: DataFrame, keys: list[str], sequence: list[str], track: list[str], segment: str | None = None
 ) -> DataFrame:
-    """Versions from rows that are unique per key and sequence."""
+    """Versions from the log; with a segment, from a log cut into segments."""
     columns = [c for c in rows.columns if c != segment]
-    start = F.col(sequence[0])
-
-    around = _neighbours(rows, keys, sequence, [sequence[0], *track], segment)
-    flagged = around.select(
-        *rows.columns,
-        (F.col("__prev_0").isNull() | ~_equal(track, "__prev_", 1)).alias("__opens"),
-        (F.col("__next_0").isNull() | ~_equal(track, "__next_", 1)).alias("__closes"),
-        F.col("__next_0").alias(END),
-    )
-
-    # What is left alternates: a version is one row that opens and closes it, or an opening and then a closing row.
-    ends = flagged.filter("__opens OR __closes")
-    paired = _neighbours(ends, keys, sequence, sequence[:1], segment)
-    return paired.filter("__closes").select(
-        *columns, F.when(F.col("__opens"), start).otherwise(F.col("__prev_0")).alias(START), END
-    )
-
-
-def _neighbours(
-    rows: DataFrame, keys: list[str], order: list[str], values: list[str], segment: str | None
-) -> DataFrame:
-    """Add ``__prev_<i>`` and ``__next_<i>``: the values of the adjacent rows of the same key.
-
-    The first value is never NULL in a row, so NULL there says that the key has no such neighbour.
-    """
     grouping = keys if segment is None else [*keys, segment]
-    w = Window.partitionBy(*grouping).orderBy(*order)
-    near = rows.withColumns(
+    unique = _unique_in_place(rows, grouping, sequence)
+
+    # The adjacent rows of the same key: their start, which is never NULL in a row, and their tracked values.
+    shown = [sequence[0], *track]
+    w = Window.partitionBy(*grouping).orderBy(*sequence)
+    near = unique.withColumns(
         {
-            **{f"__prev_{i}": F.lag(c).over(w) for i, c in enumerate(values)},
-            **{f"__next_{i}": F.lead(c).over(w) for i, c in enumerate(values)},
+            **{f"__prev_{i}": F.lag(c).over(w) for i, c in enumerate(shown)},
+            **{f"__next_{i}": F.lead(c).over(w) for i, c in enumerate(shown)},
         }
     )
-    if segment is None:
-        return near
-
-    # The first and last row of a segment find their neighbour in the adjacent segment. There is one edge row per key
-    # and segment, that is at most as many as segments and hot keys together, and both are bounded by construction.
-    position = F.struct(*order)
-    kept = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(values)])
-    across = Window.partitionBy(*keys).orderBy(segment)
-    edges = (
-        rows.groupBy(*grouping)
-        .agg(F.min_by(kept, position).alias("__first"), F.max_by(kept, position).alias("__last"))
-        .select(
-            *grouping,
-            F.lag("__last").over(across).alias("__before"),
-            F.lead("__first").over(across).alias("__after"),
-        )
+    start = F.col(sequence[0])
+    opens = F.col("__prev_0").isNull() | ~_equal(track, "__prev_", 1)
+    closes = F.col("__next_0").isNull() | ~_equal(track, "__next_", 1)
+    end, carried = F.col("__next_0"), F.lit(None)
+    if segment is not None:
+        near = _joined_up(near, keys, segment, shown)
+        alone, same = F.col("__before").isNull(), _equal(track, "__before.v", 1)
+        opens = F.when(F.col("__prev_0").isNull(), alone | ~same).otherwise(opens)
+        alone, same = F.col("__after").isNull(), _equal(track, "__after.v", 1)
+        closes = F.when(F.col("__next_0").isNull(), alone | ~same).otherwise(closes)
+        end, carried = F.coalesce(end, F.col("__after.v0")), F.col("__carried")
+
+    # Starts ascend with the rows, so the largest so far is that of the version a row belongs to.
+    flagged = near.withColumns({"__opened": F.when(opens, start), "__closes": closes, END: end})
+    opened = F.max("__opened").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    versions = flagged.withColumn(START, F.coalesce(opened, carried))
+    return versions.filter("__closes").select(*columns, START, END)
+
+
+def _joined_up(near: DataFrame, keys: list[str], segment: str, shown: list[str]) -> DataFrame:
+    """Tell every row what precedes and follows its segment within its key.
+
+    Adds ``__before`` and ``__after``, the shown values of the row before and after the segment, and ``__carried``, the
+    start of the version that is open when the segment begins. All come from one summary row per key and segment, of
+    which there are at most as many as segments and hot keys together; both are bounded by construction.
+    """
+    values = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(shown)])
+    is_first, is_last = F.col("__prev_0").isNull(), F.col("__next_0").isNull()
+    opens_inside = ~is_first & ~_equal(shown[1:], "__prev_", 1)
+    ends = near.groupBy(*keys, segment).agg(
+        F.first(F.when(is_first, values), ignorenulls=True).alias("__first"),
+        F.first(F.when(is_last, values), ignorenulls=True).alias("__last"),
+        F.max(F.when(opens_inside, F.col(shown[0]))).alias("__inside"),
     )
-    joined = near.join(F.broadcast(edges), _same(near, edges, grouping), "inner")
 
-    def filled(side: str, beyond: str, i: int) -> Column:
-        value = F.when(near[f"{side}0"].isNull(), edges[beyond][f"v{i}"]).otherwise(near[f"{side}{i}"])
-        return value.alias(f"{side}{i}")
-
-    return joined.select(
-        *[near[c] for c in rows.columns],
-        *[filled("__prev_", "__before", i) for i in range(len(values))],
-        *[filled("__next_", "__after", i) for i in range(len(values))],
+    across = Window.partitionBy(*keys).orderBy(segment)
+    linked = ends.withColumns({"__before": F.lag("__last").over(across), "__after": F.lead("__first").over(across)})
+    same = [F.col(f"__first.v{i}").eqNullSafe(F.col(f"__before.v{i}")) for i in range(1, len(shown))]
+    first_opens = F.col("__before").isNull() | ~reduce(and_, same)
+    newest = F.coalesce("__inside", F.when(first_opens, F.col("__first.v0")))
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    grouping = [*keys, segment]
+    summary = linked.withColumn("__newest", newest).select(
+        *[F.col(c).alias(f"__key_{i}") for i, c in enumerate(grouping)],
+        "__before",
+        "__after",
+        F.last("__newest", ignorenulls=True).over(earlier).alias("__carried"),
     )
+    return near.join(F.broadcast(summary), _equal(grouping, "__key_"), "inner")
 
 
-def _unique_in_place(rows: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
+def _unique_in_place(rows: DataFrame, grouping: list[str], sequence: list[str]) -> DataFrame:
     """One row per key and sequence, using the partitioning and order that the version windows need anyway."""
-    rest = [c for c in rows.columns if c not in keys and c not in sequence]
-    w = Window.partitionBy(*keys).orderBy(*sequence, *rest)
+    rest = [c for c in rows.columns if c not in grouping and c not in sequence]
+    w = Window.partitionBy(*grouping).orderBy(*sequence, *rest)
     following = rows.withColumns({f"__next_{i}": F.lead(c).over(w) for i, c in enumerate(sequence)})
     return following.filter(~_equal(sequence, "__next_")).select(*rows.columns)
 
 
 def _equal(columns: list[str], prefix: str, first: int = 0) -> Column:
-    """Whether the columns equal the numbered ones; NULL equals NULL."""
+    """Whether the columns equal the numbered ones of that prefix; NULL equals NULL."""
     return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(columns, first)])
 
 
@@ -200,19 +205,19 @@ def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame
 
 
 def _segmented(rows: DataFrame, keys: list[str], sequence: list[str], pieces: int, path: str) -> DataFrame:
-    """Rows of hot keys, unique per key and sequence, with the number of the key-and-sequence range they fall in.
+    """Rows of hot keys with the number of the key-and-sequence range they fall in.
 
     Spark samples the ranges anew in every plan, and several plans read these rows, so the numbering is fixed by
     writing the rows to the shared folder. Redelivered copies are merged before that, inside the map tasks first.
     """
-    unique = dedupe_version(rows, keys, sequence)
     (
-        unique.repartitionByRange(max(pieces, 2), *keys, *sequence)
+        rows.distinct()
+        .repartitionByRange(pieces, *keys, *sequence)
         .withColumn(_SEGMENT, F.spark_partition_id())
         .write.mode("overwrite")
         .parquet(path)
     )
-    return rows.sparkSession.read.schema(_plain(unique.schema).add(_SEGMENT, "integer")).parquet(path)
+    return rows.sparkSession.read.schema(_plain(rows.schema).add(_SEGMENT, "integer")).parquet(path)
 
 
 def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
