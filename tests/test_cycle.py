@@ -5,8 +5,10 @@ from conftest import values
 
 from tidemark.plans.cycle import run_cycle
 from tidemark.plans.ingest import LakePaths
+from tidemark.plans.marts import daily_metrics
 from tidemark.plans.model import (
     ARTIST_COLUMNS,
+    COMMENTS,
     DATE_COLUMNS,
     DIMENSIONS,
     FACT_COLUMNS,
@@ -117,7 +119,7 @@ def test_full_cycle_then_changes_then_nothing_new(spark, source, paths):
     }
 
     changed = source(USER_CHANGES, ARTIST_CHANGES, LATE_FACTS)
-    second = run_cycle(spark, specs, changed, paths, buckets=2)
+    second = run_cycle(spark, specs, changed, paths, buckets=2, database="lake")
     versions = second.gold["gold_dim_user_scd2"].orderBy("user_id", "__START_AT").collect()
     assert [(v["user_id"], v["subscription_type"], v["__START_AT"], v["__END_AT"]) for v in versions] == [
         (1, "Free", t(1), t(9)),
@@ -143,6 +145,15 @@ def test_full_cycle_then_changes_then_nothing_new(spark, source, paths):
         log = spark.read.parquet(f"{paths.silver}/{table}/data")
         assert values(second.gold[name]) == values(dimension(name, log).select(*second.gold[name].columns))
 
+    whole = daily_metrics(second.gold["gold_fact_stream"], extended=True)
+    assert values(second.gold["gold_daily_streaming_metrics"]) == values(whole)
+
+    for name in second.gold:
+        published = spark.read.table(f"lake.{name}")
+        assert published.count() == second.gold[name].count()
+        shown = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED lake.{name}").collect()}
+        assert shown["Comment"] == COMMENTS[name] and "quality=gold" in shown["Table Properties"]
+
     before = everything(second)
     third = run_cycle(spark, specs, changed, paths, buckets=2)
     assert {r["status"] for r in third.audit.collect()} == {"EMPTY"}

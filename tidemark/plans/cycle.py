@@ -7,21 +7,25 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.quality import apply_rules, keep_valid, quality_report
 from tidemark.operators.rows import event_date
 from tidemark.plans.ingest import LakePaths, Source, ingest_all
-from tidemark.plans.model import DIMENSIONS, FACT_RULES, fact_stream, gold_marts
+from tidemark.plans.marts import daily_metrics, top_creators
+from tidemark.plans.model import COMMENTS, DIMENSIONS, FACT_RULES, PROPERTIES, fact_stream
 from tidemark.sources.control import EPOCH_DATE, TableSpec
 from tidemark.sources.schemas import registered_schema
-from tidemark.sources.tables import path_exists, read_or_empty, write_path
+from tidemark.sources.tables import describe_table, path_exists, read_or_empty, write_path, write_table
 from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import append_stream, available_now, await_all, stream_files
 from tidemark.streaming.silver import read_silver, run_silver, silver_schema
 
 FACT = "FactStream"
 FACT_TABLE = "gold_fact_stream"
+DAILY_TABLE = "gold_daily_streaming_metrics"
+TOP_TABLE = "gold_top_artists_by_streams"
 
 
 @dataclass(frozen=True)
@@ -41,18 +45,25 @@ def run_cycle(
     backfill: bool = False,
     backfill_from: str = EPOCH_DATE,
     buckets: int = 64,
+    database: str | None = None,
 ) -> CycleReport:
-    """Ingest, refine, publish. Running it again without new source rows leaves every table as it is."""
+    """Ingest, refine, publish. Running it again without new source rows leaves every table as it is.
+
+    With ``database`` the gold tables are also published in the catalog, with their comments and properties.
+    """
     by_table = {s.table: s for s in specs}
     audit = ingest_all(spark, specs, source, paths, backfill, backfill_from)
     landed = landed_schemas(spark, specs, paths)
     run_silver(spark, specs, landed, paths.bronze, paths.silver)
     schemas = {t: silver_schema(spark, s, landed.get(t) or s.columns) for t, s in by_table.items()}
     gold = publish_dimensions(spark, by_table, schemas, landed.keys(), paths, buckets)
-    gold[FACT_TABLE] = publish_fact(spark, schemas[FACT], FACT in landed, paths)
-    for name, mart in gold_marts(gold).items():
-        write_path(mart, f"{paths.gold}/{name}")
-        gold[name] = spark.read.schema(mart.schema).parquet(f"{paths.gold}/{name}")
+    gold[FACT_TABLE] = publish_fact(spark, schemas[FACT], FACT in landed, paths, database)
+    gold[DAILY_TABLE] = publish_daily(spark, gold[FACT_TABLE], paths)
+    top = top_creators(gold[FACT_TABLE], gold["gold_dim_track_scd1"], gold["gold_dim_artist_scd1"])
+    write_path(top, f"{paths.gold}/{TOP_TABLE}")
+    gold[TOP_TABLE] = spark.read.schema(top.schema).parquet(f"{paths.gold}/{TOP_TABLE}")
+    if database is not None:
+        publish_catalog(spark, gold, database)
     checked = [
         quality_report(read_silver(spark, s, landed.get(s.table) or s.columns, paths.silver), s.rules, s.table)
         for s in specs
@@ -94,15 +105,51 @@ def publish_dimensions(
     return {name: stores[name].read(spark, schemas[table]) for name, table in DIMENSIONS.items()}
 
 
-def publish_fact(spark: SparkSession, schema: StructType, landed: bool, paths: LakePaths) -> DataFrame:
+def publish_fact(
+    spark: SparkSession, schema: StructType, landed: bool, paths: LakePaths, database: str | None = None
+) -> DataFrame:
     """Stream new silver events through the rules into the fact table."""
-    data = f"{paths.gold}/{FACT_TABLE}/data"
+    base = f"{paths.gold}/{FACT_TABLE}"
     shape = fact_stream(spark.createDataFrame([], schema)).schema
     if landed:
+        if database is not None:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        table = database and f"{database}.{FACT_TABLE}"
         arriving = stream_files(spark, f"{paths.silver}/{FACT}/data", schema)
         valid, _ = apply_rules(arriving, FACT_RULES, FACT_TABLE)
-        checkpoint = f"{paths.gold}/{FACT_TABLE}/checkpoint"
-        await_all(
-            [append_stream(event_date(valid), data, checkpoint, name=FACT_TABLE, partition_by=["stream_date"])]
+        query = append_stream(
+            event_date(valid), f"{base}/data", f"{base}/checkpoint", table, FACT_TABLE, ["stream_date"]
         )
-    return read_or_empty(spark, data, shape)
+        await_all([query])
+    return read_or_empty(spark, f"{base}/data", shape)
+
+
+def publish_daily(spark: SparkSession, fact: DataFrame, paths: LakePaths) -> DataFrame:
+    """Bring the daily mart up to date for the days that new facts fall on; other days are not read again."""
+    base = f"{paths.gold}/{DAILY_TABLE}"
+    store = DimensionStore(f"{base}/data", ("stream_date",), ("refresh",), buckets=1)
+
+    def refreshed(days: list, run: int) -> DataFrame:
+        metrics = daily_metrics(fact.filter(F.col("stream_date").isin(days)), extended=True)
+        return metrics.withColumn("refresh", F.lit(run).cast("bigint"))
+
+    def refresh(batch: DataFrame, run: int) -> None:
+        days = [r["stream_date"] for r in event_date(batch).select("stream_date").distinct().collect()]
+        store.apply(refreshed(days, run), run)
+
+    data = f"{paths.gold}/{FACT_TABLE}/data"
+    if path_exists(spark, data):
+        arriving = stream_files(spark, data, StructType([fact.schema["stream_timestamp"]]))
+        await_all([available_now(arriving, f"{base}/checkpoint", DAILY_TABLE).foreachBatch(refresh).start()])
+    return store.read(spark, refreshed([], 0).schema).drop("refresh")
+
+
+def publish_catalog(spark: SparkSession, gold: Mapping[str, DataFrame], database: str) -> None:
+    """Write the dimensions and marts as catalog tables; the fact table is filled by its own stream."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, df in gold.items():
+        table = f"{database}.{name}"
+        if name != FACT_TABLE:
+            write_table(df, table, COMMENTS[name], PROPERTIES)
+        elif spark.catalog.tableExists(table):
+            describe_table(spark, table, COMMENTS[name], PROPERTIES)

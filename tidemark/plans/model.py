@@ -11,7 +11,6 @@ from tidemark.operators.quality import expect, expect_or_drop, keep_valid
 from tidemark.operators.rows import clean_title, duration_flag, event_date, standardize_name
 from tidemark.operators.scd import current, scd1, scd2
 from tidemark.operators.star import StarEntry, star_join
-from tidemark.plans.marts import daily_metrics, top_creators
 from tidemark.sources.control import TableSpec
 
 
@@ -194,14 +193,3 @@ def star_query(spark: SparkSession, gold: Mapping[str, DataFrame]) -> DataFrame:
         "DimArtist": gold["gold_dim_artist_scd1"],
     }
     return star_join(spark, STAR, tables)
-
-
-def gold_marts(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    fact = gold["gold_fact_stream"]
-    return {
-        "gold_daily_streaming_metrics": daily_metrics(fact, extended=True),
-        "gold_top_artists_by_streams": top_creators(
-            fact, gold["gold_dim_track_scd1"], gold["gold_dim_artist_scd1"]
-        ),
-    }
-
