@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.rows import RESCUED
 from tidemark.sources.bronze import bronze_folder, land_bronze
 from tidemark.sources.control import EPOCH_DATE, TableSpec
-from tidemark.sources.extract import extract_from, extract_window
+from tidemark.sources.extract import extract_window
 from tidemark.sources.schemas import conform, evolve
 from tidemark.sources.watermarks import Watermark, commit_watermark, get_watermark
 
@@ -109,7 +109,7 @@ def ingest_table(
     if nothing_new:
         return ("EMPTY", 0, found["unset"], mark.value, None)
 
-    batch = extract_window(extract_from(df, spec.cdc_col, start), spec.cdc_col, start, found["high"])
+    batch = extract_window(df, spec.cdc_col, start, found["high"])
     schema = evolve(spark, paths.registry, spec.table, df.schema, spec.columns)
     folder = bronze_folder(paths.bronze, spec.table, run_id)
     rows, rows_at_high = land_bronze(conform(batch, schema, RESCUED), folder, spec.cdc_col, found["high"])

@@ -9,18 +9,17 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def stream_files(
-    spark: SparkSession, path: str, schema: StructType, max_files: int | None = None
-) -> DataFrame:
+# One micro-batch takes at most so many files, so a first run over a large lake is not one single batch.
+MAX_FILES = 1000
+
+
+def stream_files(spark: SparkSession, path: str, schema: StructType, max_files: int = MAX_FILES) -> DataFrame:
     """Parquet files as they arrive anywhere below ``path``.
 
-    Columns that a file lacks are NULL, so a wider schema on restart adds columns. ``max_files`` bounds the size of one
-    micro-batch.
+    Columns that a file lacks are NULL, so a wider schema on restart adds columns.
     """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def stream_table(spark: SparkSession, name: str) -> DataFrame:

@@ -79,6 +79,11 @@ def _count(table: str) -> str:
     return f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {table}"
 
 
+def _stamp(expression: str) -> str:
+    """A timestamp as text, without trailing zeros of the fraction."""
+    return f"rtrim(rtrim(strftime({expression}, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')"
+
+
 ORACLE: dict[str, str] = {
     "incremental_extract": f"{_ALL_EVENTS} WHERE ts > {_SPLIT}",
     "backfill_extract": f"{_ALL_EVENTS} WHERE ts >= {_SPLIT}",
@@ -244,5 +249,44 @@ ORACLE: dict[str, str] = {
                    || CAST(to_json(event_type) AS VARCHAR) || '}' AS _rescued_data
         FROM events
     """,
+    "bronze_round_trip": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders",
+    "table_round_trip": "SELECT * FROM part",
+    "ingest_audit": f"""
+        SELECT 'events' AS table_name, 'OK' AS status, count(ts) AS row_count, count(*) - count(ts) AS null_cdc_rows,
+               {_stamp("max(ts)")} AS watermark FROM events
+        UNION ALL
+        SELECT 'orders', 'OK', count(o_orderdate), count(*) - count(o_orderdate), {_stamp("max(o_orderdate)")} FROM orders
+        UNION ALL
+        SELECT 'lineitem', 'OK', count(l_shipdate), count(*) - count(l_shipdate), {_stamp("max(l_shipdate)")} FROM lineitem
+        UNION ALL
+        SELECT 'returns', 'FAILED', 0, 0, NULL
+    """,
     "ingest_cycle": _ALL_EVENTS,
+    "full_cycle": """
+        WITH users AS (
+            SELECT user_id, ts, CASE event_type WHEN 'view' THEN 'Free' WHEN 'click' THEN 'Premium'
+                       WHEN 'purchase' THEN 'Family' WHEN 'signup' THEN 'Student' END AS tier
+            FROM events
+        ),
+        now AS (
+            SELECT user_id, tier FROM users WHERE tier IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1
+        ),
+        tracks AS (SELECT * FROM part WHERE p_size > 0)
+        SELECT e.event_id AS stream_id, CAST(floor(e.value) AS INTEGER) AS listen_duration,
+               e.event_type AS device_type, e.ts AS stream_timestamp,
+               CAST(n.user_id AS INTEGER) AS user_id, 'USER ' || n.user_id AS user_name,
+               CASE WHEN n.user_id IS NOT NULL THEN 'none' END AS country, n.tier AS subscription_type,
+               CAST(t.p_partkey AS INTEGER) AS track_id, t.p_name AS track_name, t.p_brand AS album_name,
+               t.p_size * 10 AS duration_sec,
+               CASE WHEN t.p_partkey IS NULL THEN NULL WHEN t.p_size < 15 THEN 'low' WHEN t.p_size < 30 THEN 'medium'
+                    ELSE 'high' END AS "durationFlag",
+               CAST(s.s_suppkey AS INTEGER) AS artist_id, s.s_name AS artist_name,
+               CASE WHEN s.s_suppkey IS NOT NULL THEN 'Pop' END AS genre
+        FROM events e
+        LEFT JOIN now n ON e.user_id = n.user_id
+        LEFT JOIN tracks t ON e.user_id = t.p_partkey
+        LEFT JOIN supplier s ON t.p_size = s.s_suppkey
+        WHERE floor(e.value) > 0
+    """,
 }

@@ -9,6 +9,7 @@ its addends, and shown as doubles. Eight digits hold every value, and Spark adds
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ from tidemark.operators.rows import (
 )
 from tidemark.operators.scd import closed_intervals, current, scd1, scd2, with_current_flag
 from tidemark.operators.star import StarEntry, star_join
+from tidemark.plans.cycle import run_cycle
 from tidemark.plans.ingest import LakePaths, ingest_all
 from tidemark.plans.marts import (
     daily_kpis,
@@ -43,12 +45,15 @@ from tidemark.plans.marts import (
     top_creators,
     top_creators_minutes,
 )
+from tidemark.plans.model import MODEL, star_query
 from tidemark.session import fresh_dir
+from tidemark.sources.bronze import bronze_folder, land_bronze, read_bronze
 from tidemark.sources.control import TableSpec
 from tidemark.sources.extract import extract_from, extract_since, extract_window
 from tidemark.sources.schemas import conform, merge_schemas
+from tidemark.sources.tables import read_table, write_table
 from tidemark.streaming.dimensions import DimensionStore
-from tidemark.streaming.files import append_stream, available_now, await_all, stream_files
+from tidemark.streaming.files import append_stream, available_now, await_all, stream_files, stream_table
 from tidemark.streaming.silver import append_unseen, read_silver, run_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +71,8 @@ _RULES = (
     expect("large_value", "value >= 150"),
 )
 
+_TIERS = {"view": "Free", "click": "Premium", "purchase": "Family", "signup": "Student", "error": "Unknown"}
+
 _STAR = (
     StarEntry("lineitem", "f", ("f.l_orderkey", "f.l_linenumber", "f.l_quantity", "f.l_extendedprice")),
     StarEntry("orders", "o", ("o.o_orderstatus", "o.o_orderdate"), "f.l_orderkey = o.o_orderkey"),
@@ -468,6 +475,100 @@ def rescue_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(events.drop("ts", "value"), declared.schema)
 
 
+def bronze_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed as one dated batch, read back with all batches of the table."""
+    orders = _table(spark, sf_dir, "orders")
+    base = fresh_dir(spark, "bronze")
+    high = max_value(orders, "o_orderdate").select(F.col("max_value").cast("string")).first()[0]
+    land_bronze(orders, bronze_folder(base, "orders", "first"), "o_orderdate", high)
+    return read_bronze(spark, base, "orders", orders.schema)
+
+
+def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written as a described catalog table, streamed from there into another, and read from that."""
+    base, suffix = fresh_dir(spark, "tables"), uuid.uuid4().hex[:8]
+    source, copy = f"parts_{suffix}", f"parts_copy_{suffix}"
+    parts = _table(spark, sf_dir, "part")
+    write_table(parts, source, "Parts", {"quality": "silver"}, path=f"{base}/{source}")
+    query = append_stream(stream_table(spark, source), f"{base}/{copy}", f"{base}/checkpoint", copy)
+    await_all([query])
+    return read_table(spark, copy)
+
+
+def ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per table of an ingest over three sources, of which one is missing."""
+    columns = {"events": "ts", "orders": "o_orderdate", "returns": "r_date", "lineitem": "l_shipdate"}
+    sources = {t: _table(spark, sf_dir, t) for t in columns if t != "returns"}
+    specs = [TableSpec(t, c) for t, c in columns.items()]
+    audit = ingest_all(spark, specs, sources, LakePaths(fresh_dir(spark, "ingest-audit")))
+    return audit.select("table_name", "status", "row_count", "null_cdc_rows", "watermark")
+
+
+def _model_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five source tables of the published model, from whole benchmark tables; a user plays one part."""
+    events, parts = _table(spark, sf_dir, "events"), _table(spark, sf_dir, "part")
+    moment = F.col("ts").cast("timestamp")
+    tier = F.create_map(*[F.lit(x) for pair in _TIERS.items() for x in pair])[F.col("event_type")]
+    day = F.to_date("ts")
+    since = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    suppliers = _table(spark, sf_dir, "supplier")
+    return {
+        "DimUser": events.select(
+            F.col("user_id").cast("int"),
+            F.concat(F.lit(" user "), "user_id").alias("user_name"),
+            F.lit("none").alias("country"),
+            tier.alias("subscription_type"),
+            day.alias("start_date"),
+            F.lit(None).cast("date").alias("end_date"),
+            moment.alias("updated_at"),
+        ),
+        "DimTrack": parts.select(
+            F.col("p_partkey").cast("int").alias("track_id"),
+            F.translate("p_name", " ", "-").alias("track_name"),
+            F.col("p_size").alias("artist_id"),
+            F.col("p_brand").alias("album_name"),
+            (F.col("p_size") * 10).alias("duration_sec"),
+            F.lit(None).cast("date").alias("release_date"),
+            since.alias("updated_at"),
+        ),
+        "DimArtist": suppliers.select(
+            F.col("s_suppkey").cast("int").alias("artist_id"),
+            F.col("s_name").alias("artist_name"),
+            F.lit("Pop").alias("genre"),
+            F.col("s_nationkey").cast("string").alias("country"),
+            since.alias("updated_at"),
+        ),
+        "DimDate": events.select(day.alias("date"))
+        .distinct()
+        .select(
+            F.date_format("date", "yyyyMMdd").cast("int").alias("date_key"),
+            "date",
+            F.dayofmonth("date").alias("day"),
+            F.month("date").alias("month"),
+            F.year("date").alias("year"),
+            F.date_format("date", "EEEE").alias("weekday"),
+        ),
+        "FactStream": events.select(
+            F.col("event_id").alias("stream_id"),
+            F.col("user_id").cast("int"),
+            F.col("user_id").cast("int").alias("track_id"),
+            F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"),
+            F.floor("value").cast("int").alias("listen_duration"),
+            F.col("event_type").alias("device_type"),
+            moment.alias("stream_timestamp"),
+        ),
+    }
+
+
+def full_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published model end to end, shown as the star query: events with user, track and artist as they are now."""
+    paths = LakePaths(fresh_dir(spark, "full-cycle"))
+    report = run_cycle(spark, list(MODEL.values()), _model_sources(spark, sf_dir), paths, buckets=4)
+    return star_query(spark, report.gold).withColumn(
+        "stream_timestamp", F.col("stream_timestamp").cast("timestamp_ntz")
+    )
+
+
 def ingest_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two extractions into bronze, the second picking up what came after the first, then silver."""
     events = _events(spark, sf_dir)
@@ -540,5 +641,9 @@ QUERIES: dict[str, Query] = {
     "stream_scd2": stream_scd2,
     "schema_evolve": schema_evolve,
     "rescue_malformed": rescue_malformed,
+    "bronze_round_trip": bronze_round_trip,
+    "table_round_trip": table_round_trip,
+    "ingest_audit": ingest_audit,
     "ingest_cycle": ingest_cycle,
+    "full_cycle": full_cycle,
 }
