@@ -10,6 +10,8 @@ LOW_BELOW = 150
 MEDIUM_BELOW = 300
 BAND_LABELS = ("low", "medium", "high")
 
+_EXACT = "decimal(28,6)"
+
 
 def standard_name(value: Column) -> Column:
     """Upper case without surrounding spaces (spaces only, tabs stay)."""
@@ -28,14 +30,14 @@ def duration_label(value: Column, low: float = LOW_BELOW, medium: float = MEDIUM
 
 
 def minutes(seconds: Column, places: int = 2) -> Column:
-    """Seconds as minutes, rounded half up."""
-    return F.round(seconds.cast("double") / F.lit(60.0), places)
+    """Seconds as minutes, rounded half up. The division is decimal, so a half is a half."""
+    return F.round(seconds.cast(_EXACT) / F.lit(60), places).cast("double")
 
 
 def average(total: Column, count: Column) -> Column:
     """Mean from an exact total and a count; NULL over no rows.
 
     Dividing once at the end keeps the result independent of the order in which partitions were merged, which a
-    running double sum is not.
+    running double sum is not; dividing decimals leaves nothing for a later rounding to trip over.
     """
-    return F.try_divide(total.cast("double"), count.cast("double"))
+    return F.try_divide(total.cast(_EXACT), count).cast("double")

@@ -114,5 +114,6 @@ def ingest_table(
     folder = bronze_folder(paths.bronze, spec.table, run_id)
     rows, rows_at_high = land_bronze(conform(batch, schema, RESCUED), folder, spec.cdc_col, found["high"])
     commit_watermark(spark, paths.state, spec.table, Watermark(found["high"], rows_at_high), run_id)
-    now = get_watermark(spark, paths.state, spec.table, kind)
-    return ("OK", rows, found["unset"], now.value, None)
+    # Without a backfill the batch started on the mark, so its end is the new one.
+    now = get_watermark(spark, paths.state, spec.table, kind).value if backfill else found["high"]
+    return ("OK", rows, found["unset"], now, None)

@@ -17,6 +17,13 @@ RECOMMENDED_CONF = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+# Streams that remember many keys keep their state on disk, not on the heap.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
 
 def local_session(cpus: int | str = "*", app: str = "tidemark", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""

@@ -16,9 +16,7 @@ _REGISTRY = "version int, schema_json string"
 
 def registered_schema(spark: SparkSession, registry: str, table: str) -> StructType | None:
     """The newest schema of a table, or None before its first batch."""
-    versions = read_or_empty(spark, f"{registry}/{table}", _REGISTRY)
-    newest = versions.agg(F.max(F.struct("version", "schema_json")).alias("v")).first()["v"]
-    return None if newest is None else StructType.fromJson(json.loads(newest["schema_json"]))
+    return _newest(spark, registry, table)[1]
 
 
 def evolve(
@@ -28,18 +26,22 @@ def evolve(
 
     Known columns keep their registered type. The first batch starts from ``declared`` where given.
     """
-    known = registered_schema(spark, registry, table)
-    start = known if known is not None else declared
-    merged = merge_schemas(start, incoming)
+    version, known = _newest(spark, registry, table)
+    merged = merge_schemas(declared if known is None else known, incoming)
     if merged != known:
-        versions = read_or_empty(spark, f"{registry}/{table}", _REGISTRY)
-        version = versions.agg(F.coalesce(F.max("version"), F.lit(0)) + 1).first()[0]
-        spark.createDataFrame([(version, merged.json())], _REGISTRY).coalesce(1).write.mode("append").parquet(
-            f"{registry}/{table}"
-        )
+        entry = spark.createDataFrame([(version + 1, merged.json())], _REGISTRY)
+        entry.coalesce(1).write.mode("append").parquet(f"{registry}/{table}")
     return merged
 
 
+def _newest(spark: SparkSession, registry: str, table: str) -> tuple[int, StructType | None]:
+    versions = read_or_empty(spark, f"{registry}/{table}", _REGISTRY)
+    newest = versions.agg(F.max(F.struct("version", "schema_json")).alias("v")).first()["v"]
+    if newest is None:
+        return 0, None
+    return newest["version"], StructType.fromJson(json.loads(newest["schema_json"]))
+
+
 def merge_schemas(known: StructType | None, incoming: StructType) -> StructType:
     """The known columns in their order, then the new ones."""
     fields = list(known.fields) if known is not None else []

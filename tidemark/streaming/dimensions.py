@@ -1,7 +1,7 @@
 """Slowly changing dimensions that are kept up to date from a stream of changes.
 
-Window functions cannot run on a stream, so each micro-batch refreshes, as a batch job, the keys it touched. Layout below
-``path``::
+Window functions cannot run on a stream, so each micro-batch refreshes, as a batch job, the keys it touched. Layout
+below ``path``::
 
     log/run=<n>/bucket=<b>/      the changes of a run (type 2 only)
     rows/run=<n>/bucket=<b>/     the dimension rows of every bucket the run touched

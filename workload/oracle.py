@@ -79,9 +79,13 @@ def _count(table: str) -> str:
     return f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {table}"
 
 
-def _stamp(expression: str) -> str:
-    """A timestamp as text, without trailing zeros of the fraction."""
-    return f"rtrim(rtrim(strftime({expression}, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')"
+def _audited(table: str, moment: str) -> str:
+    """The audit row of a table; the mark is a timestamp as text, without trailing zeros of the fraction."""
+    mark = f"rtrim(rtrim(strftime(max({moment}), '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')"
+    return (
+        f"SELECT '{table}' AS table_name, 'OK' AS status, count({moment}) AS row_count, "
+        f"count(*) - count({moment}) AS null_cdc_rows, {mark} AS watermark FROM {table}"
+    )
 
 
 ORACLE: dict[str, str] = {
@@ -144,7 +148,8 @@ ORACLE: dict[str, str] = {
     """,
     "daily_metrics": f"""
         SELECT CAST(ts AS DATE) AS stream_date, count(event_id) AS total_streams, count(user_id) AS stream_events,
-               {_EXACT} AS total_listen_seconds, {_EXACT} / count(value) AS avg_listen_duration_seconds
+               {_EXACT} AS total_listen_seconds,
+               CAST({_CENTS} AS DOUBLE) / (100 * count(value)) AS avg_listen_duration_seconds
         FROM events GROUP BY 1
     """,
     "daily_metrics_extended": f"""
@@ -252,13 +257,8 @@ ORACLE: dict[str, str] = {
     "bronze_round_trip": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders",
     "table_round_trip": "SELECT * FROM part",
     "ingest_audit": f"""
-        SELECT 'events' AS table_name, 'OK' AS status, count(ts) AS row_count, count(*) - count(ts) AS null_cdc_rows,
-               {_stamp("max(ts)")} AS watermark FROM events
-        UNION ALL
-        SELECT 'orders', 'OK', count(o_orderdate), count(*) - count(o_orderdate), {_stamp("max(o_orderdate)")} FROM orders
-        UNION ALL
-        SELECT 'lineitem', 'OK', count(l_shipdate), count(*) - count(l_shipdate), {_stamp("max(l_shipdate)")} FROM lineitem
-        UNION ALL
+        {_audited("events", "ts")} UNION ALL {_audited("orders", "o_orderdate")} UNION ALL
+        {_audited("lineitem", "l_shipdate")} UNION ALL
         SELECT 'returns', 'FAILED', 0, 0, NULL
     """,
     "ingest_cycle": _ALL_EVENTS,
