@@ -63,15 +63,17 @@ def scd2(
     hot_frame, hot_total = hot
     on = _same(log, hot_frame, keys)
     rest = log.join(F.broadcast(hot_frame), on, "left_anti")
-    pieces = _segmented(
+    # Never so many pieces that one is smaller than a quarter of an average partition, should all rows be hot.
+    pieces = min(math.ceil(PIECES * hot_total / hot_rows), 4 * _shuffle_partitions(log))
+    cut = _segmented(
         log.join(F.broadcast(hot_frame), on, "left_semi"),
         keys,
         sequence_by,
-        math.ceil(PIECES * hot_total / hot_rows),
+        pieces,
         scratch or fresh_dir(log.sparkSession, "hot-keys"),
     )
     return _versions(rest, keys, sequence_by, track).unionByName(
-        _versions(pieces, keys, sequence_by, track, _SEGMENT)
+        _versions(cut, keys, sequence_by, track, _SEGMENT)
     )
 
 
@@ -136,7 +138,7 @@ def _joined_up(near: DataFrame, keys: list[str], segment: str, shown: list[str])
 
     Adds ``__before`` and ``__after``, the shown values of the row before and after the segment, and ``__carried``, the
     start of the version that is open when the segment begins. All come from one summary row per key and segment, of
-    which there are at most as many as segments and hot keys together; both are bounded by construction.
+    which there are at most as many as segments and hot keys together: five times the shuffle partitions.
     """
     values = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(shown)])
     is_first, is_last = F.col("__prev_0").isNull(), F.col("__next_0").isNull()
@@ -184,7 +186,6 @@ def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame
     holds no more rows than an average partition, so it is no hot spot, and the list stays small enough to collect and
     broadcast.
     """
-    spark = log.sparkSession
     fraction = min(1.0, 1000 / hot_rows)
     sample = log.select(*keys)
     if fraction < 1.0:
@@ -194,13 +195,13 @@ def _hot_keys(log: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame
         .agg(F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") > hot_rows * fraction)
         .orderBy(F.desc("__rows"), *keys)
-        .limit(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        .limit(_shuffle_partitions(log))
         .collect()
     )
     if not found:
         return None
     schema = StructType([StructField(k, log.schema[k].dataType) for k in keys])
-    frame = spark.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
+    frame = log.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
     return frame, math.ceil(sum(r["__rows"] for r in found) / fraction)
 
 
@@ -220,6 +221,10 @@ def _segmented(rows: DataFrame, keys: list[str], sequence: list[str], pieces: in
     return rows.sparkSession.read.schema(_plain(rows.schema).add(_SEGMENT, "integer")).parquet(path)
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(and_, [left[c].eqNullSafe(right[c]) for c in cols])
 

@@ -34,7 +34,7 @@ from tidemark.operators.rows import (
     standardize_name,
     union_batches,
 )
-from tidemark.operators.scd import closed_intervals, current, scd1, scd2, with_current_flag
+from tidemark.operators.scd import HOT_ROWS, closed_intervals, current, scd1, scd2, with_current_flag
 from tidemark.operators.star import StarEntry, star_join
 from tidemark.plans.cycle import run_cycle
 from tidemark.plans.ingest import LakePaths, ingest_all
@@ -389,8 +389,10 @@ def scd2_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_few_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five keys, each with a fifth of all rows, so every key is worked on in pieces."""
-    return scd2(_events(spark, sf_dir), ["event_type"], _CHANGE_ORDER, ["user_id"], hot_rows=1000)
+    """Five keys, each with a fifth of all rows, so every key is worked on in pieces, also in a small log."""
+    log = _events(spark, sf_dir)
+    hot_rows = min(HOT_ROWS, log.count() // 8)
+    return scd2(log, ["event_type"], _CHANGE_ORDER, ["user_id"], hot_rows=hot_rows)
 
 
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
