@@ -14,11 +14,11 @@ WITH base AS (
          list_transform(generate_series(1, len(words) - 4), i -> array_to_string(words[i:i + 4], ' ')) AS runs
   FROM base
 ), placed AS (
-  SELECT row, unnest(runs) AS run, unnest(generate_series(1, len(runs))) AS at FROM windows
+  SELECT row, unnest(runs) AS run, unnest(generate_series(1, len(runs))) AS pos FROM windows
 ), again AS (
-  SELECT row, at FROM (SELECT row, at, count(*) OVER (PARTITION BY row, run) AS n FROM placed) WHERE n > 1
+  SELECT row, pos FROM (SELECT row, pos, count(*) OVER (PARTITION BY row, run) AS n FROM placed) WHERE n > 1
 ), covered AS (
-  SELECT row, count(DISTINCT at + k) AS n FROM again, generate_series(0, 4) AS g(k) GROUP BY row
+  SELECT row, count(DISTINCT pos + k) AS n FROM again, generate_series(0, 4) AS g(k) GROUP BY row
 ), measured AS (
   SELECT doc_id, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
          len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
