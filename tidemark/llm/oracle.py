@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 _OP2 = rf"""
 WITH base AS (
   SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ), windows AS (
   SELECT *, row_number() OVER () AS row,
-         list_transform(generate_series(1, len(words) - 4), i -> array_to_string(words[i:i + 4], ' ')) AS runs
+         list_transform(generate_series(1, len(words) - 4), lambda i: array_to_string(words[i:i + 4], ' ')) AS runs
   FROM base
 ), placed AS (
   SELECT row, unnest(runs) AS run, unnest(generate_series(1, len(runs))) AS pos FROM windows

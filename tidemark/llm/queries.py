@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, rules, simhash
+from tidemark.llm import kneser, mixing, rules, simhash
 from tidemark.llm.frames import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_rules": op2_rules,
     "op3_simhash": op3_simhash,
+    "op10_kneser": op10_kneser,
 }
