@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,3 +68,37 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         down = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         pair = cut(down.unionByName(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct())
+
+
+# Documents in one stretch of the order by id, and the most stretches. A stretch is a stream and never held whole, so its
+# size needs no bound; the number of stretches does, as the driver holds a few numbers for each.
+STRETCH = 20_000
+STRETCHES = 1 << 14
+
+
+def stretch_bounds(df: DataFrame, key: str = "doc_id", rows: int = STRETCH) -> list[int]:
+    """Keys that cut the order by ``key`` into parts of about ``rows`` rows, ``STRETCHES`` parts at most.
+
+    They come from approximate quantiles; whatever they are, the parts follow each other in key order.
+    """
+    parts = min(-(-df.count() // rows), STRETCHES)
+    if parts < 2:
+        return []
+    shares = ", ".join(f"{i / parts:.6f}D" for i in range(1, parts))
+    found = df.agg(F.expr(f"percentile_approx({key}, array({shares}), {max(10_000, 20 * parts)})").alias("b")).first()
+    return sorted(set(found.b or []))
+
+
+def with_stretch(df: DataFrame, bounds: list[int], key: str = "doc_id") -> DataFrame:
+    """Adds ``stretch``, the number of the part that the row's key is in; null keys are in the first."""
+
+    def place(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(bounds, dtype=np.int64), keys.to_numpy(), side="left")).astype("int32")
+
+    lowest = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
+    return df.withColumn("stretch", F.pandas_udf(place, "int")(lowest) if bounds else F.lit(0))
+
+
+def in_order(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows of a stretch together, in order, as a stream; a task has whole stretches, one after the other."""
+    return df.repartition("stretch").sortWithinPartitions("stretch", *order)

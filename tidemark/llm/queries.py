@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import kneser, mixing, rules, simhash
+from tidemark.llm import extract, kneser, mixing, oph, rules, simhash, tokenfile
 from tidemark.llm.frames import documents
+from tidemark.llm.tokens import Vocabulary
+from tidemark.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +28,21 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oph.edited_pairs(documents(spark, sf_dir))
+
+
+def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"), "words")
+    path = fresh_dir(spark, "token-ids")
+    tokenfile.write_tokens(documents(spark, sf_dir), vocabulary, end=1, path=path)
+    return tokenfile.read_tokens(spark, path)
+
+
 def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -33,5 +51,8 @@ QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_rules": op2_rules,
     "op3_simhash": op3_simhash,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_extract": op5_extract,
+    "op8_tokenfile": op8_tokenfile,
     "op10_kneser": op10_kneser,
 }
