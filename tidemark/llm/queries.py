@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import extract, kneser, mixing, oph, rules, simhash, tokenfile
+from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, tokenfile
 from tidemark.llm.frames import documents
 from tidemark.llm.tokens import Vocabulary
 from tidemark.session import fresh_dir
@@ -43,6 +43,11 @@ def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(spark, path)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json"), "bytes")
+    return packing.pack(documents(spark, sf_dir), vocabulary, end=1)
+
+
 def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -54,5 +59,6 @@ QUERIES: dict[str, Query] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_extract": op5_extract,
     "op8_tokenfile": op8_tokenfile,
+    "op9_packing": op9_packing,
     "op10_kneser": op10_kneser,
 }
