@@ -32,7 +32,7 @@ from tidemark.llm.frames import in_order, stretch_bounds, with_stretch
 from tidemark.llm.text import pieces
 from tidemark.llm.tokens import BATCH_BYTES, Vocabulary, encoder, with_end
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _HEAD = "<4sBBIq"
 _SCHEMA = "stretch int, block int, n_docs long, n_tokens long, data binary"
 

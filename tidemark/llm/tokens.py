@@ -3,11 +3,12 @@
 A text is cut at places where the tokenizer's own pre-tokenization always cuts, so that the ids of the pieces, one after
 another, are the ids of the text. Two ways to cut:
 
-* ``words``, for tokenizers that drop white space: before every word;
+* ``words``, for tokenizers that drop white space and case: around white space, which is dropped;
 * ``bytes``, for byte-level ones that join a space to the word behind it: before a run of white space, before its last
   character if a word follows, and behind it unless that last character is a space.
 
-Both only look at ASCII white space. A text with other white space, or with the string of a special token, is encoded whole.
+Both also cut between ASCII letters, digits and signs, but not beside an apostrophe or a character beyond ASCII. They only
+look at ASCII white space. A text with other white space, or with the string of a special token, is encoded whole.
 
 A piece of Latin letters, digits and signs needs none of the library's alignment of ids with characters: the pre-tokenizer's
 pattern cuts it and the library's model gives the ids of each part. Other pieces go through the library's whole pipeline.
@@ -28,7 +29,7 @@ from tidemark.llm.text import WHITE, buffers
 
 # Text encoded at once, and distinct pieces remembered by a Python worker before it forgets all of them.
 BATCH_BYTES = 4 << 20
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 _OTHER_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Characters whose normal form, small letter and class are simple: printable, below U+0250, without U+0130.
@@ -61,26 +62,44 @@ class Vocabulary:
             return Vocabulary(file.read(), cut)
 
 
-def edges(raw: np.ndarray, offsets: np.ndarray, cut: str) -> np.ndarray:
-    """Where pieces start, in ascending order; rows always start one."""
-    n = len(raw)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
-    white = WHITE[raw]
-    first = np.zeros(n, dtype=bool)
+# Classes of bytes: 0 white space, 1 letters, 2 digits, 3 signs, 4 what no cut may touch.
+_CLASS = np.full(256, 3, dtype=np.uint8)
+_CLASS[WHITE] = 0
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CLASS[0x30:0x3A] = 2
+_CLASS[[0x27, *range(0x80, 0x100)]] = 4
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[0x41:0x5B] += 32
+
+
+def _shifted(x: np.ndarray, by: int) -> np.ndarray:
+    """The value before (1) or behind (-1) each place; zero beyond the ends."""
+    out = np.zeros_like(x)
+    if by > 0:
+        out[1:] = x[:-1]
+    else:
+        out[:-1] = x[1:]
+    return out
+
+
+def tiles(raw: np.ndarray, offsets: np.ndarray, cut: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text that pieces tile, the pieces' bounds in it, and each row's first piece."""
+    kind = _CLASS[raw]
+    first = np.zeros(len(raw), dtype=bool)
     first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
-    before = np.empty(n, dtype=bool)  # the character before is white space of the same row
-    before[0] = False
-    before[1:] = white[:-1]
+    white, before = kind == 0, _shifted(kind, 1)
+    turn = ((kind != before) | ((kind == 2) if cut == "words" else False)) & (kind < 4) & (before < 4) & ~white & (before > 0)
+    after_white = ~white & (before == 0)
     if cut == "words":
-        return np.flatnonzero(first | (~white & before))
-    after = np.empty(n, dtype=bool)  # a character of a word of the same row follows
-    after[-1] = False
-    after[:-1] = ~white[1:] & ~first[1:]
-    space = np.empty(n, dtype=bool)
-    space[0] = False
-    space[1:] = raw[:-1] == 0x20
-    return np.flatnonzero(first | (white & ~before) | (white & after) | (~white & before & ~space))
+        start = (first | after_white | turn) & ~white
+        kept = ~white
+        start, raw = start[kept], _SMALL[raw[kept]]
+        offsets = np.concatenate(([0], np.cumsum(kept)))[offsets]
+    else:
+        last = white & _shifted(~white & ~first, -1)
+        start = first | (white & (before != 0)) | last | turn | (after_white & (_shifted(raw, 1) != 0x20))
+    bounds = np.append(np.flatnonzero(start), len(raw)).astype(np.int64)
+    return raw, bounds, np.searchsorted(bounds[:-1], offsets)
 
 
 class Encoder:
@@ -111,54 +130,58 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
         return flat, sizes
 
-    def _piece(self, text: str) -> list[int] | None:
+    def _model(self, part: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(part)]
+
+    def _piece(self, piece: bytes) -> list[int] | None:
         """The ids of a plain piece; None if it needs the whole pipeline."""
+        if piece.isascii() and piece.isalpha():
+            return self._model(piece.decode())
+        if piece[:1] == b" " and piece.isascii() and piece[1:].isalpha():
+            return self._model(self.letters[0x20] + piece[1:].decode())
+        text = piece.decode()
         if not _PLAIN.fullmatch(text):
             return None
         out: list[int] = []
         for part in self.pattern.findall(text.lower() if self.cut == "words" else text):
             ids = self.parts.get(part)
             if ids is None:
-                ids = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]
-                self.parts[part] = ids
+                ids = self.parts[part] = self._model(part.encode().decode("latin-1").translate(self.letters))
             out += ids
         return out
 
     def _look_up(self, pieces: list[bytes]) -> np.ndarray:
         """The number of each piece in the store."""
-        known = self.known
-        if len(known) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self._forget()
-            known = self.known
+        known = self.known
         new = [p for p in pieces if p not in known]
         if new:
-            texts = [p.decode("utf-8") for p in new]
-            found = [self._piece(t) for t in texts]
-            rest = [t for t, ids in zip(texts, found) if ids is None]
+            found = [self._piece(p) for p in new]
+            rest = [p.decode() for p, ids in zip(new, found) if ids is None]
             if rest:
                 encoded = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
                 found = [next(encoded).ids if ids is None else ids for ids in found]
-            sizes = np.fromiter((len(x) for x in found), dtype=np.int64, count=len(found))
+            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
             known.update(zip(new, range(len(known), len(known) + len(new))))
             self.ids = np.concatenate((self.ids, flat))
             self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-        return np.fromiter((known[p] for p in pieces), dtype=np.int64, count=len(pieces))
+        return np.fromiter(map(known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows in one array, and the rows' offsets in it. A null has no ids."""
         raw, offsets = buffers(texts)
         rows = len(offsets) - 1
-        starts = edges(raw, offsets, self.cut)
-        bounds = np.concatenate((starts, [len(raw)])).astype(np.int64)
-        tiles = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(raw.tobytes())])
-        tiles = tiles.dictionary_encode()
-        number = self._look_up(tiles.dictionary.to_pylist())[tiles.indices.to_numpy(zero_copy_only=False)]
+        raw, bounds, first = tiles(raw, offsets, self.cut)
+        found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw.tobytes())])
+        found = found.dictionary_encode()
+        number = self._look_up(found.dictionary.to_pylist())[found.indices.to_numpy(zero_copy_only=False)]
         sizes = np.diff(self.starts)[number]
         heads = np.cumsum(sizes) - sizes
         at = np.arange(sizes.sum()) - np.repeat(heads - self.starts[number], sizes)
         ids = self.ids[at]
-        ends = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(starts, offsets)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[first]
         odd = [i for i, t in enumerate(texts.to_pylist()) if t and self.whole.search(t)]
         if not odd:
             return ids, ends
