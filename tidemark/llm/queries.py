@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, tokenfile
+from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, tokenfile, toxicity
 from tidemark.llm.frames import documents
 from tidemark.llm.tokens import Vocabulary
 from tidemark.session import fresh_dir
@@ -36,6 +36,11 @@ def op5_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.severity(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"), "words")
     path = fresh_dir(spark, "token-ids")
@@ -58,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_fingerprints": op4_fingerprints,
     "op5_extract": op5_extract,
+    "op6_toxicity": op6_toxicity,
     "op8_tokenfile": op8_tokenfile,
     "op9_packing": op9_packing,
     "op10_kneser": op10_kneser,

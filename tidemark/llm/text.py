@@ -18,6 +18,13 @@ PIECE_BYTES = 1 << 20
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[0x41:0x5B] += 32
+
+# All that isn't an ASCII letter or digit or a part of a character beyond ASCII.
+SIGNS = np.ones(256, dtype=bool)
+SIGNS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
 # Fixed pseudorandom 64-bit values, one for each byte, so that words with the same letters differ.
 _MIXED = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -74,9 +81,12 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words_of(texts: pa.Array) -> Words:
+def words_of(texts: pa.Array, between: np.ndarray = WHITE, fold: bool = False) -> Words:
+    """Runs of bytes that ``between`` doesn't mark; with ``fold``, A to Z count as a to z."""
     raw, offsets = buffers(texts)
-    solid = ~WHITE[raw]
+    if fold:
+        raw = _SMALL[raw]
+    solid = ~between[raw]
     begins = solid.copy()
     if len(raw):
         begins[1:] &= ~solid[:-1]
