@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, tokenfile, toxicity
+from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, substrings, tokenfile, toxicity
 from tidemark.llm.frames import documents
 from tidemark.llm.tokens import Vocabulary
 from tidemark.session import fresh_dir
@@ -41,6 +41,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(documents(spark, sf_dir))
+
+
 def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Vocabulary.read(public_tokenizers.path("word_bpe_49k.json"), "words")
     path = fresh_dir(spark, "token-ids")
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_extract": op5_extract,
     "op6_toxicity": op6_toxicity,
+    "op7_substrings": op7_substrings,
     "op8_tokenfile": op8_tokenfile,
     "op9_packing": op9_packing,
     "op10_kneser": op10_kneser,
