@@ -72,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 # Documents in one stretch of the order by id, and the most stretches. A stretch is a stream and never held whole, so its
 # size needs no bound; the number of stretches does, as the driver holds a few numbers for each.
-STRETCH = 20_000
+STRETCH = 2_000
 STRETCHES = 1 << 14
 
 
