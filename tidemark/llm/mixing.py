@@ -125,6 +125,8 @@ def mix(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEE
     sources = spark.createDataFrame(plan, schema)
     spans = spans.join(sources.select("place", F.col("source").alias("_source")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     drawn = running_total(draws(spark, plan, slots, seed), ["place"], ["shard"], F.col("n"), "first")
+    # A few rows make many slots, so they are spread by number and not by their size.
+    drawn = drawn.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place", "shard")
     amounts = {p[0]: p[5] for p in plan}
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
