@@ -1,17 +1,18 @@
 """Quality by an n-gram model: interpolated modified Kneser-Ney, trained on trusted text.
 
 The model is over characters, folded to ``SYMBOLS`` classes (white space; the letters a to z; capitals; other letters;
-digits; punctuation; the rest), in runs of ``ORDER``. Trusted documents are those whose labels all say quality 1. All of
-their text is counted: tasks count their share, the counts meet by run. Lower orders count the distinct runs that a run ends.
+digits; punctuation; the rest), in runs of ``ORDER``. Trusted documents are those whose labels all say quality 1. All
+text of ``TRAINED`` in ``FOLDS`` of them, by a hash of doc_id, is counted; the others, which the model hasn't seen, set the
+thresholds. Tasks count their share, the counts meet by run. Lower orders count the distinct runs that a run ends.
 Joins on contexts and on suffixes, sharded by the run's code, make discounted probabilities and the weight of the next lower
 order, with three discounts for each order from the counts of counts.
 
 There are at most SYMBOLS ** ORDER = 1,048,576 runs whatever the corpus, so the finished table has a proven bound: four
 megabytes as whole micronats. It is sent to the tasks that score. Whole numbers make the sums the same in any order.
 
-A document's score is its mean surprise; its perplexity is exp of it. A language's threshold is the ``QUANTILE`` over
-its trusted documents of surprise less SLACK / sqrt(length), as the mean over a short text strays
-further. Languages with fewer than ``LEAST`` trusted documents use the quantile of all trusted documents.
+A document's score is its mean surprise; its perplexity is exp of it. A language's threshold is the ``QUANTILE`` over its
+unseen trusted documents of surprise less SLACK / sqrt(length), as the mean over a short text strays further, plus
+``MARGIN``. Languages with fewer than ``LEAST`` of these use the quantile over all languages.
 
 A null or empty text has perplexity null and is kept, as nothing speaks against it. A null language is a language. Rows that
 share a doc_id are scored one by one; a document without doc_id isn't trusted. Without trusted documents nothing is
@@ -33,9 +34,12 @@ from tidemark.llm.text import WHITE, buffers, pieces
 ORDER = 4
 BITS = 5
 SYMBOLS = 1 << BITS
-QUANTILE = 0.998
+QUANTILE = 0.99
 SLACK = 1.5
+MARGIN = 0.15
 LEAST = 30
+FOLDS = 5
+TRAINED = 4
 _BIN = 1000
 
 _DROP = 255
@@ -66,8 +70,9 @@ def runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code, offsets
 
 
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    """The doc_ids whose labels all say quality 1."""
+def trusted_ids(labels: DataFrame, trained: bool) -> DataFrame:
+    """The doc_ids whose labels all say quality 1: those that the model is trained on, or the others."""
+    labels = labels.where((F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FOLDS)) < TRAINED) == F.lit(trained))
     marks = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     return marks.agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality")).where("quality = 1").select("doc_id")
 
@@ -142,7 +147,7 @@ def surprise_table(counts: DataFrame) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(trusted_ids(labels), "doc_id", "left_semi")
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(trusted_ids(labels, True), "doc_id", "left_semi")
     return surprise_table(count_runs(kept))
 
 
@@ -173,11 +178,11 @@ def _lowered(micronats: str = "micronats", n: str = "n_symbols"):
 
 
 def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """lang and limit (micronats): the quantile over the trusted documents, by counts of bins of a thousandth of a nat.
+    """lang and limit (micronats): the quantile over the unseen trusted documents, by counts of bins of a thousandth of a nat.
 
     One row has lang_known false: the quantile of all trusted documents.
     """
-    known = scored.where("n_symbols > 0").join(trusted_ids(labels), "doc_id", "left_semi")
+    known = scored.where("n_symbols > 0").join(trusted_ids(labels, False), "doc_id", "left_semi")
     bins = known.groupBy("lang", F.ceil(_lowered() / _BIN).alias("bin")).agg(F.count("*").alias("n"))
     every = bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(False).alias("lang_known"))
     bins = bins.withColumn("lang_known", F.lit(True)).unionByName(every)
@@ -185,7 +190,7 @@ def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
     all_ = Window.partitionBy("lang_known", "lang")
     ranked = bins.withColumns({"below": F.sum("n").over(up), "all": F.sum("n").over(all_)})
     reached = ranked.where((F.col("below") >= F.col("all") * quantile) & (~F.col("lang_known") | (F.col("all") >= LEAST)))
-    return reached.groupBy("lang_known", "lang").agg((F.min("bin") * _BIN).alias("limit"))
+    return reached.groupBy("lang_known", "lang").agg((F.min("bin") * _BIN + int(MARGIN * 1e6)).alias("limit"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:

@@ -177,3 +177,13 @@ def mixed(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = S
     end = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
     ranges = held.select("doc_id", "source", "place", "block", (begin - F.col("start")).alias("start"), (end - begin).alias("length"))
     return chosen.join(ranges, ["place", "block"]).select("doc_id", "source", "shard", "slot", "start", "length")
+
+
+def resample(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED) -> DataFrame:
+    """The documents, each as often as the mix takes its words: taken / size times, the fraction rounded up with that
+    probability by a hash of doc_id. A document of which the mix takes nothing, or that has no words, goes."""
+    shares = taken(docs, block, slots, seed).where("taken > 0").groupBy(F.col("doc_id").alias("_id"))
+    shares = shares.agg((F.sum("taken") / F.sum("size")).alias("_share"))
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), F.lit(1_000_000)) / 1_000_000
+    met = docs.join(shares, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
+    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.floor(F.col("_share") + chance).cast("int")))).select(*docs.columns)

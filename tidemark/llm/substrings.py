@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.suffixes import suffix_array
 from tidemark.llm.text import mix
@@ -321,21 +322,22 @@ def _counted(contexts: DataFrame) -> DataFrame:
     return found.select("key", "th", "first", (F.col("first") + LENGTH).alias("end"))
 
 
-def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
-    """Documents with what tells them apart: key (doc_id) and th (a hash of the text)."""
+def _keyed(docs: DataFrame, others: list[str]) -> DataFrame:
+    """Documents with what tells them apart: key (doc_id) and th (a hash of the text); other columns in ``rest``."""
     text = F.coalesce("text", F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE))
-    return docs.select(key.alias("key"), F.hash(text).alias("th"), text.alias("text"), *columns)
+    rest = [F.struct(*[F.col(c) for c in others]).alias("rest")] if others else []
+    return docs.select(key.alias("key"), F.hash(text).alias("th"), text.alias("text"), *rest)
 
 
-def spans(docs: DataFrame, contexts: int = CONTEXTS) -> tuple[DataFrame, DataFrame]:
-    """The documents (key, th, text), dealt by key and th, and key, th, spans: what is covered, in pieces that may overlap."""
+def spans(docs: DataFrame, contexts: int = CONTEXTS, others: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The documents (key, th, text, and ``others`` as rest), dealt by key and th; and _key, _th, spans: what is covered, in
+    pieces that may overlap."""
     spark = docs.sparkSession
-    texts = _keyed(docs)
     path = fresh_dir(spark, "anchors")
-    _classified(_contexts(texts.where(F.octet_length("text") >= LENGTH))).write.parquet(path)
+    _classified(_contexts(_keyed(docs, []).where(F.octet_length("text") >= LENGTH))).write.parquet(path)
     found = spark.read.parquet(path)
-    dealt = texts.repartition("key", "th")
+    dealt = _keyed(docs, others or []).repartition("key", "th")
     opened = found.where("open")
     crowded = opened.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > contexts).select("h", F.lit(True).alias("crowd"))
     flagged = opened.join(crowded, "h", "left")
@@ -361,8 +363,9 @@ def spans(docs: DataFrame, contexts: int = CONTEXTS) -> tuple[DataFrame, DataFra
     def with_bytes(places: DataFrame) -> DataFrame:
         lists = places.groupBy(F.col("key").alias("_key"), F.col("th").alias("_th"))
         lists = lists.agg(F.collect_list(F.struct("h", "place", "whole")).alias("found"))
-        met = dealt.join(lists, (F.col("key") == F.col("_key")) & (F.col("th") == F.col("_th"))).select("key", "th", "text", "found")
-        return met.mapInArrow(cut, "h long, key long, th int, first long, offset long, whole boolean, data binary")
+        # All columns of the dealt documents go on, so that this is the same shuffle as the one of the last step.
+        met = dealt.join(lists, (F.col("key") == F.col("_key")) & (F.col("th") == F.col("_th")))
+        return met.select(*dealt.columns, "found").mapInArrow(cut, "h long, key long, th int, first long, offset long, whole boolean, data binary")
 
     some = _compared(with_bytes(flagged.where("crowd IS NULL"))).unionByName(_counted(with_bytes(flagged.where("crowd"))))
     at = F.shiftright("place", 16)
@@ -393,10 +396,10 @@ def _kept(data: bytes, gone: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def _with_spans(docs: DataFrame, contexts: int) -> DataFrame:
-    dealt, covered = spans(docs, contexts)
+def _with_spans(docs: DataFrame, contexts: int, others: list[str] | None = None) -> DataFrame:
+    dealt, covered = spans(docs, contexts, others)
     joined = dealt.join(covered, (F.col("key") == F.col("_key")) & (F.col("th") == F.col("_th")), "left")
-    return joined.select("key", "th", "text", "spans")
+    return joined.select(*dealt.columns, "spans")
 
 
 def report(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
@@ -415,3 +418,26 @@ def report(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return _with_spans(docs, contexts).mapInArrow(run, schema)
+
+
+def remove(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
+    """The documents with the covered bytes cut out of their texts, and n_chars counted anew; all other columns as they are.
+
+    A character that loses some of its bytes loses all. A null text becomes an empty one.
+    """
+    joined = _with_spans(docs, contexts, [c for c in docs.columns if c != "text"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = []
+            for text, list_ in zip(batch.column("text"), batch.column("spans")):
+                data = text.as_py().encode("utf-8", "surrogatepass")
+                left.append(_kept(data, _merged(list_.values)).decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(left, pa.string())], names=["rest", "text"])
+
+    schema = T.StructType([joined.schema["rest"], joined.schema["text"]])
+    found = joined.select("rest", "text", "spans").mapInArrow(run, schema)
+    columns = {c: F.col("rest")[c] for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
