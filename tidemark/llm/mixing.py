@@ -184,6 +184,8 @@ def resample(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int
     probability by a hash of doc_id. A document of which the mix takes nothing, or that has no words, goes."""
     shares = taken(docs, block, slots, seed).where("taken > 0").groupBy(F.col("doc_id").alias("_id"))
     shares = shares.agg((F.sum("taken") / F.sum("size")).alias("_share"))
-    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), F.lit(1_000_000)) / 1_000_000
-    met = docs.join(shares, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    return met.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.floor(F.col("_share") + chance).cast("int")))).select(*docs.columns)
+    packed = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.struct(*docs.columns).alias("_row"))
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("_doc")), F.lit(1_000_000)) / 1_000_000
+    met = packed.join(shares, F.col("_doc").eqNullSafe(F.col("_id")))
+    copies = F.array_repeat(F.col("_row"), F.floor(F.col("_share") + chance).cast("int"))
+    return met.select(F.explode(copies).alias("_row")).select("_row.*")
