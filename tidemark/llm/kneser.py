@@ -147,7 +147,9 @@ def surprise_table(counts: DataFrame) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(trusted_ids(labels, True), "doc_id", "left_semi")
+    # Labels grow with the corpus, so the join is never planned as a broadcast, however few they are.
+    ids = trusted_ids(labels, True).hint("merge")
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
     return surprise_table(count_runs(kept))
 
 

@@ -186,6 +186,6 @@ def resample(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int
     shares = shares.agg((F.sum("taken") / F.sum("size")).alias("_share"))
     packed = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.struct(*docs.columns).alias("_row"))
     chance = F.pmod(F.xxhash64(F.lit(seed), F.col("_doc")), F.lit(1_000_000)) / 1_000_000
-    met = packed.join(shares, F.col("_doc").eqNullSafe(F.col("_id")))
+    met = packed.join(shares.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
     copies = F.array_repeat(F.col("_row"), F.floor(F.col("_share") + chance).cast("int"))
     return met.select(F.explode(copies).alias("_row")).select("_row.*")

@@ -173,4 +173,4 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     """The documents whose doc_id is the smallest of their component; rows without a doc_id stay."""
     marked = near_duplicates(docs, shingle, radius)
     gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti")
