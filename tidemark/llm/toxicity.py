@@ -37,8 +37,8 @@ FEATURES = 4096
 EVIDENCE = 2.7
 STEMS = (4, 5, 6, 7, 8)
 LEAST = 0.5
-_STEPS = 600
-_RIDGE = 1e-4
+_STEPS = 1000
+_RIDGE = 3e-5
 
 
 @dataclass
@@ -140,7 +140,7 @@ def fit(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade: np.nda
             (np.bincount(columns, weights=values * d_score[rows], minlength=n_features) / n - _RIDGE * weights, later[:1] / n, later[1:] * gaps / n)
         )
         mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
-        params = params + 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
+        params = params + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
     gaps = np.exp(params[n_features + 1 :])
     return params[:n_features], params[n_features] + np.concatenate(([0], np.cumsum(gaps)))
 
