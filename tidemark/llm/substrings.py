@@ -255,6 +255,8 @@ def _covered(h: np.ndarray, offset: np.ndarray, data: list[bytes]) -> tuple[np.n
 
 def _runs(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Owner, first byte and end of the stretches that strings at these starts cover."""
+    if not len(owner):
+        return owner, start, start
     order = np.lexsort((start, owner))
     owner, start = owner[order], start[order]
     begins = np.ones(len(owner), dtype=bool)
