@@ -6,8 +6,8 @@ a longer word, so that forms of a word count together. A feature has two values
 log(1 + 100 count / (words + 20)), with a weight each: some words count however long the text, some only if dense. The output is the expected severity, sum over k of P(grade > k); a document is toxic if P(grade > 0)
 reaches ``LEAST``.
 
-The labels say toxic or not. A feature counts once in a document, in one of its contexts there (the words before and
-behind), and once in all documents in which that context is the same, so that neither long documents nor copies count often.
+The labels say toxic or not. A feature counts once in a document, in one of its contexts there (two words before
+and two behind), and once in all documents in which that context is the same, so that neither long documents nor copies count often.
 Features whose log odds in toxic and other documents differ by ``EVIDENCE`` standard errors are used, the ``FEATURES``
 strongest at most. Grade 0 is not toxic; toxic documents are graded by thirds of their number of features that speak for toxicity.
 
@@ -80,10 +80,13 @@ def _evidence(sample: DataFrame, n_toxic: int, n_other: int, least: float, most:
             words, whole, word, at = _features(batch.column("text"))
             if not len(whole):
                 continue
-            before, behind = np.roll(whole, 1), np.roll(whole, -1)
-            before[words.first[:-1][np.diff(words.first) > 0]] = 0
-            behind[words.first[1:][np.diff(words.first) > 0] - 1] = 0
-            context, row = mix(mix(before) + behind)[at], words.rows[at]
+            owner, beside = words.rows, np.zeros(len(whole), dtype=np.uint64)
+            for step in (-2, -1, 1, 2):
+                other = np.arange(len(whole)) + step
+                near = (other >= 0) & (other < len(whole))
+                near[near] = owner[other[near]] == owner[near]
+                beside = mix(beside + np.where(near, whole[np.clip(other, 0, len(whole) - 1)], np.uint64(step + 3)))
+            context, row = beside[at], owner[at]
             order = np.lexsort((context, word, row))
             word, context, row = word[order], context[order], row[order]
             first = np.ones(len(word), dtype=bool)
