@@ -27,9 +27,9 @@ import regex
 
 from tidemark.llm.text import WHITE, buffers
 
-# Text encoded at once, and distinct pieces remembered by a Python worker before it forgets all of them.
+# Text encoded at once, and distinct pieces remembered by a Python worker before it forgets all but the last text's.
 BATCH_BYTES = 4 << 20
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 _OTHER_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # Characters whose normal form, small letter and class are simple: printable, below U+0250, without U+0130.
@@ -116,14 +116,21 @@ class Encoder:
         self.pattern = regex.compile(_PATTERNS[self.cut])
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.parts: dict[str, list[int]] = {}
         self.ids = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
 
+    def _forget(self, but: list[bytes] = ()) -> None:
+        """Forget all pieces but those, which are likely to come again."""
+        kept = [p for p in but if p in self.known]
+        number = np.array([self.known[p] for p in kept], dtype=np.int64)
+        sizes = np.diff(self.starts)[number]
+        heads = np.cumsum(sizes) - sizes
+        self.ids = self.ids[np.arange(sizes.sum()) + np.repeat(self.starts[number] - heads, sizes)]
+        self.starts = np.concatenate(([0], np.cumsum(sizes)))
+        self.known, self.parts = {p: i for i, p in enumerate(kept)}, {}
+
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         sizes = np.fromiter((len(x) for x in found), dtype=np.int64, count=len(found))
@@ -153,7 +160,7 @@ class Encoder:
     def _look_up(self, pieces: list[bytes]) -> np.ndarray:
         """The number of each piece in the store."""
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self._forget(pieces)
         known = self.known
         new = [p for p in pieces if p not in known]
         if new:
