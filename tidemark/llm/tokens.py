@@ -28,7 +28,7 @@ import regex
 from tidemark.llm.text import WHITE, buffers
 
 # Text encoded at once, and distinct pieces remembered by a Python worker before it forgets all but the last text's.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 REMEMBERED = 300_000
 
 _OTHER_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -72,6 +72,11 @@ _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[0x41:0x5B] += 32
 
 
+# Bytes that other white space and special tokens begin with.
+_ODD = np.zeros(256, dtype=bool)
+_ODD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0x3C]] = True
+
+
 def _shifted(x: np.ndarray, by: int) -> np.ndarray:
     """The value before (1) or behind (-1) each place; zero beyond the ends."""
     out = np.zeros_like(x)
@@ -102,6 +107,17 @@ def tiles(raw: np.ndarray, offsets: np.ndarray, cut: str) -> tuple[np.ndarray, n
     return raw, bounds, np.searchsorted(bounds[:-1], offsets)
 
 
+def _suspects(raw: np.ndarray, offsets: np.ndarray) -> list[int]:
+    """The rows that may have other white space or a special token's string, by their bytes."""
+    odd = np.flatnonzero(_ODD[raw])
+    if not len(odd):
+        return []
+    after = raw[np.minimum(odd + 1, len(raw) - 1)]
+    # U+0085 and U+00A0 are the only white space behind 0xC2, and special tokens begin with "<|".
+    odd = odd[((raw[odd] != 0xC2) | (after == 0x85) | (after == 0xA0)) & ((raw[odd] != 0x3C) | (after == 0x7C))]
+    return np.unique(np.searchsorted(offsets, odd, side="right") - 1).tolist()
+
+
 class Encoder:
     """One tokenizer in a Python worker, with the pieces that it has seen."""
 
@@ -111,6 +127,8 @@ class Encoder:
         self.cut = cut
         self.tokenizer = Tokenizer.from_str(content)
         special = [t["content"] for t in json.loads(content).get("added_tokens", [])]
+        if not all(t.startswith("<|") for t in special):
+            raise ValueError("a special token that doesn't begin with <|")
         whole = "|".join(re.escape(s) for s in special if s)
         self.whole = re.compile(f"{_OTHER_SPACE}|{whole}" if whole else _OTHER_SPACE)
         self.pattern = regex.compile(_PATTERNS[self.cut])
@@ -178,18 +196,21 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows in one array, and the rows' offsets in it. A null has no ids."""
-        raw, offsets = buffers(texts)
-        rows = len(offsets) - 1
-        raw, bounds, first = tiles(raw, offsets, self.cut)
-        found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(raw.tobytes())])
+        bytes_ = buffers(texts)
+        rows = len(texts)
+        raw, bounds, first = tiles(*bytes_, self.cut)
+        found = pa.Array.from_buffers(
+            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))]
+        )
         found = found.dictionary_encode()
         number = self._look_up(found.dictionary.to_pylist())[found.indices.to_numpy(zero_copy_only=False)]
         sizes = np.diff(self.starts)[number]
         heads = np.cumsum(sizes) - sizes
-        at = np.arange(sizes.sum()) - np.repeat(heads - self.starts[number], sizes)
+        at = np.arange(sizes.sum(), dtype=np.int32)
+        at += np.repeat((self.starts[number] - heads).astype(np.int32), sizes)
         ids = self.ids[at]
         ends = np.concatenate(([0], np.cumsum(sizes)))[first]
-        odd = [i for i, t in enumerate(texts.to_pylist()) if t and self.whole.search(t)]
+        odd = [i for i in _suspects(*bytes_) if (t := texts[i].as_py()) and self.whole.search(t)]
         if not odd:
             return ids, ends
         flat, lengths = self._encode([texts[i].as_py() for i in odd])
