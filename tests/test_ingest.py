@@ -58,6 +58,30 @@ def test_late_rows_on_the_watermark_are_picked_up(spark, rows, paths, specs):
     assert audit(ingest_all(spark, spec, {"a": more}, paths)) == {"a": ("OK", 3, "2025-01-03 00:00:00")}
 
 
+def test_a_changed_row_on_the_watermark_is_picked_up(spark, rows, paths, specs):
+    """As many rows as before on the mark, but not the same ones."""
+    spec = specs[:1]
+    ingest_all(spark, spec, {"a": rows(SCHEMA, (1, "x", at(1)), (2, "y", at(2)))}, paths)
+    other = rows(SCHEMA, (1, "x", at(1)), (3, "z", at(2)))
+    assert audit(ingest_all(spark, spec, {"a": other}, paths))["a"][:2] == ("OK", 1)
+    assert set(bronze_ids(spark, paths, "a")) == {1, 2, 3}
+    assert audit(ingest_all(spark, spec, {"a": other}, paths))["a"][0] == "EMPTY"
+
+
+def test_the_mark_does_not_depend_on_the_time_zone(spark, rows, paths, specs):
+    spec, zone = specs[:1], spark.conf.get("spark.sql.session.timeZone")
+    first = rows(SCHEMA, (1, "x", at(1)), (2, "y", at(2)))
+    ingest_all(spark, spec, {"a": first}, paths)
+    more = first.unionAll(rows(SCHEMA, (3, "z", datetime(2025, 1, 2, 1))))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert audit(ingest_all(spark, spec, {"a": first}, paths))["a"][0] == "EMPTY"
+        assert audit(ingest_all(spark, spec, {"a": more}, paths))["a"][:2] == ("OK", 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert set(bronze_ids(spark, paths, "a")) == {1, 2, 3}
+
+
 def test_backfill_takes_older_rows_and_keeps_the_mark(spark, rows, paths, specs):
     spec = specs[:1]
     first = rows(SCHEMA, (2, "y", at(20)))

@@ -48,3 +48,21 @@ def test_conform_rescues_what_a_cast_would_change(rows):
 def test_conform_keeps_earlier_rescue(rows):
     df = rows("id int, v int, _rescued_data string", (1, 2, "old"))
     assert values(conform(df, DECLARED)) == [(1, 2, "old")]
+
+
+def test_an_earlier_rescue_is_kept(rows):
+    df = rows(
+        "id int, v string, _rescued_data string",
+        (1, "x", '{"old":"1"}'),
+        (2, "y", '{"v":"first"}'),
+        (3, "z", "no object"),
+        (4, "5", '{"old":"2"}'),
+        (5, "w", None),
+    )
+    assert [(r["id"], r["v"], json.loads(r["_rescued_data"])) for r in conform(df, DECLARED).orderBy("id").collect()] == [
+        (1, None, {"old": "1", "v": "x"}),
+        (2, None, {"v.earlier": "first", "v": "y"}),
+        (3, None, {"_rescued_data": "no object", "v": "z"}),
+        (4, 5, {"old": "2"}),
+        (5, None, {"v": "w"}),
+    ]

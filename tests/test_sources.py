@@ -8,7 +8,7 @@ from pyspark.sql.types import DateType, IntegerType, StructType, TimestampType
 from tidemark.plans.model import MODEL
 from tidemark.sources.bronze import bronze_folder, land_bronze, read_bronze
 from tidemark.sources.control import TableSpec, load_specs
-from tidemark.sources.extract import extract_from, extract_since, extract_window, remainder_predicates
+from tidemark.sources.extract import bounds_query, extract_from, extract_since, extract_window, range_predicates
 from tidemark.sources.tables import create_target, read_or_empty, read_table, write_table
 from tidemark.sources.watermarks import Watermark, commit_watermark, get_watermark, watermark_table
 
@@ -45,10 +45,19 @@ def test_extract_reaches_the_scan(spark, source, tmp_path):
     assert "PushedFilters: [IsNotNull(at), GreaterThan(at," in text
 
 
-def test_remainder_predicates_cover_every_key_once(spark, rows):
-    df = rows("k int", *[(i,) for i in range(-20, 21)], (None,))
-    parts = [df.filter(p).count() for p in remainder_predicates("k", 4)]
-    assert sum(parts) == 42 and all(parts)
+@pytest.mark.parametrize("bounds", [[], [5], [-7, 3, 9, 20], [3, 3, 3], [-20, 20]])
+def test_range_predicates_cover_every_key_once(spark, rows, bounds):
+    df = rows("k int", *[(i,) for i in range(-30, 31)], (None,))
+    parts = [df.filter(p).count() for p in range_predicates("k", bounds)]
+    assert sum(parts) == 62 and all(parts) and len(parts) == max(len(set(bounds)), 1)
+
+
+def test_bounds_query_balances_uneven_keys(spark, rows):
+    rows("k int", *[(i * i * i,) for i in range(40)], (None,)).createOrReplaceTempView("uneven")
+    bounds = [r[0] for r in spark.sql(bounds_query("uneven", "k", 4)).collect()]
+    parts = [spark.table("uneven").filter(p).count() for p in range_predicates("k", bounds)]
+    assert sum(parts) == 41 and max(parts) <= 11
+    assert "MOD" not in bounds_query("t", "k", 4) + " ".join(range_predicates("k", bounds))
 
 
 def test_watermark_is_typed_and_never_regresses(spark, tmp_path):
@@ -66,7 +75,7 @@ def test_watermark_is_typed_and_never_regresses(spark, tmp_path):
 def test_bronze_is_dated_and_append_only(spark, source, tmp_path):
     folder = bronze_folder(str(tmp_path), "T", "run1", datetime(2025, 10, 7, 1, 2, 3))
     assert folder == f"{tmp_path}/T/2025-10-07/T_20251007_010203_run1"
-    assert land_bronze(source, folder, "at", "2025-01-03") == (4, 1)
+    assert land_bronze(source, folder, "at", "2025-01-03")[:2] == (4, 1)
     other = source.filter("id = 1").withColumn("new", source["id"])
     land_bronze(other, bronze_folder(str(tmp_path), "T", "run2"), "at", "2025-01-01")
     with pytest.raises(Exception):

@@ -9,11 +9,13 @@ from tidemark.operators.dedupe import dedupe_stream
 from tidemark.operators.quality import apply_rules, expect, expect_or_drop
 from tidemark.operators.scd import scd1, scd2
 from tidemark.sources.control import TableSpec
+from tidemark.streaming import dimensions
 from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import (
     append_stream,
     available_now,
     await_all,
+    counted_sink,
     rule_totals,
     stream_files,
     stream_table,
@@ -111,16 +113,43 @@ def test_catalog_table_grows_and_can_be_streamed(spark, lake):
     assert values(lake.read(StructType([SCHEMA["k"]]), "copy")) == [(1,), (2,)]
 
 
-def test_rules_are_counted_on_a_stream(lake):
-    rules = [expect("has_tier", "tier IS NOT NULL"), expect_or_drop("positive", "k > 0")]
+RULES = [expect("has_tier", "tier IS NOT NULL"), expect_or_drop("positive", "k > 0")]
+
+
+def test_rules_are_observed_on_a_stream(lake):
     lake.drop([(1, None, t(1)), (0, "Free", t(1)), (None, "Free", t(1))])
-    valid, nothing = apply_rules(lake.source(), rules, "t_rules")
+    valid, nothing = apply_rules(lake.source(), RULES, "t_rules")
     query = lake.run(valid)
     assert nothing is None
-    assert rule_totals(query, "t_rules") == {"rows": 3, "has_tier": 1, "positive": 2}
+    assert query.lastProgress.observedMetrics["t_rules"].asDict() == {"rows": 3, "has_tier": 1, "positive": 2}
     assert values(lake.read()) == [(1, None, t(1))]
 
 
+def test_rules_are_counted_over_all_batches(spark, lake, monkeypatch):
+    """More batches than a query keeps progress for, a repeated batch, and a stream that starts anew."""
+    landed = []
+    for n in range(6):
+        lake.drop([(n, None if n % 2 else "Free", t(1))])
+    counts, checkpoint = f"{lake.base}/counts", f"{lake.base}/checkpoint"
+    sink = counted_sink(RULES, "t", counts, checkpoint, lambda batch, number: landed.append(batch.count()))
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        query = available_now(lake.source(max_files=1), checkpoint).foreachBatch(sink).start()
+        await_all([query])
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert len(query.recentProgress) <= 2 and len(landed) == 6 and sum(landed) == 5
+    expected = [("t", "has_tier", "warn", 3, 3), ("t", "positive", "drop", 5, 1)]
+    assert values(rule_totals(spark, counts)) == expected
+    sink(spark.createDataFrame([(5, None, t(1))], SCHEMA), 5)  # the last batch comes again
+    assert sum(r["passed"] + r["failed"] for r in rule_totals(spark, counts).collect()) == 12
+    again = f"{lake.base}/other"
+    sink = counted_sink(RULES, "t", counts, again, lambda batch, number: None)
+    await_all([available_now(lake.source(), again).foreachBatch(sink).start()])
+    assert sum(r["passed"] + r["failed"] for r in rule_totals(spark, counts).collect()) == 24
+
+
 def test_a_failing_stream_fails_the_wait(spark, lake):
     lake.drop([(1, "Free", t(1))])
     good = append_stream(lake.source(), f"{lake.base}/a/data", f"{lake.base}/a/checkpoint")
@@ -149,14 +178,64 @@ def test_append_unseen_is_repeatable(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize("dedupe", ["version", "unseen", "key", "none"])
+def test_append_unseen_by_key(spark, tmp_path):
+    path = f"{tmp_path}/fact"
+    append_unseen(spark.createDataFrame([(1, "a", t(1)), (1, "b", t(2)), (5, "c", t(2))], SCHEMA), path, ["k"], "at", True)
+    again = [(1, "late", t(9)), (3, "new", t(1)), (None, "n", t(1)), (5, "c", t(2))]
+    append_unseen(spark.createDataFrame(again, SCHEMA), path, ["k"], "at", True)
+    append_unseen(spark.createDataFrame(again, SCHEMA), path, ["k"], "at", True)
+    assert values(spark.read.parquet(path).select("k", "tier", "at")) == [
+        (1, "b", t(2)),
+        (3, "new", t(1)),
+        (5, "c", t(2)),
+        (None, "n", t(1)),
+    ]
+
+
+@pytest.mark.parametrize("tracked", [(), ("tier",)])
+def test_store_survives_a_new_checkpoint(spark, lake, tracked):
+    store = DimensionStore(f"{lake.base}/store", ("k",), ("at",), tracked, buckets=3)
+    for n, part in enumerate((LOG[:4], LOG[4:])):
+        lake.drop(part)
+        checkpoint = f"{lake.base}/checkpoint-{n}"  # a new one each time, so batches are numbered from 0 again
+        await_all([available_now(lake.source(), checkpoint).foreachBatch(store.sink(checkpoint)).start()])
+    log = spark.createDataFrame(LOG, SCHEMA)
+    whole = scd2(log, ["k"], ["at"], ["tier"]) if tracked else scd1(log, ["k"], ["at"])
+    assert values(store.read(spark, SCHEMA)) == values(whole)
+
+
+def test_store_refuses_another_layout(spark, tmp_path):
+    DimensionStore(f"{tmp_path}/s", ("k",), ("at",), ("tier",), buckets=3).apply(spark.createDataFrame(LOG, SCHEMA), "a")
+    for other in ({"buckets": 4}, {"track": ()}, {"keys": ("tier",)}):
+        store = DimensionStore(f"{tmp_path}/s", **{"keys": ("k",), "sequence_by": ("at",), "track": ("tier",), "buckets": 3, **other})
+        with pytest.raises(ValueError, match="opened as"):
+            store.apply(spark.createDataFrame(LOG, SCHEMA), "b")
+
+
+def test_store_stays_small_over_many_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dimensions, "LOG_RUNS", 4)
+    store = DimensionStore(f"{tmp_path}/s", ("k",), ("at",), ("tier",), buckets=2)
+    rows, files = [], []
+    for run in range(12):
+        part = [(k, "AB"[(run + k) % 2], t(run)) for k in range(4)]
+        rows += part
+        store.apply(spark.createDataFrame(part, SCHEMA), f"s/{run}")
+        files.append(sum(p.suffix == ".parquet" for p in tmp_path.rglob("*")))
+    assert values(store.read(spark, SCHEMA)) == values(scd2(spark.createDataFrame(rows, SCHEMA), ["k"], ["at"], ["tier"]))
+    assert max(files[6:]) <= max(files[:6]) + 4
+    for run in range(12):  # batches of compacted runs are still known
+        store.apply(spark.createDataFrame([(9, "Z", t(99))], SCHEMA), f"s/{run}")
+    assert store.read(spark, SCHEMA).filter("k = 9").count() == 0
+
+
+@pytest.mark.parametrize("dedupe", ["version", "unseen", "unseen_key", "key", "none"])
 def test_run_silver(spark, lake, dedupe):
     spec = TableSpec("t", "at", keys=("k",), sequence=("at",), dedupe=dedupe)
     for batch in ([(1, "Free", t(1)), (1, "Free", t(1))], [(1, "Free", t(1)), (1, "Premium", t(2))]):
         lake.drop(batch)
         run_silver(spark, [spec], {"t": SCHEMA}, f"{lake.base}/bronze", f"{lake.base}/silver")
     rows = read_silver(spark, spec, SCHEMA, f"{lake.base}/silver").count()
-    assert rows == {"version": 2, "unseen": 2, "key": 1, "none": 4}[dedupe]
+    assert rows == {"version": 2, "unseen": 2, "unseen_key": 1, "key": 1, "none": 4}[dedupe]
 
 
 LOG = [
@@ -183,8 +262,8 @@ def test_history_by_batches_equals_history_at_once(spark, tmp_path, cuts, backwa
     start = 0
     for run, end in enumerate(cuts):
         batch = spark.createDataFrame(log[start:end], SCHEMA)
-        store.apply(batch, run)
-        store.apply(batch, run)  # a repeated run changes nothing
+        store.apply(batch, f"s/{run}")
+        store.apply(batch, f"s/{run}")  # a repeated batch changes nothing
         start = end
     whole = scd2(spark.createDataFrame(log, SCHEMA), ["k"], ["at"], ["tier"])
     assert values(store.read(spark, SCHEMA)) == values(whole)
@@ -193,15 +272,15 @@ def test_history_by_batches_equals_history_at_once(spark, tmp_path, cuts, backwa
 def test_latest_rows_by_batches_equal_latest_at_once(spark, tmp_path):
     store = DimensionStore(f"{tmp_path}/store", ("k",), ("at",), buckets=3)
     for run, part in enumerate((LOG[:4], LOG[4:7], LOG[7:7], LOG[7:])):
-        store.apply(spark.createDataFrame(part, SCHEMA), run)
-        store.apply(spark.createDataFrame(part, SCHEMA), run)
+        store.apply(spark.createDataFrame(part, SCHEMA), f"s/{run}")
+        store.apply(spark.createDataFrame(part, SCHEMA), f"s/{run}")
     whole = scd1(spark.createDataFrame(LOG, SCHEMA), ["k"], ["at"])
     assert values(store.read(spark, SCHEMA)) == values(whole)
 
 
 def test_history_survives_a_run_that_died(spark, tmp_path, monkeypatch):
     store = DimensionStore(f"{tmp_path}/store", ("k",), ("at",), ("tier",), buckets=2)
-    store.apply(spark.createDataFrame(LOG[:5], SCHEMA), 0)
+    store.apply(spark.createDataFrame(LOG[:5], SCHEMA), "s/0")
     before = values(store.read(spark, SCHEMA))
 
     real = DimensionStore._write
@@ -213,11 +292,11 @@ def test_history_survives_a_run_that_died(spark, tmp_path, monkeypatch):
 
     monkeypatch.setattr(DimensionStore, "_write", dies_after_rows)
     with pytest.raises(RuntimeError):
-        store.apply(spark.createDataFrame(LOG[5:], SCHEMA), 1)
+        store.apply(spark.createDataFrame(LOG[5:], SCHEMA), "s/1")
     monkeypatch.setattr(DimensionStore, "_write", real)
     assert values(store.read(spark, SCHEMA)) == before
 
-    store.apply(spark.createDataFrame(LOG[5:], SCHEMA), 1)
+    store.apply(spark.createDataFrame(LOG[5:], SCHEMA), "s/1")
     whole = scd2(spark.createDataFrame(LOG, SCHEMA), ["k"], ["at"], ["tier"])
     assert values(store.read(spark, SCHEMA)) == values(whole)
 
@@ -226,8 +305,8 @@ def test_history_from_a_stream(spark, lake):
     store = DimensionStore(f"{lake.base}/store", ("k",), ("at",), ("tier",), buckets=4)
     for part in (LOG[:4], LOG[4:]):
         lake.drop(part)
-        sink = available_now(lake.source(), f"{lake.base}/history-checkpoint")
-        await_all([sink.foreachBatch(store.apply).start()])
+        checkpoint = f"{lake.base}/history-checkpoint"
+        await_all([available_now(lake.source(), checkpoint).foreachBatch(store.sink(checkpoint)).start()])
     whole = scd2(spark.createDataFrame(LOG, SCHEMA), ["k"], ["at"], ["tier"])
     assert values(store.read(spark, SCHEMA)) == values(whole)
     assert store.read(spark, SCHEMA).filter(F.col("__END_AT").isNull()).count() == 4

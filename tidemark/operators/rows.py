@@ -55,8 +55,8 @@ def keep_in(df: DataFrame, c: str, values: Sequence) -> DataFrame:
 
 
 def search_rows(df: DataFrame, pattern: str) -> DataFrame:
-    """Rows in which any column, as text, contains the regular expression, ignoring case."""
-    expression = f"(?i){pattern}"
+    """Rows in which any column, as text, contains the regular expression, ignoring case in any script."""
+    expression = f"(?iu){pattern}"
     hits = [F.col(f"`{c}`").cast("string").rlike(expression) for c in df.columns]
     return df.filter(reduce(or_, hits))
 

@@ -1,7 +1,12 @@
-"""The full cycle: sources to bronze, bronze to silver, silver to gold. Every step can be repeated."""
+"""The full cycle: sources to bronze, bronze to silver, silver to gold. Every step can be repeated.
+
+Each step reads what is new since the last cycle: streams read new files only, dimensions refresh the keys of a batch, the
+daily mart the days of a batch, and the ranking adds a batch's sums to those of the tracks in it.
+"""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -10,22 +15,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.quality import apply_rules, keep_valid, quality_report
+from tidemark.operators.joins import count_per_key
 from tidemark.operators.rows import event_date
 from tidemark.plans.ingest import LakePaths, Source, ingest_all
-from tidemark.plans.marts import daily_metrics, top_creators
-from tidemark.plans.model import COMMENTS, DIMENSIONS, FACT_RULES, PROPERTIES, fact_stream
+from tidemark.plans.marts import creators_by_totals, daily_metrics
+from tidemark.plans.model import COMMENTS, DIMENSIONS, PROPERTIES, fact_stream
 from tidemark.sources.control import EPOCH_DATE, TableSpec
 from tidemark.sources.schemas import registered_schema
-from tidemark.sources.tables import describe_table, path_exists, read_or_empty, write_path, write_table
+from tidemark.sources.tables import (
+    create_target,
+    describe_table,
+    path_exists,
+    publish_run,
+    read_or_empty,
+    read_run,
+    write_table,
+)
 from tidemark.streaming.dimensions import DimensionStore
-from tidemark.streaming.files import append_stream, available_now, await_all, stream_files
-from tidemark.streaming.silver import read_silver, run_silver, silver_schema
+from tidemark.streaming.files import append_stream, available_now, await_all, batch_name, counted_sink, rule_totals, stream_files
+from tidemark.streaming.silver import run_silver, silver_schema
 
 FACT = "FactStream"
 FACT_TABLE = "gold_fact_stream"
 DAILY_TABLE = "gold_daily_streaming_metrics"
 TOP_TABLE = "gold_top_artists_by_streams"
+FILES_A_DAY = 8
 
 
 @dataclass(frozen=True)
@@ -49,27 +63,31 @@ def run_cycle(
 ) -> CycleReport:
     """Ingest, refine, publish. Running it again without new source rows leaves every table as it is.
 
+    ``specs`` may name any tables; the gold tables are those whose sources are among them.
+
     With ``database`` the gold tables are also published in the catalog, with their comments and properties.
     """
     by_table = {s.table: s for s in specs}
     audit = ingest_all(spark, specs, source, paths, backfill, backfill_from)
     landed = landed_schemas(spark, specs, paths)
-    run_silver(spark, specs, landed, paths.bronze, paths.silver)
+    run_silver(spark, specs, landed, paths.bronze, paths.silver, database)
     schemas = {t: silver_schema(spark, s, landed.get(t) or s.columns) for t, s in by_table.items()}
     gold = publish_dimensions(spark, by_table, schemas, landed.keys(), paths, buckets)
-    gold[FACT_TABLE] = publish_fact(spark, schemas[FACT], FACT in landed, paths, database)
-    gold[DAILY_TABLE] = publish_daily(spark, gold[FACT_TABLE], paths)
-    top = top_creators(gold[FACT_TABLE], gold["gold_dim_track_scd1"], gold["gold_dim_artist_scd1"])
-    write_path(top, f"{paths.gold}/{TOP_TABLE}")
-    gold[TOP_TABLE] = spark.read.schema(top.schema).parquet(f"{paths.gold}/{TOP_TABLE}")
+    if FACT in by_table:
+        gold[FACT_TABLE] = publish_fact(spark, schemas[FACT], FACT in landed, paths, database)
+        gold[DAILY_TABLE] = publish_daily(spark, gold[FACT_TABLE], paths)
+        if {"gold_dim_track_scd1", "gold_dim_artist_scd1"} <= gold.keys():
+            gold[TOP_TABLE] = publish_top(spark, gold, paths)
+    count_others(spark, by_table, schemas, landed.keys(), paths)
     if database is not None:
         publish_catalog(spark, gold, database)
-    checked = [
-        quality_report(read_silver(spark, s, landed.get(s.table) or s.columns, paths.silver), s.rules, s.table)
-        for s in specs
-        if s.rules
-    ]
-    return CycleReport(audit, reduce(DataFrame.unionAll, checked), gold)
+    checked = [rule_totals(spark, _counts(paths, s.table)) for s in specs if s.rules]
+    quality = reduce(DataFrame.unionAll, checked) if checked else rule_totals(spark, _counts(paths, "none"))
+    return CycleReport(audit, quality, gold)
+
+
+def _counts(paths: LakePaths, table: str) -> str:
+    return f"{paths.audit}-rules/{table}"
 
 
 def landed_schemas(
@@ -95,14 +113,36 @@ def publish_dimensions(
     """Stream what is new in the silver change logs into the dimensions, all side by side."""
     stores, queries = {}, []
     for name, table in DIMENSIONS.items():
+        if table not in specs:
+            continue
         spec, base = specs[table], f"{paths.gold}/{name}"
         stores[name] = DimensionStore(f"{base}/data", spec.keys, spec.sequence, spec.track, buckets)
         if table in landed:
+            arriving, checkpoint = stream_files(spark, f"{paths.silver}/{table}/data", schemas[table]), f"{base}/checkpoint"
+            land = stores[name].sink(checkpoint)
+            if spec.rules:
+                land = counted_sink(spec.rules, table, _counts(paths, table), checkpoint, land)
+            queries.append(available_now(arriving, checkpoint, name).foreachBatch(land).start())
+    await_all(queries)
+    return {name: store.read(spark, schemas[DIMENSIONS[name]]) for name, store in stores.items()}
+
+
+def count_others(
+    spark: SparkSession,
+    specs: Mapping[str, TableSpec],
+    schemas: Mapping[str, StructType],
+    landed: Collection[str],
+    paths: LakePaths,
+) -> None:
+    """Count the rules of tables that no dimension is made of; only what is new is read."""
+    queries = []
+    for table in sorted(set(landed) - set(DIMENSIONS.values())):
+        if specs[table].rules:
+            base = _counts(paths, table)
             arriving = stream_files(spark, f"{paths.silver}/{table}/data", schemas[table])
-            sink = available_now(keep_valid(arriving, spec.rules), f"{base}/checkpoint", name)
-            queries.append(sink.foreachBatch(stores[name].apply).start())
+            land = counted_sink(specs[table].rules, table, base, f"{base}-checkpoint", lambda batch, number: None)
+            queries.append(available_now(arriving, f"{base}-checkpoint", f"rules-{table}").foreachBatch(land).start())
     await_all(queries)
-    return {name: stores[name].read(spark, schemas[table]) for name, table in DIMENSIONS.items()}
 
 
 def publish_fact(
@@ -116,10 +156,9 @@ def publish_fact(
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         table = database and f"{database}.{FACT_TABLE}"
         arriving = stream_files(spark, f"{paths.silver}/{FACT}/data", schema)
-        valid, _ = apply_rules(arriving, FACT_RULES, FACT_TABLE)
-        query = append_stream(
-            event_date(valid), f"{base}/data", f"{base}/checkpoint", table, FACT_TABLE, ["stream_date"]
-        )
+        # A day's rows of a batch go to a few tasks, and so to a few files, however many tasks have read them.
+        dealt = fact_stream(arriving).repartition("stream_date", F.pmod(F.hash("stream_id"), F.lit(FILES_A_DAY)))
+        query = append_stream(dealt, f"{base}/data", f"{base}/checkpoint", table, FACT_TABLE, ["stream_date"])
         await_all([query])
     return read_or_empty(spark, f"{base}/data", shape)
 
@@ -129,27 +168,61 @@ def publish_daily(spark: SparkSession, fact: DataFrame, paths: LakePaths) -> Dat
     base = f"{paths.gold}/{DAILY_TABLE}"
     store = DimensionStore(f"{base}/data", ("stream_date",), ("refresh",), buckets=1)
 
-    def refreshed(days: list, run: int) -> DataFrame:
-        metrics = daily_metrics(fact.filter(F.col("stream_date").isin(days)), extended=True)
-        return metrics.withColumn("refresh", F.lit(run).cast("bigint"))
+    def refreshed(days: DataFrame) -> DataFrame:
+        metrics = daily_metrics(fact.join(days, "stream_date", "left_semi"), extended=True, ordered=False)
+        return metrics.withColumn("refresh", F.lit(time.time_ns()))
 
-    def refresh(batch: DataFrame, run: int) -> None:
-        days = [r["stream_date"] for r in event_date(batch).select("stream_date").distinct().collect()]
-        store.apply(refreshed(days, run), run)
+    def refresh(batch: DataFrame, number: int) -> None:
+        days = event_date(batch).select("stream_date").distinct()
+        store.apply(refreshed(days), batch_name(spark, f"{base}/checkpoint", number))
 
     data = f"{paths.gold}/{FACT_TABLE}/data"
     if path_exists(spark, data):
         arriving = stream_files(spark, data, StructType([fact.schema["stream_timestamp"]]))
         await_all([available_now(arriving, f"{base}/checkpoint", DAILY_TABLE).foreachBatch(refresh).start()])
-    return store.read(spark, refreshed([], 0).schema).drop("refresh")
+    return store.read(spark, refreshed(fact.select("stream_date")).schema).drop("refresh")
+
+
+def publish_top(spark: SparkSession, gold: Mapping[str, DataFrame], paths: LakePaths) -> DataFrame:
+    """Add the sums of new facts to those of their tracks, and rank the artists by the sums of their tracks.
+
+    A reader of the mart sees the last ranking that was written whole.
+    """
+    base, fact = f"{paths.gold}/{TOP_TABLE}", gold[FACT_TABLE]
+    store = DimensionStore(f"{base}/sums", ("track_id",), ("refresh",), buckets=1)
+    shape = count_per_key(fact, "track_id", "stream_id", "listen_duration").withColumn("refresh", F.lit(0).cast("bigint")).schema
+
+    def add(batch: DataFrame, number: int) -> None:
+        new = count_per_key(batch, "track_id", "stream_id", "listen_duration")
+        old = store.read(spark, shape).select(F.col("track_id").alias("_id"), F.col("__rows").alias("_rows"), F.col("__total").alias("_total"))
+        total = F.when(F.col("__total").isNull() & F.col("_total").isNull(), None).otherwise(
+            F.coalesce("__total", F.lit(0)) + F.coalesce("_total", F.lit(0))
+        )
+        sums = new.join(old, F.col("track_id").eqNullSafe(F.col("_id")), "left").select(
+            "track_id",
+            (F.col("__rows") + F.coalesce("_rows", F.lit(0))).alias("__rows"),
+            total.alias("__total"),
+            F.lit(time.time_ns()).alias("refresh"),
+        )
+        store.apply(sums, batch_name(spark, f"{base}/checkpoint", number))
+
+    data = f"{paths.gold}/{FACT_TABLE}/data"
+    if path_exists(spark, data):
+        columns = StructType([fact.schema[c] for c in ("stream_id", "track_id", "listen_duration")])
+        await_all([available_now(stream_files(spark, data, columns), f"{base}/checkpoint", TOP_TABLE).foreachBatch(add).start()])
+    sums = store.read(spark, shape).drop("refresh")
+    top = creators_by_totals(sums, gold["gold_dim_track_scd1"], gold["gold_dim_artist_scd1"])
+    publish_run(top, f"{base}/data")
+    return read_run(spark, f"{base}/data", top.schema)
 
 
 def publish_catalog(spark: SparkSession, gold: Mapping[str, DataFrame], database: str) -> None:
-    """Write the dimensions and marts as catalog tables; the fact table is filled by its own stream."""
+    """Declare the dimensions and marts as catalog tables and fill them; the fact table is filled by its own stream."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in gold.items():
         table = f"{database}.{name}"
         if name != FACT_TABLE:
+            create_target(spark, table, df.schema, COMMENTS[name])
             write_table(df, table, COMMENTS[name], PROPERTIES)
         elif spark.catalog.tableExists(table):
             describe_table(spark, table, COMMENTS[name], PROPERTIES)

@@ -15,8 +15,15 @@ from tidemark.operators.rows import RESCUED
 from tidemark.sources.bronze import bronze_folder, land_bronze
 from tidemark.sources.control import EPOCH_DATE, TableSpec
 from tidemark.sources.extract import extract_window
-from tidemark.sources.schemas import conform, evolve
-from tidemark.sources.watermarks import Watermark, commit_watermark, get_watermark
+from tidemark.sources.schemas import conform, evolve, merge_schemas, registered_schema
+from tidemark.sources.watermarks import (
+    Watermark,
+    commit_watermark,
+    get_watermark,
+    mark_text,
+    mark_value,
+    rows_fingerprint,
+)
 
 PIPELINE = "master_ingestion"
 PARALLEL_TABLES = 5
@@ -82,38 +89,49 @@ def ingest_table(
 ) -> tuple[str, int, int, str | None, str | None]:
     """Land one table's new rows, then advance its watermark: (status, rows, rows without cdc value, mark, error).
 
-    The batch starts on the watermark, not after it, because rows with that very value may have been added since; they
-    are told from those already landed by their number, and the overlap is removed by the dedupe in silver. Its end is
-    fixed before it is read. A crash before the watermark is written repeats the batch.
+    The batch starts on the watermark, not after it, because rows with that very value may have been added or changed
+    since. If nothing lies beyond the mark and the rows on it have the number and the fingerprint of those already landed,
+    there is nothing to do; else the rows on the mark land again, and the overlap is removed by the dedupe in silver. The
+    batch's end is fixed before it is read. A crash before the watermark is written repeats the batch.
     """
     kind = df.schema[spec.cdc_col].dataType
     mark = get_watermark(spark, paths.state, spec.table, kind)
     start = (spec.from_date or backfill_from) if backfill else mark.value
 
     cdc = F.col(spec.cdc_col)
-    low = F.lit(start).cast(kind)
+    low, on_mark = mark_value(F.lit(start), kind), cdc == mark_value(F.lit(mark.value), kind)
     # Reads one column, and of that only what the pushed filter leaves.
     found = (
         df.filter((cdc >= low) | cdc.isNull())
         .agg(
             F.count(cdc).alias("rows"),
             F.count_if(cdc.isNull()).alias("unset"),
-            F.count_if(cdc == F.lit(mark.value).cast(kind)).alias("on_mark"),
-            F.max(cdc).cast("string").alias("high"),
+            F.count_if(on_mark).alias("on_mark"),
+            mark_text(F.max(cdc), kind).alias("high"),
+            F.max(cdc).cast("string").alias("shown"),
         )
         .first()
     )
-    nothing_new = found["rows"] == 0 or (
-        not backfill and found["rows"] == found["on_mark"] and found["on_mark"] <= mark.rows_at_value
-    )
-    if nothing_new:
-        return ("EMPTY", 0, found["unset"], mark.value, None)
+    shown = spark.range(1).select(mark_value(F.lit(mark.value), kind).cast("string")).first()[0]
+    if mark.value == EPOCH_DATE:
+        shown = EPOCH_DATE
+    if found["rows"] == 0 or (not backfill and _landed(spark, spec, df.filter(on_mark), paths, mark, found)):
+        return ("EMPTY", 0, found["unset"], shown, None)
 
     batch = extract_window(df, spec.cdc_col, start, found["high"])
     schema = evolve(spark, paths.registry, spec.table, df.schema, spec.columns)
     folder = bronze_folder(paths.bronze, spec.table, run_id)
-    rows, rows_at_high = land_bronze(conform(batch, schema, RESCUED), folder, spec.cdc_col, found["high"])
-    commit_watermark(spark, paths.state, spec.table, Watermark(found["high"], rows_at_high), run_id)
-    # Without a backfill the batch started on the mark, so its end is the new one.
-    now = get_watermark(spark, paths.state, spec.table, kind).value if backfill else found["high"]
-    return ("OK", rows, found["unset"], now, None)
+    rows, at_high, fingerprint = land_bronze(conform(batch, schema, RESCUED), folder, spec.cdc_col, found["high"])
+    commit_watermark(spark, paths.state, spec.table, Watermark(found["high"], at_high, fingerprint), run_id)
+    # Without a backfill the batch started on the mark, so its end is the new one; a backfill may end below it.
+    ahead = backfill and get_watermark(spark, paths.state, spec.table, kind).value != found["high"]
+    return ("OK", rows, found["unset"], shown if ahead else found["shown"], None)
+
+
+def _landed(spark: SparkSession, spec: TableSpec, rows: DataFrame, paths: LakePaths, mark: Watermark, found) -> bool:
+    """Whether all rows found lie on the mark and are those that have landed. Reads whole rows only on the mark."""
+    if not found["rows"] == found["on_mark"] == mark.rows_at_value:
+        return False
+    schema = merge_schemas(registered_schema(spark, paths.registry, spec.table) or spec.columns, rows.schema)
+    landed = conform(rows, schema, RESCUED)
+    return landed.agg(rows_fingerprint(landed, F.lit(True)).alias("f")).first()["f"] == mark.fingerprint

@@ -15,6 +15,7 @@ from tidemark.operators.rows import ranked
 def daily_metrics(
     fact: DataFrame,
     extended: bool = False,
+    ordered: bool = True,
     day: str = "stream_date",
     event: str = "stream_id",
     user: str = "user_id",
@@ -23,7 +24,7 @@ def daily_metrics(
     """Events, listening time and its mean per day.
 
     ``stream_events`` counts the rows with a user, which is not the number of users. The extended form has that as
-    ``unique_listeners``, adds minutes, rounds the mean and is ordered by day.
+    ``unique_listeners``, adds minutes, rounds the mean and is ordered by day unless the order would not be kept.
     """
     aggs = [
         F.count(event).alias("total_streams"),
@@ -40,7 +41,7 @@ def daily_metrics(
         return sums.select(
             day, "total_streams", "stream_events", total, mean.alias("avg_listen_duration_seconds")
         )
-    return sums.select(
+    metrics = sums.select(
         day,
         "total_streams",
         "stream_events",
@@ -48,7 +49,8 @@ def daily_metrics(
         total,
         minutes(total).alias("total_listen_minutes"),
         F.round(mean, 1).alias("avg_listen_duration_seconds"),
-    ).orderBy(day)
+    )
+    return metrics.orderBy(day) if ordered else metrics
 
 
 def daily_kpis(metrics: DataFrame, day: str = "stream_date") -> DataFrame:
@@ -80,6 +82,19 @@ def top_creators(
     finds the rows partitioned by creator already.
     """
     per_item = count_per_key(fact, item_key, event, seconds)
+    return creators_by_totals(per_item, items, creators, n, item_key, creator_key, labels)
+
+
+def creators_by_totals(
+    per_item: DataFrame,
+    items: DataFrame,
+    creators: DataFrame,
+    n: int | None = None,
+    item_key: str = "track_id",
+    creator_key: str = "artist_id",
+    labels: Sequence[str] = ("artist_name", "genre"),
+) -> DataFrame:
+    """The same from events and listening time per item, such as :func:`count_per_key` gives."""
     bridge = items.select(item_key, creator_key)
     labelled = creators.select(creator_key, *labels)
     sums = [F.sum("__rows").alias("__rows"), F.sum("__total").alias("__total")]

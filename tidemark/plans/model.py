@@ -119,7 +119,7 @@ MODEL: dict[str, TableSpec] = {
             columns=FACT_COLUMNS,
             keys=("stream_id",),
             sequence=("stream_timestamp",),
-            dedupe="unseen",
+            dedupe="unseen_key",
             rules=FACT_RULES,
         ),
     )

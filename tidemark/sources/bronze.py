@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.rows import RESCUED
+from tidemark.sources.watermarks import mark_value, rows_fingerprint
 
 
 def bronze_folder(base: str, table: str, run_id: str, at: datetime | None = None) -> str:
@@ -22,19 +23,24 @@ def with_rescue_column(df: DataFrame) -> DataFrame:
     return df if RESCUED in df.columns else df.withColumn(RESCUED, F.lit(None).cast("string"))
 
 
-def land_bronze(df: DataFrame, folder: str, cdc_col: str, high: str) -> tuple[int, int]:
-    """Write one batch; return its row count and how many rows carry the highest change value.
+def land_bronze(df: DataFrame, folder: str, cdc_col: str, high: str) -> tuple[int, int, str]:
+    """Write one batch; return its row count, and of the rows with the highest change value their number and fingerprint.
 
-    The counts are taken on the way past. The write is the last stage of its job, and Spark takes the metrics of a final
-    stage once per task, however often a task was retried.
+    They are taken on the way past. The write is the last stage of its job, and Spark takes the metrics of a final stage
+    once per task, however often a task was retried.
     """
     counts = Observation()
-    top = F.lit(high).cast(df.schema[cdc_col].dataType)
-    watched = with_rescue_column(df).observe(
-        counts, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(cdc_col) == top).alias("rows_at_high")
+    batch = with_rescue_column(df)
+    top = F.col(cdc_col) == mark_value(F.lit(high), df.schema[cdc_col].dataType)
+    watched = batch.observe(
+        counts,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(top).alias("rows_at_high"),
+        rows_fingerprint(batch, top).alias("fingerprint"),
     )
     watched.write.mode("errorifexists").option("compression", "snappy").parquet(folder)
-    return counts.get["rows"], counts.get["rows_at_high"]
+    found = counts.get
+    return found["rows"], found["rows_at_high"], found["fingerprint"]
 
 
 def read_bronze(spark: SparkSession, base: str, table: str, schema: StructType) -> DataFrame:

@@ -23,10 +23,10 @@ class TableSpec:
 
     ``cdc_col`` drives extraction. ``keys`` and ``sequence`` identify a row version. ``dedupe`` says what silver keeps:
 
-    * ``version``: one row per key and sequence, remembered in streaming state; for dimensions
+    * ``version`` and ``unseen``: one row per key and sequence, looked up in the days that the batch touches; no state
+    * ``unseen_key``: one row per key, whatever its time; looked up among the keys in the range of the batch's keys; for
+      facts
     * ``key``: the first arrival per key, remembered in streaming state
-    * ``unseen``: one row per key and sequence, looked up in the days the batch touches; for facts, whose state would
-      grow without end
     * ``none``: every row
     """
 
@@ -43,7 +43,7 @@ class TableSpec:
     track: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
-        if self.dedupe not in ("version", "key", "unseen", "none"):
+        if self.dedupe not in ("version", "key", "unseen", "unseen_key", "none"):
             raise ValueError(f"table {self.table!r}: unknown dedupe {self.dedupe!r}")
 
     @property

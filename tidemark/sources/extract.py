@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.control import DEFAULT_SCHEMA
+from tidemark.sources.watermarks import mark_value
 
 
 def extract_since(df: DataFrame, c: str, value: str, inclusive: bool = False) -> DataFrame:
@@ -15,7 +16,7 @@ def extract_since(df: DataFrame, c: str, value: str, inclusive: bool = False) ->
 
     The literal takes the type of the column, so the comparison is typed and reaches the source scan.
     """
-    bound = F.lit(value).cast(df.schema[c].dataType)
+    bound = _bound(df, c, value)
     return df.filter(F.col(c) >= bound if inclusive else F.col(c) > bound)
 
 
@@ -26,8 +27,12 @@ def extract_from(df: DataFrame, c: str, date: str) -> DataFrame:
 
 def extract_window(df: DataFrame, c: str, low: str, high: str) -> DataFrame:
     """Rows from ``low`` to ``high``, both included: a batch whose end is fixed before it is read."""
-    kind = df.schema[c].dataType
-    return df.filter((F.col(c) >= F.lit(low).cast(kind)) & (F.col(c) <= F.lit(high).cast(kind)))
+    return df.filter((F.col(c) >= _bound(df, c, low)) & (F.col(c) <= _bound(df, c, high)))
+
+
+def _bound(df: DataFrame, c: str, value: str) -> Column:
+    """A configured date or a watermark in the type of the change column."""
+    return mark_value(F.lit(value), df.schema[c].dataType)
 
 
 def read_relational(
@@ -41,18 +46,29 @@ def read_relational(
 ) -> DataFrame:
     """A table of a relational database over JDBC; filters on it are sent to the database.
 
-    With ``key``, an integer key that is unique in the table, the read is split into ``partitions`` queries by the
-    remainder of the key. Unlike ranges between the smallest and largest value, remainders of a unique key are of equal
-    size however the values are spread.
+    With ``key``, an indexed integer key, the read is split into ``partitions`` queries by ranges of the key, so each uses
+    the index. The bounds are taken from the keys themselves, by one query that the database answers with a few rows: keys
+    that are spread unevenly still give ranges with about as many rows each.
     """
     name = f"{schema}.{table}" if schema else table
     options = dict(properties or {})
     if key is None or partitions <= 1:
         return spark.read.jdbc(url, name, properties=options)
-    return spark.read.jdbc(url, name, predicates=remainder_predicates(key, partitions), properties=options)
+    found = spark.read.jdbc(url, f"({bounds_query(name, key, partitions)}) b", properties=options)
+    bounds = [row[0] for row in found.orderBy(found.columns[0]).collect()]
+    return spark.read.jdbc(url, name, predicates=range_predicates(key, bounds), properties=options)
+
+
+def bounds_query(name: str, key: str, partitions: int) -> str:
+    """The largest key of each of so many parts with equally many rows, in SQL that all common databases share."""
+    parts = f"SELECT {key} AS k, NTILE({partitions}) OVER (ORDER BY {key}) AS part FROM {name} WHERE {key} IS NOT NULL"
+    return f"SELECT MAX(k) AS bound FROM ({parts}) p GROUP BY part"
 
 
-def remainder_predicates(key: str, partitions: int) -> list[str]:
-    """Disjoint conditions that together cover every key, negative and NULL ones included."""
-    first = f"ABS(MOD({key}, {partitions})) = 0 OR {key} IS NULL"
-    return [first, *[f"ABS(MOD({key}, {partitions})) = {i}" for i in range(1, partitions)]]
+def range_predicates(key: str, bounds: Sequence[int]) -> list[str]:
+    """Disjoint ranges that together cover every key, also below, above and NULL; at most one more than bounds."""
+    cuts = sorted(set(bounds))[:-1]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{key} > {low} AND {key} <= {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{key} <= {cuts[0]} OR {key} IS NULL", *inner, f"{key} > {cuts[-1]}"]

@@ -81,9 +81,21 @@ def conform(df: DataFrame, schema: StructType, rescue: str = RESCUED) -> DataFra
         rescued = F.lit(None).cast(StringType())
     else:
         rescued = F.nullif(F.to_json(F.struct(*lost)), F.lit("{}"))
-    if rescue in present:
-        rescued = F.coalesce(rescued, F.col(rescue).cast("string"))
-    return df.select(*out, rescued.alias(rescue))
+    if rescue not in present:
+        return df.select(*out, rescued.alias(rescue))
+    both = df.select(*out, F.col(rescue).cast("string").alias("__earlier"), rescued.alias("__new"))
+    merged = both.withColumn(rescue, _merged(F.col("__earlier"), F.col("__new")))
+    return merged.drop("__earlier", "__new")
+
+
+def _merged(earlier: Column, new: Column) -> Column:
+    """Both JSON objects in one. Of a name in both, the earlier value moves to the name with ``.earlier`` behind it; an
+    earlier rescue that isn't an object is kept whole under the name of the column."""
+    texts = "map<string,string>"
+    was = F.coalesce(F.from_json(earlier, texts), F.create_map(F.lit(RESCUED), earlier))
+    now = F.from_json(new, texts)
+    moved = F.transform_keys(was, lambda k, _: F.when(F.map_contains_key(now, k), F.concat(k, F.lit(".earlier"))).otherwise(k))
+    return F.when(earlier.isNull(), new).when(new.isNull(), earlier).otherwise(F.to_json(F.map_concat(moved, now)))
 
 
 def _text(value: Column) -> Column:

@@ -40,6 +40,14 @@ def describe_table(
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def register_folder(spark: SparkSession, name: str, path: str) -> None:
+    """Make a partitioned parquet folder a catalog table, or let the table know of new folders and columns."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def create_target(spark: SparkSession, name: str, schema: StructType, comment: str | None = None) -> None:
     """Declare a table before the flow that fills it; an existing table is left alone."""
     if not spark.catalog.tableExists(name):
@@ -51,6 +59,22 @@ def write_path(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def publish_run(df: DataFrame, path: str) -> None:
+    """Write a derived table as its next run. The run before stays for those who still read it; older ones go."""
+    spark = df.sparkSession
+    runs = sorted(int(n.removeprefix("run=")) for n in children(spark, path))
+    df.write.mode("overwrite").parquet(f"{path}/run={runs[-1] + 1 if runs else 0}")
+    for run in runs[:-1]:
+        delete_path(spark, f"{path}/run={run}")
+
+
+def read_run(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The last run of a derived table that was written whole; no rows before the first."""
+    runs = sorted((int(n.removeprefix("run=")) for n in children(spark, path)), reverse=True)
+    whole = next((r for r in runs if path_exists(spark, f"{path}/run={r}/_SUCCESS")), None)
+    return spark.createDataFrame([], schema) if whole is None else spark.read.schema(schema).parquet(f"{path}/run={whole}")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A parquet folder, or no rows if the folder does not exist. Any other failure is raised."""
     if not path_exists(spark, path):
@@ -68,6 +92,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies directly in a folder, hidden names aside; none if it does not exist."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(n for n in (f.getPath().getName() for f in files.listStatus(target)) if n[0] not in "._")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate files, if it is there."""
     files, target = _file_system(spark, path)

@@ -3,16 +3,24 @@
 Window functions cannot run on a stream, so each micro-batch refreshes, as a batch job, the keys it touched. Layout
 below ``path``::
 
+    layout/                      keys, tracked columns and number of buckets, fixed when the store is made
     log/run=<n>/bucket=<b>/      the changes of a run (type 2 only)
     rows/run=<n>/bucket=<b>/     the dimension rows of every bucket the run touched
-    current/run=<n>/             which buckets the run replaced
+    current/part=<n>/            which buckets a run replaced, and the batch it stands for; of one run or of many
 
 A key always falls into the same bucket. A run writes only its own folders and its ``current`` entry last, so a run that
-died is repeated under its number without trace and readers never see half of one.
+died is repeated without trace and readers never see half of one. The store numbers its runs itself and knows a batch by its
+name, the stream's id and the batch's number: a batch that comes again changes nothing, and a stream that starts anew under a
+new checkpoint goes on behind the last run.
+
+Folders of runs that later runs have replaced whole are removed one run later, so that readers can finish. A log of many
+runs, and the entries of many runs, are rewritten as one. So the number of folders is bounded by the buckets, however many runs there were.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,9 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.scd import END, START, scd1, scd2
-from tidemark.sources.tables import delete_path, read_or_empty
+from tidemark.sources.tables import children, delete_path, read_or_empty
+from tidemark.streaming.files import batch_name
 
-_CURRENT = "run bigint, bucket int"
+_CURRENT = "run bigint, bucket int, batch string"
+_LAYOUT = "layout string"
+# The entry of a run that replaces no bucket.
+_NONE = -1
+BUCKETS = 64
+LOG_RUNS = 16
 
 
 @dataclass(frozen=True)
@@ -33,47 +47,96 @@ class DimensionStore:
     keys: tuple[str, ...]
     sequence_by: tuple[str, ...]
     track: tuple[str, ...] = ()
-    buckets: int = 64
+    buckets: int = BUCKETS
+
+    def sink(self, checkpoint: str) -> Callable[[DataFrame, int], None]:
+        """What a stream with this checkpoint does with each of its batches."""
+        return lambda batch, number: self.apply(batch, batch_name(batch.sparkSession, checkpoint, number))
 
-    def apply(self, changes: DataFrame, run: int) -> None:
-        """Add the changes of one run. Runs are numbered upwards; repeating the last one changes nothing."""
+    def apply(self, changes: DataFrame, batch: str) -> None:
+        """Add the changes of one batch; a batch that has been added before changes nothing."""
         spark = changes.sparkSession
-        schema = _nullable(changes.schema)
-        if self.track:
-            self._write(changes, f"{self.path}/log/run={run}")
-            changes = self._log(spark, schema).filter(F.col("run") == run).drop("run", "bucket")
-        touched = [r["bucket"] for r in changes.select(self._bucket().alias("bucket")).distinct().collect()]
-        if not touched:
+        self._check_layout(spark)
+        done = self._entries(spark)
+        state = done.agg(F.max("run").alias("run"), F.count_if(F.col("batch") == batch).alias("known")).first()
+        if state["known"]:
             return
-        before = self._read(spark, schema, run - 1, touched)
+        run = 0 if state["run"] is None else state["run"] + 1
+        schema = _nullable(changes.schema)
         scratch = f"{self.path}/scratch/run={run}"
-        if self.track:
-            touched_keys = changes.select(*self.keys).distinct()
-            log = self._log(spark, schema).filter((F.col("run") <= run) & F.col("bucket").isin(touched))
-            affected = self._matching(log.drop("run", "bucket"), touched_keys, "left_semi")
-            fresh = scd2(affected, self.keys, self.sequence_by, self.track, scratch=scratch)
-            after = fresh.unionByName(self._matching(before, touched_keys, "left_anti"))
-        else:
-            after = scd1(changes.unionByName(before), self.keys, self.sequence_by)
-        self._write(after, f"{self.path}/rows/run={run}")
-        done = spark.createDataFrame([(b,) for b in touched], "bucket int")
-        done.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/current/run={run}")
+        # The batch is read once, also when it comes from a long computation.
+        written = f"{self.path}/log/run={run}" if self.track else f"{scratch}/changes"
+        self._write(changes, written)
+        changes = self._changes(spark, schema, written)
+        touched = [r["bucket"] for r in changes.select("bucket").distinct().collect()]
+        changes = changes.drop("bucket")
+        if touched:
+            before = self._read(spark, schema, touched)
+            if self.track:
+                touched_keys = changes.select(*self.keys).distinct()
+                log = self._log(spark, schema).filter((F.col("run") <= run) & F.col("bucket").isin(touched))
+                affected = self._matching(log.drop("run", "bucket"), touched_keys, "left_semi")
+                fresh = scd2(affected, self.keys, self.sequence_by, self.track, scratch=f"{scratch}/hot")
+                after = fresh.unionByName(self._matching(before, touched_keys, "left_anti"))
+            else:
+                after = scd1(changes.unionByName(before), self.keys, self.sequence_by)
+            self._write(after, f"{self.path}/rows/run={run}")
+        self._finish(spark, run, [(b, batch) for b in touched or [_NONE]])
         delete_path(spark, scratch)
+        self._tidy(spark, schema, run)
 
     def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
         """The dimension as of the last complete run; ``schema`` is that of the changes."""
-        return self._read(spark, _nullable(schema), None, None)
-
-    def _read(
-        self, spark: SparkSession, schema: StructType, until: int | None, only: list[int] | None
-    ) -> DataFrame:
+        return self._read(spark, _nullable(schema), None)
+
+    def _check_layout(self, spark: SparkSession) -> None:
+        mine = json.dumps({"keys": self.keys, "sequence": self.sequence_by, "track": self.track, "buckets": self.buckets})
+        found = read_or_empty(spark, f"{self.path}/layout", _LAYOUT).first()
+        if found is None:
+            spark.createDataFrame([(mine,)], _LAYOUT).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/layout")
+        elif found["layout"] != mine:
+            raise ValueError(f"the store at {self.path} was made as {found['layout']} and is opened as {mine}")
+
+    def _entries(self, spark: SparkSession) -> DataFrame:
+        # While entries are rewritten they are there twice.
+        return read_or_empty(spark, f"{self.path}/current", _CURRENT).select("run", "bucket", "batch").distinct()
+
+    def _finish(self, spark: SparkSession, run: int, buckets: list[tuple[int, str]]) -> None:
+        done = spark.createDataFrame([(run, *entry) for entry in buckets], _CURRENT)
+        done.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/current/part={run}")
+
+    def _tidy(self, spark: SparkSession, schema: StructType, run: int) -> None:
+        """Drop what no reader needs, and rewrite a log of many runs as one."""
+        entries = self._entries(spark)
+        newest = entries.filter(F.col("run") < run).groupBy("bucket").agg(F.max("run").alias("newest"))
+        live = entries.join(newest, "bucket", "left").filter(F.col("newest").isNull() | (F.col("run") >= F.col("newest")))
+        live = {r["run"] for r in live.filter(F.col("bucket") != _NONE).select("run").distinct().collect()}
+        for r in entries.filter(F.col("run") < run).select("run").distinct().collect():
+            if r["run"] not in live:
+                # The entry stays, as it names the batch; only its rows go.
+                delete_path(spark, f"{self.path}/rows/run={r['run']}")
+        parts = children(spark, f"{self.path}/current")
+        if len(parts) > LOG_RUNS:
+            self._entries(spark).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/current/part=0{run}")
+            for name in parts:
+                delete_path(spark, f"{self.path}/current/{name}")
+        if not self.track:
+            return
+        runs = children(spark, f"{self.path}/log")
+        if len(runs) > LOG_RUNS:
+            # The copy is a run of its own. Until the others are gone the log has rows twice, which count once.
+            whole = self._log(spark, schema).filter(F.col("run") <= run).drop("run", "bucket")
+            self._write(whole, f"{self.path}/log/run={run + 1}")
+            self._finish(spark, run + 1, [(_NONE, f"log of {run + 1}")])
+            for name in runs:
+                delete_path(spark, f"{self.path}/log/{name}")
+
+    def _read(self, spark: SparkSession, schema: StructType, only: list[int] | None) -> DataFrame:
         shape = StructType([*schema.fields])
         if self.track:
             moment = schema[self.sequence_by[0]].dataType
             shape = shape.add(START, moment).add(END, moment)
-        entries = read_or_empty(spark, f"{self.path}/current", _CURRENT)
-        if until is not None:
-            entries = entries.filter(F.col("run") <= until)
+        entries = self._entries(spark).filter(F.col("bucket") != _NONE)
         if only is not None:
             entries = entries.filter(F.col("bucket").isin(only))
         # One row per bucket, so the list is as short as the number of buckets.
@@ -85,7 +148,10 @@ class DimensionStore:
 
     def _log(self, spark: SparkSession, schema: StructType) -> DataFrame:
         wide = StructType([*schema.fields]).add("run", "long").add("bucket", "integer")
-        return spark.read.schema(wide).parquet(f"{self.path}/log")
+        return read_or_empty(spark, f"{self.path}/log", wide)
+
+    def _changes(self, spark: SparkSession, schema: StructType, folder: str) -> DataFrame:
+        return read_or_empty(spark, folder, StructType([*schema.fields]).add("bucket", "integer"))
 
     def _bucket(self) -> Column:
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets))

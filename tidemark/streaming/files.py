@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.operators.quality import Rule, keep_valid, quality_report
+from tidemark.sources.tables import path_exists, read_or_empty
 
 # One micro-batch takes at most so many files, so a first run over a large lake is not one single batch.
 MAX_FILES = 1000
@@ -76,12 +80,34 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
         raise failure
 
 
-def rule_totals(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Rule counts of a finished query, added up over its retained micro-batches."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        observed = progress.observedMetrics.get(name)
-        if observed is not None:
-            for metric, value in observed.asDict().items():
-                totals[metric] = totals.get(metric, 0) + (value or 0)
-    return totals
+def counted_sink(
+    rules: Sequence[Rule], name: str, counts: str, checkpoint: str, land: Callable[[DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """What a stream does with each batch: count the rules over all of it, then land the rows that pass.
+
+    The counts of a batch are a folder of their own below ``counts``, so a batch that is repeated counts once.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        folder = batch_name(batch.sparkSession, checkpoint, number).replace("/", "-").replace(":", "-")
+        report = quality_report(batch, rules, name)
+        report.coalesce(1).write.mode("overwrite").parquet(f"{counts}/batch={folder}")
+        land(keep_valid(batch, rules), number)
+
+    return run
+
+
+def rule_totals(spark: SparkSession, counts: str) -> DataFrame:
+    """One row per rule with its counts over all batches that a stream has ever landed."""
+    shape = "table_name string, rule string, action string, passed bigint, failed bigint"
+    found = read_or_empty(spark, counts, shape)
+    return found.groupBy("table_name", "rule", "action").agg(
+        F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
+    )
+
+
+def batch_name(spark: SparkSession, checkpoint: str, number: int) -> str:
+    """A name for a batch that no other stream and no other checkpoint gives."""
+    found = f"{checkpoint}/metadata"
+    stream = json.loads(spark.read.text(found).first()[0])["id"] if path_exists(spark, found) else checkpoint
+    return f"{stream}/{number}"

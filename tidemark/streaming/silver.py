@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
-from tidemark.operators.dedupe import dedupe_stream, dedupe_version
+from tidemark.operators.dedupe import dedupe_latest, dedupe_stream, dedupe_version
 from tidemark.operators.rows import RESCUED, drop_columns
 from tidemark.sources.control import TableSpec
-from tidemark.sources.tables import path_exists
+from tidemark.sources.tables import path_exists, register_folder
 from tidemark.streaming.files import append_stream, available_now, await_all, stream_files
 
 DAY = "__day"
@@ -28,30 +28,42 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
 def refine(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The silver rows of a bronze stream, for tables whose dedupe is part of the stream."""
     df = clean(df, spec)
-    if spec.dedupe == "version":
-        return dedupe_stream(df, [*spec.keys, *spec.sequence])
     return dedupe_stream(df, spec.keys) if spec.dedupe == "key" else df
 
 
-def append_unseen(batch: DataFrame, path: str, keys: Sequence[str], event_time: str) -> None:
+def append_unseen(
+    batch: DataFrame, path: str, keys: Sequence[str], event_time: str, by_key: bool = False
+) -> None:
     """Append the rows of a batch that the table does not have yet, in folders by day.
 
-    A row is known by its key and event time, so only the days that occur in the batch need to be looked at, and of
-    those only the key columns. Repeating a batch appends nothing, also after a crash that left part of it behind.
+    A row is known by its key and event time, so only the days that occur in the batch need to be looked at, and of those
+    only the key columns. With ``by_key`` it is known by its key alone: an id that comes again with another time is the same
+    event, and what landed first stays; of several in one batch, the one with the highest time. Then only the key column is
+    read, between the batch's smallest and largest key, which files that were written in key order mostly lie outside of.
+    Repeating a batch appends nothing, also after a crash that left part of it behind.
     """
     spark = batch.sparkSession
-    identity = [*keys, event_time]
-    fresh = dedupe_version(batch, keys, [event_time]).withColumn(DAY, F.to_date(event_time))
+    fresh = (dedupe_latest if by_key else dedupe_version)(batch, keys, [event_time]).withColumn(DAY, F.to_date(event_time))
     if path_exists(spark, path):
-        days = [r[DAY] for r in batch.select(F.to_date(event_time).alias(DAY)).distinct().collect()]
-        shape = StructType([batch.schema[c] for c in identity]).add(DAY, "date")
-        touched = F.col(DAY).isin([d for d in days if d is not None])
-        if None in days:
-            touched = touched | F.col(DAY).isNull()
-        seen = spark.read.schema(_nullable(shape)).parquet(path).filter(touched)
-        same = [fresh[c].eqNullSafe(seen[c]) for c in [*identity, DAY]]
+        identity = list(keys) if by_key else [*keys, event_time, DAY]
+        shape = StructType([batch.schema[c] for c in keys if c != event_time] + [batch.schema[event_time]]).add(DAY, "date")
+        seen = spark.read.schema(_nullable(shape)).parquet(path)
+        if by_key:
+            seen = seen.filter(_between(batch, keys[0])).select(*keys)
+        else:
+            days = batch.select(F.to_date(event_time).alias("__of_batch")).distinct()
+            # The days of the batch prune the folders of the table when it is read.
+            seen = seen.join(days, seen[DAY].eqNullSafe(days["__of_batch"]), "left_semi")
+        same = [fresh[c].eqNullSafe(seen[c]) for c in identity]
         fresh = fresh.join(seen, same, "left_anti")
-    fresh.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(path)
+    fresh.hint("rebalance", DAY).sortWithinPartitions(DAY, *keys).write.mode("append").partitionBy(DAY).parquet(path)
+
+
+def _between(batch: DataFrame, key: str) -> Column:
+    """Whether a row's key may be one of the batch: it lies between the smallest and the largest, or is NULL."""
+    found = batch.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    kind = batch.schema[key].dataType
+    return F.col(key).between(F.lit(found["low"]).cast(kind), F.lit(found["high"]).cast(kind)) | F.col(key).isNull()
 
 
 def start_silver(
@@ -61,11 +73,13 @@ def start_silver(
     arriving = stream_files(spark, f"{bronze}/{spec.table}", _with_rescue(schema))
     data, checkpoint = f"{silver}/{spec.table}/data", f"{silver}/{spec.table}/checkpoint"
     name = f"silver-{spec.table}"
-    if spec.dedupe != "unseen":
+    if spec.dedupe in ("none", "key"):
         return append_stream(refine(arriving, spec), data, checkpoint, table, name)
 
     def land(batch: DataFrame, _: int) -> None:
-        append_unseen(batch, data, spec.keys, spec.sequence[0])
+        append_unseen(batch, data, spec.keys, spec.sequence[0], by_key=spec.dedupe == "unseen_key")
+        if table is not None:
+            register_folder(spark, table, data)
 
     return available_now(clean(arriving, spec), checkpoint, name).foreachBatch(land).start()
 
@@ -76,9 +90,23 @@ def run_silver(
     schemas: Mapping[str, StructType],
     bronze: str,
     silver: str,
+    database: str | None = None,
 ) -> None:
-    """Bring every table that has landed up to date, side by side; fails if any stream fails."""
-    await_all([start_silver(spark, s, schemas[s.table], bronze, silver) for s in specs if s.table in schemas])
+    """Bring every table that has landed up to date, side by side; fails if any stream fails.
+
+    With ``database`` the tables are also in the catalog, as ``silver_`` and the table's name.
+    """
+    if database is not None:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    await_all(
+        [
+            start_silver(
+                spark, s, schemas[s.table], bronze, silver, database and f"{database}.silver_{s.table.lower()}"
+            )
+            for s in specs
+            if s.table in schemas
+        ]
+    )
 
 
 def silver_schema(spark: SparkSession, spec: TableSpec, schema: StructType) -> StructType:
