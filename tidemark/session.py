@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,7 +49,7 @@ def local_session(cpus: int | str = "*", app: str = "tidemark", **extra: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors are one process, may fall back to a temporary folder.
+    Only a local session, where driver and executors are one process, may fall back to a temporary folder, which goes when the session's process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -55,6 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 

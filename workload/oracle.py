@@ -7,7 +7,9 @@ Rounded figures are computed here in whole cents, so that they are exact: half u
 from __future__ import annotations
 
 _SPLIT = "TIMESTAMP '2024-01-15 00:00:00'"
-_EVENTS = "event_id, ts, user_id, event_type, value"
+_EVENTS = "event_id, ts, user_id, event_type, value, props"
+
+_MOMENT = "(SELECT ts FROM events WHERE event_id = (SELECT max(event_id) // 2 FROM events))"
 
 _CENTS = "CAST(round(sum(value) * 100) AS BIGINT)"
 _EXACT = "CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE)"
@@ -57,6 +59,7 @@ _CREATORS = """
     JOIN nation ON c_nationkey = n_nationkey
     GROUP BY c_custkey, c_name, n_name
 """
+_PLACE = "row_number() OVER (ORDER BY total_streams DESC, artist_id) AS position"
 _FIRST_TEN = "ORDER BY total_streams DESC, artist_id LIMIT 10"
 
 
@@ -75,6 +78,14 @@ def _rule(name: str, predicate: str, action: str) -> str:
     )
 
 
+_RULES = [
+    _rule("valid_user_id", "user_id IS NOT NULL", "warn"),
+    _rule("known_type", "event_type IN ('view', 'click', 'purchase', 'signup')", "drop"),
+    _rule("positive_value", "value > 0", "drop"),
+    _rule("large_value", "value >= 150", "warn"),
+]
+
+
 def _count(table: str) -> str:
     return f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {table}"
 
@@ -88,9 +99,28 @@ def _audited(table: str, moment: str) -> str:
     )
 
 
+# The published model's users and facts, and its tables after all rows have come.
+_TIERED = """(
+    SELECT CAST(user_id AS INTEGER) AS user_id, ' user ' || user_id AS raw_name, 'none' AS country,
+           CASE event_type WHEN 'view' THEN 'Free' WHEN 'click' THEN 'Premium' WHEN 'purchase' THEN 'Family'
+               WHEN 'signup' THEN 'Student' END AS subscription_type,
+           CAST(ts AS DATE) AS start_date, CAST(NULL AS DATE) AS end_date, ts AS updated_at,
+           'USER ' || user_id AS user_name
+    FROM events WHERE event_type IN ('view', 'click', 'purchase', 'signup')
+)"""
+_TIER_HISTORY = _history(
+    _TIERED,
+    "user_id, user_name, country, subscription_type, start_date, updated_at",
+    "user_id",
+    "updated_at",
+    "updated_at",
+    ("subscription_type", "country"),
+)
+_LISTENED = "(SELECT *, CAST(floor(value) AS BIGINT) AS seconds FROM events WHERE floor(value) > 0)"
+
 ORACLE: dict[str, str] = {
-    "incremental_extract": f"{_ALL_EVENTS} WHERE ts > {_SPLIT}",
-    "backfill_extract": f"{_ALL_EVENTS} WHERE ts >= {_SPLIT}",
+    "incremental_extract": f"{_ALL_EVENTS} WHERE ts > {_MOMENT}",
+    "backfill_extract": f"{_ALL_EVENTS} WHERE ts >= {_MOMENT}",
     "window_extract": """
         SELECT * FROM orders
         WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1997-12-31 00:00:00'
@@ -110,16 +140,15 @@ ORACLE: dict[str, str] = {
     """,
     "event_date": "SELECT event_id, CAST(ts AS DATE) AS event_date FROM events",
     "in_list_filter": f"{_ALL_EVENTS} WHERE event_type IN ('view', 'purchase')",
-    "not_null_filter": f"{_ALL_EVENTS} WHERE user_id IS NOT NULL",
-    "positive_filter": "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0",
+    "not_null_filter": f"{_ALL_EVENTS} WHERE user_id IS NOT NULL AND event_type <> 'error'",
+    "positive_filter": "SELECT * FROM customer WHERE c_acctbal > 0",
     "minutes_rounding": f"""
         SELECT user_id, ((2 * {_CENTS} + 60) // 120) / 100.0::DOUBLE AS total_minutes FROM events GROUP BY user_id
     """,
     "search_rows": """
-        SELECT c_custkey, c_name, c_mktsegment FROM customer
-        WHERE CAST(c_custkey AS VARCHAR) ILIKE '%build%' OR c_name ILIKE '%build%' OR c_mktsegment ILIKE '%build%'
+        SELECT * FROM customer WHERE concat_ws(chr(10), *COLUMNS(*)) ILIKE '%build%'
     """,
-    "preview": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",
+    "preview": "SELECT *, row_number() OVER (ORDER BY o_orderkey) AS position FROM orders ORDER BY o_orderkey LIMIT 100",
     "union_batches": f"""
         SELECT event_id, ts, user_id, event_type, value, CASE WHEN ts < {_SPLIT} THEN props END AS props FROM events
     """,
@@ -157,23 +186,27 @@ ORACLE: dict[str, str] = {
                count(DISTINCT user_id) AS unique_listeners, {_EXACT} AS total_listen_seconds,
                ((2 * {_CENTS} + 60) // 120) / 100.0::DOUBLE AS total_listen_minutes,
                ((2 * {_CENTS} + 10 * count(value)) // (20 * count(value))) / 10.0::DOUBLE
-                   AS avg_listen_duration_seconds
-        FROM events GROUP BY 1 ORDER BY 1
+                   AS avg_listen_duration_seconds,
+               row_number() OVER (ORDER BY CAST(ts AS DATE)) AS position
+        FROM events GROUP BY CAST(ts AS DATE)
     """,
     "daily_kpis": f"""
         SELECT CAST(ts AS DATE) AS stream_date, count(event_id) AS total_streams, count(user_id) AS stream_events,
                ((2 * {_CENTS} + 60) // 120) / 100.0::DOUBLE AS total_minutes,
-               ((2 * {_CENTS} + 10 * count(value)) // (20 * count(value))) / 10.0::DOUBLE AS avg_duration_sec
-        FROM events GROUP BY 1 ORDER BY 1 DESC
+               ((2 * {_CENTS} + 10 * count(value)) // (20 * count(value))) / 10.0::DOUBLE AS avg_duration_sec,
+               row_number() OVER (ORDER BY CAST(ts AS DATE) DESC) AS position
+        FROM events GROUP BY CAST(ts AS DATE)
     """,
     "top_creators_all": _CREATORS,
-    "top_creators": f"{_CREATORS} {_FIRST_TEN}",
+    "top_creators": f"SELECT *, {_PLACE} FROM ({_CREATORS} {_FIRST_TEN})",
     "top_creators_minutes": f"""
         SELECT *, ((2 * CAST(round(total_listen_duration_sec * 100) AS BIGINT) + 60) // 120) / 100.0::DOUBLE
-                   AS total_listen_minutes
-        FROM ({_CREATORS}) {_FIRST_TEN}
+                   AS total_listen_minutes, {_PLACE}
+        FROM ({_CREATORS} {_FIRST_TEN})
+    """,
+    "top_creators_ascending": f"""
+        SELECT *, row_number() OVER (ORDER BY total_streams, artist_id) AS position FROM ({_CREATORS} {_FIRST_TEN})
     """,
-    "top_creators_ascending": f"SELECT * FROM ({_CREATORS} {_FIRST_TEN}) ORDER BY total_streams, artist_id",
     "top_suppliers": f"""
         SELECT s_suppkey AS artist_id, s_name AS artist_name, n_name AS genre, count(l_orderkey) AS total_streams,
                CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_listen_duration_sec
@@ -208,14 +241,7 @@ ORACLE: dict[str, str] = {
     "dedupe_first": _one_per_user("ASC"),
     "dedupe_latest": _one_per_user("DESC"),
     "dedupe_version": f"SELECT DISTINCT {_EVENTS} FROM events",
-    "expect_report": " UNION ALL ".join(
-        [
-            _rule("valid_user_id", "user_id IS NOT NULL", "warn"),
-            _rule("known_type", "event_type IN ('view', 'click', 'purchase', 'signup')", "drop"),
-            _rule("positive_value", "value > 0", "drop"),
-            _rule("large_value", "value >= 150", "warn"),
-        ]
-    ),
+    "expect_report": " UNION ALL ".join(_RULES),
     "expect_or_drop": f"{_ALL_EVENTS} WHERE {_VALID}",
     "expect_observed": f"{_ALL_EVENTS} WHERE {_VALID}",
     "fact_table": f"SELECT {_EVENTS}, CAST(ts AS DATE) AS stream_date FROM events WHERE {_VALID}",
@@ -237,12 +263,18 @@ ORACLE: dict[str, str] = {
                coalesce(__END_AT, TIMESTAMP '9999-12-31 23:59:59') AS valid_to
         FROM history
     """,
-    "history_preview": f"{_USER_VERSIONS} ORDER BY user_id, __START_AT, event_id LIMIT 20",
+    "history_preview": f"""
+        WITH {_USER_HISTORY}
+        SELECT *, row_number() OVER (ORDER BY user_id, __START_AT, event_id) AS position FROM history
+        ORDER BY position LIMIT 20
+    """,
     "stream_to_silver": _ALL_EVENTS,
     "stream_quality": f"{_ALL_EVENTS} WHERE {_VALID}",
     "stream_dedupe_first": "SELECT DISTINCT user_id FROM events",
     "stream_facts": _ALL_EVENTS,
     "stream_scd2": _USER_VERSIONS,
+    "store_replay": _USER_VERSIONS,
+    "stream_rule_totals": " UNION ALL ".join(_RULES),
     "schema_evolve": f"""
         SELECT event_id, ts, user_id, event_type, value, CASE WHEN ts >= {_SPLIT} THEN props END AS props,
                CAST(NULL AS VARCHAR) AS _rescued_data
@@ -254,8 +286,24 @@ ORACLE: dict[str, str] = {
                    || CAST(to_json(event_type) AS VARCHAR) || '}' AS _rescued_data
         FROM events
     """,
+    "rescue_twice": """
+        SELECT event_id,
+               '{"props":' || CAST(to_json(props) AS VARCHAR) || ',"event_type":' || CAST(to_json(event_type) AS VARCHAR)
+                   || ',"user_id":"' || user_id || '"}' AS _rescued_data
+        FROM events
+    """,
     "bronze_round_trip": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders",
     "table_round_trip": "SELECT * FROM part",
+    "table_metadata": """
+        SELECT 'comment' AS fact, 'Parts' AS value UNION ALL SELECT 'declared rows', '0' UNION ALL
+        SELECT 'quality', 'gold' UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM part
+    """,
+    "control_cycle": " UNION ALL ".join(
+        f"SELECT {run} AS run, table_name, {status} AS status, {rows} AS row_count, watermark FROM ({_audited(table, moment)})"
+        for run, status, rows in ((1, "status", "row_count"), (2, "'EMPTY'", "0"))
+        for table, moment in (("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate"))
+    ),
+    "watermark_ties": "SELECT * FROM orders",
     "ingest_audit": f"""
         {_audited("events", "ts")} UNION ALL {_audited("orders", "o_orderdate")} UNION ALL
         {_audited("lineitem", "l_shipdate")} UNION ALL
@@ -289,4 +337,25 @@ ORACLE: dict[str, str] = {
         LEFT JOIN supplier s ON t.p_size = s.s_suppkey
         WHERE floor(e.value) > 0
     """,
+    "cycle_user_history": f"WITH {_TIER_HISTORY} SELECT *, CAST(NULL AS DATE) AS end_date FROM history",
+    "cycle_dates": """
+        SELECT DISTINCT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, CAST(ts AS DATE) AS date,
+               CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month, CAST(year(ts) AS INTEGER) AS year,
+               dayname(ts) AS weekday
+        FROM events
+    """,
+    "cycle_daily": f"""
+        SELECT CAST(ts AS DATE) AS stream_date, count(event_id) AS total_streams, count(user_id) AS stream_events,
+               count(DISTINCT user_id) AS unique_listeners, CAST(sum(seconds) AS BIGINT) AS total_listen_seconds,
+               CAST((200 * sum(seconds) + 60) // 120 AS BIGINT) / 100.0::DOUBLE AS total_listen_minutes,
+               CAST((20 * sum(seconds) + count(seconds)) // (2 * count(seconds)) AS BIGINT) / 10.0::DOUBLE
+                   AS avg_listen_duration_seconds
+        FROM {_LISTENED} GROUP BY 1
+    """,
+    "cycle_top": f"""
+        SELECT CAST(s_suppkey AS INTEGER) AS artist_id, s_name AS artist_name, 'Pop' AS genre,
+               count(event_id) AS total_streams, CAST(sum(seconds) AS BIGINT) AS total_listen_duration_sec
+        FROM {_LISTENED} e JOIN part ON e.user_id = p_partkey JOIN supplier ON p_size = s_suppkey
+        WHERE p_size > 0 GROUP BY 1, 2, 3
+    """,
 }
