@@ -125,27 +125,23 @@ MODEL: dict[str, TableSpec] = {
     )
 }
 
+# The columns of the wide table, in their order. Aliases and conditions are free.
 STAR = (
-    StarEntry(
-        "FactStream", "factstream", ("stream_id", "listen_duration", "device_type", "stream_timestamp")
-    ),
+    StarEntry("FactStream", "event", ("stream_id", "listen_duration", "device_type", "stream_timestamp")),
     StarEntry(
         "DimUser",
-        "dimuser",
-        ("dimuser.user_id", "user_name", "dimuser.country", "subscription_type"),
-        "factstream.user_id = dimuser.user_id",
+        "who",
+        ("who.user_id", "who.user_name", "who.country", "who.subscription_type"),
+        "who.user_id = event.user_id",
     ),
     StarEntry(
         "DimTrack",
-        "dimtrack",
-        ("dimtrack.track_id", "track_name", "album_name", "duration_sec", "durationFlag"),
-        "factstream.track_id = dimtrack.track_id",
+        "what",
+        ("what.track_id", "what.track_name", "what.album_name", "what.duration_sec", "what.durationFlag"),
+        "what.track_id = event.track_id",
     ),
     StarEntry(
-        "DimArtist",
-        "dimartist",
-        ("dimartist.artist_id", "artist_name", "genre"),
-        "dimtrack.artist_id = dimartist.artist_id",
+        "DimArtist", "maker", ("maker.artist_id", "maker.artist_name", "maker.genre"), "maker.artist_id = what.artist_id"
     ),
 )
 
