@@ -130,7 +130,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'orders', max(o_orderdate) FROM orders
         UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem
     """,
-    "drop_columns": _ALL_EVENTS,
+    "drop_columns": "SELECT * EXCLUDE (props) FROM events",
     "standardize_name": "SELECT c_custkey, upper(trim(c_name)) AS c_name FROM customer",
     "clean_title": "SELECT o_orderkey, trim(replace(o_orderpriority, '-', ' ')) AS o_orderpriority FROM orders",
     "duration_flag": """

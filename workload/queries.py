@@ -594,17 +594,17 @@ def control_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermark_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by month: on the mark, the second delivery has as many orders as the first but not the same."""
-    orders = _table(spark, sf_dir, "orders").withColumn("month", F.date_trunc("month", F.col("o_orderdate").cast("timestamp")))
-    last = orders.agg(F.max("month").alias("month"))
-    ends = orders.join(last, "month").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+    """Orders by year: on the mark, the second delivery has as many orders as the first but not the same."""
+    orders = _table(spark, sf_dir, "orders").withColumn("year", F.date_trunc("year", F.col("o_orderdate").cast("timestamp")))
+    last = orders.agg(F.max("year").alias("year"))
+    ends = orders.join(last, "year").agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
     paths = LakePaths(fresh_dir(spark, "watermark-ties"))
-    spec = TableSpec("orders", "month", columns=orders.schema, keys=("o_orderkey",), sequence=("month",), dedupe="unseen")
+    spec = TableSpec("orders", "year", columns=orders.schema, keys=("o_orderkey",), sequence=("year",), dedupe="unseen")
     for missing in ("high", "low"):
         arrived = orders.join(ends.select(F.col(missing).alias("o_orderkey")), "o_orderkey", "left_anti").select(*orders.columns)
         ingest_all(spark, [spec], {"orders": arrived}, paths)
         run_silver(spark, [spec], {"orders": orders.schema}, paths.bronze, paths.silver)
-    return read_silver(spark, spec, orders.schema, paths.silver).drop("month")
+    return read_silver(spark, spec, orders.schema, paths.silver).drop("year")
 
 
 def _model_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
