@@ -46,17 +46,32 @@ REGIONS = frozenset(("article", "main"))
 SPACED = frozenset(("br", "td", "th", "img", "wbr"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 # Start tags that close an open element of the same group.
-CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+CLOSES = {
+    "p": {"p"},
+    "li": {"li"},
+    "dt": {"dt", "dd"},
+    "dd": {"dt", "dd"},
+    "tr": {"tr", "td", "th"},
+    "td": {"td", "th"},
+    "th": {"td", "th"},
+    "option": {"option"},
+}
 # First words of class and id names of what isn't the article.
 NAMES = re.compile(
-    r"(ads?|adv|advert\w*|adsense|adslot|banner|bread-?crumbs?|comments?|commentlist|consent|cookies?|disqus|disclaimer|footer|gdpr|header|login|"
-    r"masthead|menu|modal|nav\w*|newsletter|notices?|notification|pagination|pager|popup|promo\w*|related|recommend\w*|reply|replies|"
-    r"respond|search|share|sharing|sidebar|signup|skip|skyscraper|social|sponsor\w*|subscribe|subscription|teaser|toolbar|topbar|widget)"
+    r"(ads?|adv|advert\w*|adsense|adslot|banner|bread-?crumbs?|comments?|commentlist|consent|cookies?|disqus|"
+    r"disclaimer|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|notification|pagination|"
+    r"pager|popup|promo\w*|related|recommend\w*|reply|replies|respond|search|share|sharing|sidebar|signup|skip|"
+    r"skyscraper|social|sponsor\w*|subscribe|subscription|teaser|toolbar|topbar|widget)"
     r"([-_].*|\d*|[A-Z].*)?"
 )
-LASTS = re.compile(r".*[-_](ads?|advert\w*|banner|comments?|cookies?|footer|menu|nav|navigation|newsletter|notice|popup|promo|related|share|sidebar|social|sponsor\w*|widget)")
+LASTS = re.compile(
+    r".*[-_](ads?|advert\w*|banner|comments?|cookies?|footer|menu|nav|navigation|newsletter|notice|popup|promo|related|"
+    r"share|sidebar|social|sponsor\w*|widget)"
+)
 CHOSEN = re.compile(r"(has|with|no|is|not|without)[-_].*")
 READERS = re.compile(r"(comments?|commentlist|disqus|related|recommend\w*|reply|replies|respond|teaser)([-_].*)?|.*[-_](comments?|related)")
+# End tags that may close what isn't the article; any other end tag inside it closes nothing outside.
+OUTER = ASIDE | REGIONS | {"body", "html", "header", "div", "section"}
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -97,7 +112,9 @@ class Lines(HTMLParser):
         if tag in ("html", "body") or not attrs:
             return ""
         for name, value in attrs:
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and HIDDEN.search(value):
+            if name == "hidden" or name == "aria-hidden" and value == "true":
+                return "out"
+            if name == "style" and value and HIDDEN.search(value):
                 return "out"
             if name == "role" and value and value.strip().lower() in ROLES:
                 return "out"
@@ -186,7 +203,7 @@ class Lines(HTMLParser):
                     self._new()
                 self._pop(at)
                 return
-            if self.open[at][1] in ("region", "out", "readers") and tag not in ASIDE | REGIONS | {"body", "html", "header", "div", "section"}:
+            if self.open[at][1] in ("region", "out", "readers") and tag not in OUTER:
                 return
 
     def handle_data(self, data: str) -> None:
@@ -260,10 +277,9 @@ def extract(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "html"):
             texts = [main_text(x.as_py()) for x in batch.column("html")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                names=["page_id", "url", "text", "n_chars"],
-            )
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars"])
 
     kept = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), "html")
     return kept.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -166,9 +166,8 @@ def scores(docs: DataFrame, table: np.ndarray) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             n, nats = _scores(batch, sent.value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(n), pa.array(nats)], names=["doc_id", "lang", "n_symbols", "micronats"]
-            )
+            columns = [batch.column("doc_id"), batch.column("lang"), pa.array(n), pa.array(nats)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_symbols", "micronats"])
 
     kept = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text")
     return kept.mapInArrow(score, "doc_id long, lang string, n_symbols long, micronats long")
@@ -186,7 +185,8 @@ def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
     """
     known = scored.where("n_symbols > 0").join(trusted_ids(labels, False), "doc_id", "left_semi")
     bins = known.groupBy("lang", F.ceil(_lowered() / _BIN).alias("bin")).agg(F.count("*").alias("n"))
-    every = bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(False).alias("lang_known"))
+    every = bins.groupBy("bin").agg(F.sum("n").alias("n"))
+    every = every.select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(False).alias("lang_known"))
     bins = bins.withColumn("lang_known", F.lit(True)).unionByName(every)
     up = Window.partitionBy("lang_known", "lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     all_ = Window.partitionBy("lang_known", "lang")

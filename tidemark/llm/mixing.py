@@ -42,7 +42,8 @@ def sizes(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             n = np.diff(words_of(batch.column("text")).first)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["source"], pa.array(n, pa.int64())], names=["doc_id", "source", "size"])
+            columns = [batch["doc_id"], batch["source"], pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "source", "size"])
 
     kept = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), "text")
     return kept.mapInArrow(count, "doc_id long, source string, size long")
@@ -123,7 +124,8 @@ def mix(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEE
         plan.append((i, source, size, goal[source] * blocks / size if size else 0.0, goal[source], blocks))
     schema = T.StructType.fromDDL("place long, source string, source_size long, expected double, target double, blocks long")
     sources = spark.createDataFrame(plan, schema)
-    spans = spans.join(sources.select("place", F.col("source").alias("_source")), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    places = sources.select("place", F.col("source").alias("_source"))
+    spans = spans.join(places, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     drawn = running_total(draws(spark, plan, slots, seed), ["place"], ["shard"], F.col("n"), "first")
     # A few rows make many slots, so they are spread by number and not by their size.
     drawn = drawn.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place", "shard")

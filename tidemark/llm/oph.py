@@ -109,9 +109,11 @@ def _with_next(docs: DataFrame) -> DataFrame:
         return placed.withColumn("borrowed", F.lit(False)).limit(0)
     heads = placed.sparkSession.createDataFrame([(s, low[s], before[s]) for s in before], "own int, head long, give int")
     match = (F.col("stretch") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("head"))
-    lent = F.when(F.col("own").isNotNull(), F.array(F.struct(F.col("stretch"), F.lit(False).alias("borrowed")), F.struct(F.col("give").alias("stretch"), F.lit(True).alias("borrowed"))))
-    alone = F.array(F.struct(F.col("stretch"), F.lit(False).alias("borrowed")))
-    spread = placed.join(F.broadcast(heads), match, "left").withColumn("at", F.explode(F.coalesce(lent, alone)))
+    here = F.struct(F.col("stretch"), F.lit(False).alias("borrowed"))
+    there = F.struct(F.col("give").alias("stretch"), F.lit(True).alias("borrowed"))
+    places = F.when(F.col("own").isNotNull(), F.array(here, there)).otherwise(F.array(here))
+    # At most STRETCHES rows.
+    spread = placed.join(F.broadcast(heads), match, "left").withColumn("at", F.explode(places))
     moved = spread.select("doc_id", "text", F.col("at.stretch").alias("stretch"), F.col("at.borrowed").alias("borrowed"))
     return in_order(moved, [F.col("borrowed"), F.col("doc_id").asc_nulls_first(), F.col("text")])
 
@@ -124,7 +126,8 @@ def edited_pairs(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in pieces(batches):
-            table = pa.Table.from_batches([batch]) if last is None else pa.concat_tables([last, pa.Table.from_batches([batch])])
+            table = pa.Table.from_batches([batch])
+            table = table if last is None else pa.concat_tables([last, table])
             last = table.slice(len(table) - 1)
             stretch, borrowed = (table.column(c).to_numpy() for c in ("stretch", "borrowed"))
             pair = np.flatnonzero((stretch[1:] == stretch[:-1]) & ~borrowed[:-1].astype(bool))
@@ -149,5 +152,8 @@ def edited_pairs(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = (
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+        "near_edited double, near_next double"
+    )
     return _with_next(docs).mapInArrow(run, schema)

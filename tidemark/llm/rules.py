@@ -180,7 +180,8 @@ def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAM
                 gone[i] += int(rule.rejects(texts).sum())
                 spent[i] += time.thread_time() - began
         names = pa.array(range(len(rules)), pa.int32())
-        yield pa.RecordBatch.from_arrays([names, pa.array(spent), pa.array(gone), pa.array(np.full(len(rules), rows))], names=["rule", "s", "gone", "rows"])
+        columns = [names, pa.array(spent), pa.array(gone), pa.array(np.full(len(rules), rows))]
+        yield pa.RecordBatch.from_arrays(columns, names=["rule", "s", "gone", "rows"])
 
     found = some.mapInArrow(measure, "rule int, s double, gone long, rows long").groupBy("rule")
     found = found.agg(F.sum("s").alias("s"), F.sum("gone").alias("gone"), F.sum("rows").alias("rows")).collect()
@@ -212,7 +213,13 @@ def cascade(texts: Texts, rules: tuple[Rule, ...]) -> np.ndarray:
     return out
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measures: tuple[str, ...] = (), base: tuple[Rule, ...] = BASE, sample: int = SAMPLE) -> DataFrame:
+def judge(
+    docs: DataFrame,
+    rules: tuple[Rule, ...] = RULES,
+    measures: tuple[str, ...] = (),
+    base: tuple[Rule, ...] = BASE,
+    sample: int = SAMPLE,
+) -> DataFrame:
     """doc_id, the ``measures`` (long), base_failed and kept."""
     order = cascade_order(rules, estimate(docs, rules, sample, measures))
 

@@ -311,12 +311,14 @@ def _counted(contexts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, key, th, first, offset, whole, data in zip(*(batch.column(c).to_pylist() for c in ("h", "key", "th", "first", "offset", "whole", "data"))):
+            names = ("h", "key", "th", "first", "offset", "whole", "data")
+            for h, key, th, first, offset, whole, data in zip(*(batch.column(c).to_pylist() for c in names)):
                 n = len(data) - LENGTH + 1
                 digests = [xxhash.xxh3_128_digest(data[s : s + LENGTH], s - offset + LENGTH) for s in range(n)]
                 halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-                columns = [halves[:, 0] ^ h, halves[:, 1], np.full(n, key), np.full(n, th, np.int32), first + np.arange(n), np.full(n, whole)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "key", "th", "first", "whole"])
+                owner = [np.full(n, key), np.full(n, th, np.int32), first + np.arange(n), np.full(n, whole)]
+                columns = [pa.array(c) for c in (halves[:, 0] ^ h, halves[:, 1], *owner)]
+                yield pa.RecordBatch.from_arrays(columns, names=["x", "y", "key", "th", "first", "whole"])
 
     strings = contexts.mapInArrow(run, "x long, y long, key long, th int, first long, whole boolean")
     again = strings.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
@@ -341,7 +343,8 @@ def spans(docs: DataFrame, contexts: int = CONTEXTS, others: list[str] | None =
     found = spark.read.parquet(path)
     dealt = _keyed(docs, others or []).repartition("key", "th")
     opened = found.where("open")
-    crowded = opened.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > contexts).select("h", F.lit(True).alias("crowd"))
+    crowded = opened.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > contexts)
+    crowded = crowded.select("h", F.lit(True).alias("crowd"))
     flagged = opened.join(crowded, "h", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,7 +370,8 @@ def spans(docs: DataFrame, contexts: int = CONTEXTS, others: list[str] | None =
         lists = lists.agg(F.collect_list(F.struct("h", "place", "whole")).alias("found"))
         # All columns of the dealt documents go on, so that this is the same shuffle as the one of the last step.
         met = dealt.join(lists, (F.col("key") == F.col("_key")) & (F.col("th") == F.col("_th")))
-        return met.select(*dealt.columns, "found").mapInArrow(cut, "h long, key long, th int, first long, offset long, whole boolean, data binary")
+        schema = "h long, key long, th int, first long, offset long, whole boolean, data binary"
+        return met.select(*dealt.columns, "found").mapInArrow(cut, schema)
 
     some = _compared(with_bytes(flagged.where("crowd IS NULL"))).unionByName(_counted(with_bytes(flagged.where("crowd"))))
     at = F.shiftright("place", 16)

@@ -87,7 +87,8 @@ def write_tokens(docs: DataFrame, vocabulary: Vocabulary, end: int, path: str, b
             data = write_block(keys, flat, np.cumsum(lengths))
             row = [[stretch], [number], [len(keys)], [len(flat)], [data]]
             types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["stretch", "block", "n_docs", "n_tokens", "data"])
+            columns = [pa.array(v, t) for v, t in zip(row, types)]
+            return pa.RecordBatch.from_arrays(columns, names=["stretch", "block", "n_docs", "n_tokens", "data"])
 
         for batch in pieces(batches, "text", BATCH_BYTES):
             flat, ends = with_end(*encode_.encode(batch.column("text")), end)

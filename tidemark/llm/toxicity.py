@@ -3,13 +3,14 @@
 Grades 0 to ``GRADES - 1``: P(grade <= k) = sigmoid(threshold k - weights . features), one weight for each feature shared by
 all thresholds, which stay in order. A feature is a word (letters and digits, A to Z as a to z) or the first ``STEMS`` bytes of
 a longer word, so that forms of a word count together. A feature has two values over the whole text, log(1 + count) and
-log(1 + 100 count / (words + 20)), with a weight each: some words count however long the text, some only if dense. The output is the expected severity, sum over k of P(grade > k); a document is toxic if P(grade > 0)
-reaches ``LEAST``.
+log(1 + 100 count / (words + 20)), with a weight each: some words count however long the text, some only if dense. The output
+is the expected severity, sum over k of P(grade > k); a document is toxic if P(grade > 0) reaches ``LEAST``.
 
-The labels say toxic or not. A feature counts once in a document, in one of its contexts there (two words before
-and two behind), and once in all documents in which that context is the same, so that neither long documents nor copies count often.
+The labels say toxic or not. A feature counts once in a document, in one of its contexts there (two words before and two
+behind), and once in all documents in which that context is the same, so that neither long documents nor copies count often.
 Features whose log odds in toxic and other documents differ by ``EVIDENCE`` standard errors are used, the ``FEATURES``
-strongest at most. Grade 0 is not toxic; toxic documents are graded by thirds of their number of features that speak for toxicity.
+strongest at most. Grade 0 is not toxic; toxic documents are graded by thirds of their number of features that speak for
+toxicity.
 
 The model is fitted on a bounded sample: the ``SAMPLE`` labelled documents with the smallest hash of doc_id (all if fewer);
 the driver holds their feature counts, never a text. Every document is scored, whole.
@@ -139,8 +140,9 @@ def fit(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade: np.nda
         d_score = d_low - d_high
         by_theta = np.array([d_high[grade == k].sum() - d_low[grade == k + 1].sum() for k in range(grades - 1)])
         later = np.cumsum(by_theta[::-1])[::-1]
+        by_weight = np.bincount(columns, weights=values * d_score[rows], minlength=n_features)
         slope = np.concatenate(
-            (np.bincount(columns, weights=values * d_score[rows], minlength=n_features) / n - _RIDGE * weights, later[:1] / n, later[1:] * gaps / n)
+            (by_weight / n - _RIDGE * weights, later[:1] / n, later[1:] * gaps / n)
         )
         mean, square = 0.9 * mean + 0.1 * slope, 0.999 * square + 0.001 * slope**2
         params = params + 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-9)
@@ -185,14 +187,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
 def severity(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
     """doc_id, severity (expected grade), grade (most probable) and toxic of every document."""
     # Three small arrays with a proven bound: FEATURES hashes and weights.
-    features, weights, thresholds = (model.features, model.weights, model.thresholds) if model else (np.zeros(0, np.uint64), np.zeros(0), None)
+    model = model or Model(np.zeros(0, np.uint64), np.zeros(0), None)
+    features, weights, thresholds = model.features, model.weights, model.thresholds
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             above = np.zeros((batch.num_rows, GRADES - 1))
             if thresholds is not None:
                 row, at, n = _counts(batch, features)
-                total = np.bincount(row, weights=n * weights[at], minlength=batch.num_rows) if len(row) else np.zeros(batch.num_rows)
+                total = np.bincount(row, weights=n * weights[at], minlength=batch.num_rows)
                 above = 1 - _sigmoid(thresholds[None, :] - total[:, None])
             each = -np.diff(np.column_stack((np.ones(batch.num_rows), above, np.zeros(batch.num_rows))), axis=1)
             columns = [
