@@ -34,4 +34,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE: dict[str, str] = {"op2_rules": _OP2}
+# Every string of 200 bytes by its hash; texts are in hexadecimal digits, two for a byte.
+_OP7 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents
+), starts AS (
+  SELECT r, unnest(generate_series(0, len(t) // 2 - 200)) AS i,
+         unnest(list_transform(generate_series(0, len(t) // 2 - 200), lambda i: hash(substr(t, 2 * i + 1, 400)))) AS h
+  FROM docs
+), again AS (
+  SELECT r, i FROM starts SEMI JOIN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1) USING (h)
+), marked AS (
+  SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens FROM again
+), numbered AS (
+  SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM marked
+), spans AS (
+  SELECT r, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, span
+), pieces AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS behind FROM spans
+), kept AS (
+  SELECT r, string_agg(substr(t, 2 * behind + 1, 2 * (a - behind)), '' ORDER BY a)
+            || substr(any_value(t), 2 * max(b) + 1) AS rest, sum(b - a) AS removed, count(*) AS n
+  FROM pieces JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(len(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, t))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op2_rules": _OP2, "op7_substrings": _OP7}
