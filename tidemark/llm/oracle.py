@@ -62,4 +62,21 @@ SELECT doc_id, CAST(len(t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0)
 FROM docs LEFT JOIN kept USING (r)
 """
 
-ORACLE: dict[str, str] = {"op2_rules": _OP2, "op7_substrings": _OP7}
+# The pages of the tables have one article each, of headings and paragraphs.
+_OP5 = r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS a FROM pages
+), plain AS (
+  SELECT page_id, url, list_transform(
+    regexp_split_to_array(regexp_replace(regexp_replace(a, '</?b>', '', 'g'), '<br>', ' ', 'g'), '</?(p|h1)>'),
+    lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))) AS parts
+  FROM articles
+), texts AS (
+  SELECT page_id, url, replace(replace(replace(replace(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text
+  FROM plain
+)
+SELECT page_id, url, text, CAST(len(text) AS BIGINT) AS n_chars FROM texts
+"""
+
+ORACLE: dict[str, str] = {"op2_rules": _OP2, "op5_extract": _OP5, "op7_substrings": _OP7}
