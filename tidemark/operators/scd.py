@@ -162,7 +162,8 @@ def _joined_up(near: DataFrame, keys: list[str], segment: str, shown: list[str])
         "__after",
         F.last("__newest", ignorenulls=True).over(earlier).alias("__carried"),
     )
-    return near.join(F.broadcast(summary), _equal(grouping, "__key_"), "inner")
+    # Not hinted: the rows carry the tracked values, so Spark measures them before it broadcasts them.
+    return near.join(summary, _equal(grouping, "__key_"), "inner")
 
 
 def _unique_in_place(rows: DataFrame, grouping: list[str], sequence: list[str]) -> DataFrame:

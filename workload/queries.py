@@ -52,7 +52,7 @@ from tidemark.session import fresh_dir, shared_dir
 from tidemark.sources.bronze import bronze_folder, land_bronze, read_bronze
 from tidemark.sources.control import TableSpec, load_specs
 from tidemark.sources.extract import extract_from, extract_since, extract_window
-from tidemark.sources.schemas import conform, merge_schemas
+from tidemark.sources.schemas import conform, evolve
 from tidemark.sources.tables import create_target, read_table, write_table
 from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import (
@@ -508,12 +508,14 @@ def stream_rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first batch without ``props``, a second one with it, read under the evolved schema."""
+    """A first batch without ``props``, a second one with it, read under the schema that the registry has then."""
     events = _table(spark, sf_dir, "events")
     split = F.lit(_SPLIT).cast("timestamp_ntz")
     first = events.filter(F.col("ts") < split).drop("props")
     second = events.filter(F.col("ts") >= split)
-    schema = merge_schemas(merge_schemas(None, first.schema), second.schema)
+    registry = fresh_dir(spark, "registry")
+    for batch in (first, second):
+        schema = evolve(spark, registry, "events", batch.schema)
     return union_batches(conform(first, schema), conform(second, schema))
 
 
