@@ -1,3 +1,5 @@
+"""Fixtures of these tests; a conftest.py here would hide the one above."""
+
 import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"

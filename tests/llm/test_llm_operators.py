@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from llm_fixtures import clashing, docs, odd  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 

@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from llm_fixtures import docs, odd  # noqa: F401
 from test_llm_operators import brute_components, brute_fingerprint, brute_substrings, brute_tokens
 from pyspark.sql import functions as F
 
