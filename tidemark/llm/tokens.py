@@ -28,7 +28,7 @@ import regex
 from tidemark.llm.text import WHITE, buffers
 
 # Text encoded at once, and distinct pieces remembered by a Python worker before it forgets all but the last text's.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 REMEMBERED = 300_000
 
 _OTHER_SPACE = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -155,23 +155,34 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
         return flat, sizes
 
-    def _model(self, part: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(part)]
-
-    def _piece(self, piece: bytes) -> list[int] | None:
-        """The ids of a plain piece; None if it needs the whole pipeline."""
-        if piece.isascii() and piece.isalpha():
-            return self._model(piece.decode())
-        if piece[:1] == b" " and piece.isascii() and piece[1:].isalpha():
-            return self._model(self.letters[0x20] + piece[1:].decode())
-        text = piece.decode()
+    def _ids(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece."""
+        tokenize, space = self.model.tokenize, self.letters[0x20]
+        out: list[list[int] | None] = [
+            # One run of ASCII letters, with or without a space before it: the model's input as it stands.
+            [t.id for t in tokenize(p.decode())]
+            if p.isascii() and p.isalpha()
+            else [t.id for t in tokenize(space + p[1:].decode())]
+            if p[:1] == b" " and p.isascii() and p[1:].isalpha()
+            else self._parts(p.decode())
+            for p in pieces
+        ]
+        rest = [p.decode() for p, ids in zip(pieces, out) if ids is None]
+        if not rest:
+            return out
+        encoded = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
+        return [next(encoded).ids if ids is None else ids for ids in out]
+
+    def _parts(self, text: str) -> list[int] | None:
+        """The ids of a plain piece, part by part; None if it needs the whole pipeline."""
         if not _PLAIN.fullmatch(text):
             return None
         out: list[int] = []
         for part in self.pattern.findall(text.lower() if self.cut == "words" else text):
             ids = self.parts.get(part)
             if ids is None:
-                ids = self.parts[part] = self._model(part.encode().decode("latin-1").translate(self.letters))
+                shown = part.encode().decode("latin-1").translate(self.letters)
+                ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
             out += ids
         return out
 
@@ -182,11 +193,7 @@ class Encoder:
         known = self.known
         new = [p for p in pieces if p not in known]
         if new:
-            found = [self._piece(p) for p in new]
-            rest = [p.decode() for p, ids in zip(new, found) if ids is None]
-            if rest:
-                encoded = iter(self.tokenizer.encode_batch(rest, add_special_tokens=False))
-                found = [next(encoded).ids if ids is None else ids for ids in found]
+            found = self._ids(new)
             sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(sizes.sum()))
             known.update(zip(new, range(len(known), len(known) + len(new))))
@@ -199,9 +206,9 @@ class Encoder:
         bytes_ = buffers(texts)
         rows = len(texts)
         raw, bounds, first = tiles(*bytes_, self.cut)
-        found = pa.Array.from_buffers(
-            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(raw))]
-        )
+        kind, width = (pa.binary(), np.int32) if len(raw) < 2**31 else (pa.large_binary(), np.int64)
+        parts = [None, pa.py_buffer(bounds.astype(width)), pa.py_buffer(np.ascontiguousarray(raw))]
+        found = pa.Array.from_buffers(kind, len(bounds) - 1, parts)
         found = found.dictionary_encode()
         number = self._look_up(found.dictionary.to_pylist())[found.indices.to_numpy(zero_copy_only=False)]
         sizes = np.diff(self.starts)[number]
