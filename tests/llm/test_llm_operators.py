@@ -394,6 +394,16 @@ def test_substrings_of_odd_tables(docs, odd, clashing):
     assert sorted(r.n_removed for r in substrings.report(twice).collect()) == [0, 250, 250]
 
 
+def test_texts_are_shuffled_once(docs):
+    """Both steps that need texts read the same shuffle, with and without other columns."""
+    rows = substring_rows(1)
+    for df in (substrings.report(docs(*rows)), substrings.remove(docs(*rows))):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        dealt = [x for x in plan.split("\n") if "hashpartitioning(key" in x and "REPARTITION_BY_COL" in x]
+        assert sum("ReusedExchange" not in x for x in dealt) == 1 and sum("ReusedExchange" in x for x in dealt) >= 1
+
+
 # ---- 8 token files -------------------------------------------------------------------------------------------------
 def brute_tokens(rows, file, end=1):
     plain = Tokenizer.from_file(public_tokenizers.path(file))
