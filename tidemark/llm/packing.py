@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import cut, running_total
 from tidemark.llm.text import pieces as small_batches
+from tidemark.llm.text import release
 from tidemark.llm.tokens import BATCH_BYTES, Vocabulary, encoder, with_end
 
 CAPACITY = 2048
@@ -63,6 +64,8 @@ def cut_documents(docs: DataFrame, vocabulary: Vocabulary, end: int) -> DataFram
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc)]
             columns.append(pa.array(np.diff(ends)[np.array(row, dtype=np.int64)], pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        encode.forget()
+        release()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return texts.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import components, cut
+from tidemark.llm.text import release
 
 SHINGLE = 3
 RADIUS = 3
@@ -69,6 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             bits = b"".join(fingerprint(t.as_py(), shingle) for t in batch.column("text"))
             fps = pa.array(np.frombuffer(bits, dtype=">i8").astype(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], names=["doc_id", "fp"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, fp long")
 

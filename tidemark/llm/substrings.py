@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.suffixes import suffix_array
-from tidemark.llm.text import mix
+from tidemark.llm.text import mix, release
 from tidemark.session import fresh_dir
 
 LENGTH = 200
@@ -128,6 +128,8 @@ def _contexts(docs: DataFrame) -> DataFrame:
                 held, count = [], 0
         if held:
             yield flush()
+            held.clear()
+        release()
 
     return docs.mapInArrow(run, "h long, context long, key long, th int, place long")
 
@@ -301,6 +303,7 @@ def _compared(contexts: DataFrame) -> DataFrame:
             rest = table.slice(cut)
         if rest is not None:
             yield from shards(rest)
+        release()
 
     ordered = contexts.repartition("h").sortWithinPartitions("h", "key", "th", "first")
     return ordered.mapInArrow(run, "key long, th int, first long, end long")

@@ -6,6 +6,7 @@ multi-byte UTF-8 character is one of these, so words of bytes are words of chara
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,6 +65,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    release()
+
+
+def release() -> None:
+    """Gives memory that a task has freed back to the system: Python workers outlive their tasks, and those that wait keep
+    what they have from those that work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 @dataclass

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.eliasfano import Sequence, encode
 from tidemark.llm.frames import in_order, stretch_bounds, with_stretch
-from tidemark.llm.text import pieces
+from tidemark.llm.text import pieces, release
 from tidemark.llm.tokens import BATCH_BYTES, Vocabulary, encoder, with_end
 
 BLOCK = 1 << 18
@@ -111,6 +111,8 @@ def write_tokens(docs: DataFrame, vocabulary: Vocabulary, end: int, path: str, b
                 row = stop
         if held:
             yield flush()
+        encode_.forget()
+        release()
 
     placed.mapInArrow(run, _SCHEMA).write.parquet(path)
 

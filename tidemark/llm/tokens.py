@@ -139,8 +139,8 @@ class Encoder:
         self.ids = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
 
-    def _forget(self, but: list[bytes] = ()) -> None:
-        """Forget all pieces but those, which are likely to come again."""
+    def forget(self, but: list[bytes] = ()) -> None:
+        """Forgets all pieces but those, which are likely to come again; at the end of a task, all."""
         kept = [p for p in but if p in self.known]
         number = np.array([self.known[p] for p in kept], dtype=np.int64)
         sizes = np.diff(self.starts)[number]
@@ -189,7 +189,7 @@ class Encoder:
     def _look_up(self, pieces: list[bytes]) -> np.ndarray:
         """The number of each piece in the store."""
         if len(self.known) > REMEMBERED:
-            self._forget(pieces)
+            self.forget(pieces)
         known = self.known
         new = [p for p in pieces if p not in known]
         if new:
