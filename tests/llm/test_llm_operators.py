@@ -511,3 +511,66 @@ def test_classifier_of_odd_tables(spark, docs, odd):
     got = kneser.judge(odd, marks).collect()
     assert len(got) == odd.count() and all(r.kept and r.perplexity is None for r in got if not (r.text if "text" in r else r.n_symbols))
     assert kneser.judge(docs(), marks).count() == 0 and kneser.keep(docs(), marks).count() == 0
+
+
+def test_classifier_tells_word_order_and_letters(spark, docs):
+    rng = random.Random(4)
+    letters = "бвгджзклмнпрст"
+    words = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(60)]
+    other = [w.translate({ord(a): ord(b) for a, b in zip(letters, "βγδζθκλμνξπρστ")}) for w in words]
+
+    def text(n):
+        at, out = rng.randrange(60), []
+        for _ in range(n):
+            out.append(words[at])
+            at = (at + 1 + rng.randrange(3)) % 60
+        return out
+
+    rows, labels = [], []
+    for i in range(300):
+        rows.append((i, " ".join(text(120)), "ru", "s"))
+        labels.append((i, 1, 0))
+    shuffled, foreign = [], []
+    for i in range(300, 330):
+        salad = text(120)
+        rng.shuffle(salad)
+        shuffled.append((i, " ".join(salad), "ru", "s"))
+        foreign.append((i + 100, " ".join(other[words.index(w)] for w in text(120)), "ru", "s"))
+    marks = spark.createDataFrame(labels, LABELS)
+    got = {r.doc_id: r.kept for r in kneser.judge(docs(*rows, *shuffled, *foreign), marks).collect()}
+    assert all(got[r[0]] for r in rows)
+    assert not any(got[r[0]] for r in shuffled) and not any(got[r[0]] for r in foreign)
+
+
+def test_probabilities_of_words_sum_to_one(spark, docs):
+    """The table's sum is the interpolated probability of a text, worked out by hand from the counts."""
+    df = docs((1, "a b a c"), (2, "a b b"), (3, "c a b"))
+    spelling = kneser.surprise_table(kneser.count_runs(df, spelled=True))
+    pairs = kneser.count_pairs(df, spelling)
+    values, fallback = kneser.word_model(pairs)
+    found = pairs.collect()
+    d2 = kneser.discounts(Counter(r.c for r in found))
+    types = Counter(r.w2 for r in found)
+    d1 = kneser.discounts(Counter(types.values()))
+    spelled = {r.w2: r.spelled for r in found}
+    minus = lambda c, d: d[min(c, 3) - 1]
+    left = sum(minus(c, d1) for c in types.values()) / len(found)
+    low = {w: (c - minus(c, d1)) / len(found) + left * np.exp(-spelled[w] / 1e6) for w, c in types.items()}
+    count = {(r.w1, r.w2): r.c for r in found}
+    ends = lambda text: [int(x) for x in kneser.Sequences(spark_array(text)).hashes.view(np.int64)]
+    got = {r.row: r for r in kneser.row_scores(df, kneser.Model(spelling, values, fallback)).collect()}
+    for r in df.select("text", kneser.row_key().alias("row")).collect():
+        seq, total = ends(r.text), 0.0
+        for a, b in zip(seq, seq[1:]):
+            here = {w: c for (x, w), c in count.items() if x == a}
+            n = sum(here.values())
+            gamma = sum(minus(c, d2) for c in here.values()) / n
+            p = (here[b] - minus(here[b], d2)) / n if b in here else 0
+            total -= np.log(p + gamma * low[b])
+        assert got[r.row].micronats / 1e6 == pytest.approx(total, abs=1e-4)
+
+
+def spark_array(text):
+    import pyarrow as pa
+
+    return pa.array([text])

@@ -1,27 +1,32 @@
-"""Quality by an n-gram model: interpolated modified Kneser-Ney, trained on trusted text.
-
-The model is over characters, folded to ``SYMBOLS`` classes (white space; the letters a to z; capitals; other letters;
-digits; punctuation; the rest), in runs of ``ORDER``. Trusted documents are those whose labels all say quality 1. All
-text of ``TRAINED`` in ``FOLDS`` of them, by a hash of doc_id, is counted; the others, which the model hasn't seen, set the
-thresholds. Tasks count their share, the counts meet by run. Lower orders count the distinct runs that a run ends.
-Joins on contexts and on suffixes, sharded by the run's code, make discounted probabilities and the weight of the next lower
-order, with three discounts for each order from the counts of counts.
-
-There are at most SYMBOLS ** ORDER = 1,048,576 runs whatever the corpus, so the finished table has a proven bound: four
-megabytes as whole micronats. It is sent to the tasks that score. Whole numbers make the sums the same in any order.
-
-A document's score is its mean surprise; its perplexity is exp of it. A language's threshold is the ``QUANTILE`` over its
-unseen trusted documents of surprise less SLACK / sqrt(length), as the mean over a short text strays further, plus
-``MARGIN``. Languages with fewer than ``LEAST`` of these use the quantile over all languages.
-
-A null or empty text has perplexity null and is kept, as nothing speaks against it. A null language is a language. Rows that
-share a doc_id are scored one by one; a document without doc_id isn't trusted. Without trusted documents nothing is
-rejected. An empty table gives no rows. Long texts are scored whole.
+"""Quality by an n-gram model: interpolated modified Kneser-Ney over word pairs, trained on trusted text.
+
+A text is its words between a start and an end. Pairs of words are counted over all text of ``TRAINED`` in ``FOLDS`` of the
+trusted documents, by a hash of doc_id; trusted are those whose labels all say quality 1. The others, which the model hasn't
+seen, set the thresholds. A pair's discounted probability falls back on its second word's, by the number of different words
+before it, and a word's on its spelling: a model of the same kind over bytes folded to ``SYMBOLS`` classes, in runs of
+``ORDER`` inside a word, each byte an even share of its class. So every text has a probability. Each model has three
+discounts for each order from the counts of counts.
+
+The pairs and words grow with the corpus and are a table sharded by 64-bit hashes; the driver sees none of them. Its values
+are what a pair or word adds to the fallback's logarithm, and what a word leaves to it as a context, so a text's logarithm is
+the sum over its pairs and words that the table has and a part of its own. A task counts them document by document and packs
+them by shard; a join by shard adds up the values. Only the spellings' SYMBOLS ** ORDER = 1,048,576 runs are sent to the
+tasks, four megabytes. Values are whole micronats, so sums are the same in any order.
+
+A document's score is its mean surprise for a symbol (a word's, and one for each word's end and the text's); its perplexity is
+exp of it. A language's threshold is the ``QUANTILE`` over its unseen trusted documents of surprise less SLACK /
+sqrt(length), as the mean over a short text strays further, plus ``MARGIN``. Languages with fewer than ``LEAST`` of these use
+the quantile over all languages.
+
+A text without words (null, empty, white) has perplexity null and is kept, as nothing speaks against it. A null language is a
+language. Rows that share a doc_id are scored one by one; a document without doc_id isn't trusted. Without trusted documents
+nothing is rejected. An empty table gives no rows. Long texts are scored whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import cut
-from tidemark.llm.text import WHITE, buffers, pieces
+from tidemark.llm.text import WHITE, Words, buffers, mix, pieces, word_hashes, words_of
 
 ORDER = 4
 BITS = 5
@@ -51,6 +56,13 @@ _CLASS[0xC0:] = 28
 _CLASS[0x30:0x3A] = 29
 _CLASS[list(b".,;:!?'\"()-")] = 30
 _CLASS[0x80:0xC0] = _DROP
+# Micronats of a byte among those of its class.
+_WITHIN = np.round(1e6 * np.log(np.bincount(_CLASS, minlength=256)[_CLASS])).astype(np.int64)
+
+# Fixed values that stand for a text's start and end.
+_START = np.uint64(0x51A27)
+_END = np.uint64(0xE4D)
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,20 +89,86 @@ def trusted_ids(labels: DataFrame, trained: bool) -> DataFrame:
     return marks.agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality")).where("quality = 1").select("doc_id")
 
 
-def count_runs(docs: DataFrame) -> DataFrame:
-    """gram (the run's code) and c, over all texts."""
+def count_runs(docs: DataFrame, spelled: bool = False) -> DataFrame:
+    """gram (the run's code) and c, over all texts; with ``spelled``, inside each of a text's words and its end."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
         for batch in pieces(batches):
-            code, _ = runs(batch.column("text"))
-            total += np.bincount(code, minlength=len(total))
+            texts = batch.column("text")
+            if spelled:
+                texts, times = Sequences(texts).spellings()
+                code, offsets = runs(texts)
+                np.add.at(total, code, np.repeat(times, np.diff(offsets)))
+            else:
+                total += np.bincount(runs(texts)[0], minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "c"])
 
     return docs.select("text").mapInArrow(count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
+class Sequences:
+    """The words of a batch's texts as hashes, a start and an end around each text that has words.
+
+    ``rows`` has the row of each of ``hashes``. ``words`` are the different words, whose spellings are looked up once.
+    """
+
+    def __init__(self, texts: pa.Array):
+        words = words_of(texts)
+        self.counts = np.diff(words.first)
+        hashes, at, self.which = np.unique(word_hashes(words), return_index=True, return_inverse=True)
+        self.hashed = hashes
+        self.words = Words(words.raw, words.starts[at], words.ends[at], np.zeros(0, np.int64))
+        self.first = words.first
+        sizes = np.where(self.counts > 0, self.counts + 2, 0)
+        self.rows = np.repeat(np.arange(len(sizes)), sizes)
+        stops = np.cumsum(sizes)
+        self.hashes = np.zeros(len(self.rows), dtype=np.uint64)
+        inner = np.ones(len(self.rows), dtype=bool)
+        heads, tails = (stops - sizes)[sizes > 0], stops[sizes > 0] - 1
+        inner[heads] = inner[tails] = False
+        self.hashes[inner] = hashes[self.which]
+        self.hashes[heads], self.hashes[tails] = _START, _END
+        self.texts = len(heads)
+
+    def spellings(self) -> tuple[pa.Array, np.ndarray]:
+        """Each different word with a white after it, last the end (no word, and a white), and how often they occur."""
+        words = self.words
+        lengths = np.append(words.ends - words.starts, 0)
+        offsets = np.concatenate(([0], np.cumsum(lengths + 1)))
+        flat = np.full(offsets[-1], 0x20, dtype=np.uint8)
+        word = np.repeat(np.arange(len(lengths)), lengths)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        flat[offsets[:-1][word] + place] = words.raw[np.append(words.starts, 0)[word] + place]
+        made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+        return made, np.append(np.bincount(self.which, minlength=len(words.starts)), self.texts)
+
+    def spelled(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and micronats of the spelling of each different word, last of the end."""
+        texts, _ = self.spellings()
+        code, offsets = runs(texts)
+        raw, ends = buffers(texts)
+        nats = np.concatenate(([0], np.cumsum(table[code], dtype=np.int64)))[offsets]
+        within = np.concatenate(([0], np.cumsum(_WITHIN[raw])))[ends]
+        # A white is one of several, but only ends a word.
+        return np.diff(offsets), np.diff(nats) + np.diff(within) - _WITHIN[0x20]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the second words of all pairs, and the row of each."""
+        at = np.flatnonzero(self.hashes != _START)
+        return at, self.rows[at]
+
+
+def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(mix(first) * _PAIR + second)
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """In the order of the keys, so that sorted keys lie shard by shard."""
+    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
 def discounts(n: dict[int, int]) -> tuple[float, float, float]:
     """The discounts for counts 1, 2 and 3 or more, from how many runs were counted 1, 2, 3 and 4 times."""
     n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
@@ -146,31 +224,175 @@ def surprise_table(counts: DataFrame) -> np.ndarray:
     return np.round(-1e6 * np.log(np.maximum(below, 1e-12))).astype(np.int32)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
+def count_pairs(docs: DataFrame, spelling: np.ndarray) -> DataFrame:
+    """w1, w2 (hashes of words), c, and spelled: the micronats of the second's spelling."""
+    sent = docs.sparkSession.sparkContext.broadcast(spelling)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            found = Sequences(batch.column("text"))
+            _, nats = found.spelled(sent.value)
+            at, _ = found.pairs()
+            second = found.hashes[at]
+            keys, where, n = np.unique(pair_key(found.hashes[at - 1], second), return_index=True, return_counts=True)
+            w1, w2 = found.hashes[at - 1][where], second[where]
+            place = np.searchsorted(found.hashed, w2)
+            cost = nats[np.where(w2 == _END, len(found.hashed), np.minimum(place, len(found.hashed)))]
+            columns = [pa.array(x.view(np.int64)) for x in (w1, w2)] + [pa.array(n.astype(np.int64)), pa.array(cost)]
+            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "c", "spelled"])
+
+    counted = docs.select("text").mapInArrow(count, "w1 long, w2 long, c long, spelled long")
+    return counted.groupBy("w1", "w2").agg(F.sum("c").alias("c"), F.min("spelled").alias("spelled"))
+
+
+def _least(grams: DataFrame) -> tuple[float, float, float]:
+    return discounts({r.c: r.n for r in grams.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()})
+
+
+def _minus(d: tuple[float, float, float]):
+    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+
+
+def _taken(d: tuple[float, float, float]):
+    """The sum of discounts, from whole counts, so that the order of the rows doesn't matter."""
+    ones, twos = F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))
+    return ones * d[0] + twos * d[1] + (F.count("*") - ones - twos) * d[2]
+
+
+def word_model(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """w1 (null for a word alone), w2, value: the micronats that the pair or word adds; and those of each fallback on the
+    spelling."""
+    pairs = cut(pairs)
+    d2 = _least(pairs)
+    words = cut(pairs.groupBy("w2").agg(F.count("*").alias("c"), F.min("spelled").alias("spelled")))
+    d1 = _least(words)
+    whole = words.agg(F.sum("c").alias("total"), _taken(d1).alias("taken")).first()
+    if not whole.total:
+        return pairs.select("w1", "w2", F.lit(0).cast("long").alias("value")), 0
+    left = whole.taken / whole.total
+    prob = (F.col("c") - _minus(d1)) / F.lit(float(whole.total)) + F.lit(left) * F.exp(-F.col("spelled") / 1e6)
+    alone = words.select("w2", F.log(prob).alias("log1"), F.col("spelled"))
+    contexts = pairs.groupBy("w1").agg(F.sum("c").alias("total"), _taken(d2).alias("taken"))
+    contexts = cut(contexts.select("w1", "total", (F.col("taken") / F.col("total")).alias("gamma")))
+    lower = alone.select("w2", F.exp("log1").alias("below"))
+    met = pairs.join(contexts.hint("merge"), "w1").join(lower.hint("merge"), "w2")
+    fell = F.col("gamma") * F.col("below")
+    ratio = ((F.col("c") - _minus(d2)) / F.col("total") + fell) / fell
+    seen = met.select("w1", "w2", F.round(-1e6 * F.log(ratio)).cast("long").alias("value"))
+    own = -1e6 * (F.col("log1") - F.lit(float(np.log(left)))) - F.col("spelled")
+    one = alone.select("w2", F.round(own).cast("long").alias("value"))
+    two = contexts.select(F.col("w1").alias("w2"), F.round(-1e6 * F.log("gamma")).cast("long").alias("value"))
+    both = one.unionByName(two).groupBy("w2").agg(F.sum("value").alias("value"))
+    values = seen.unionByName(both.select(F.lit(None).cast("long").alias("w1"), "w2", "value"))
+    return values, int(round(-1e6 * np.log(left)))
+
+
+@dataclass
+class Model:
+    spelling: np.ndarray
+    values: DataFrame
+    fallback: int
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
     # Labels grow with the corpus, so the join is never planned as a broadcast, however few they are.
     ids = trusted_ids(labels, True).hint("merge")
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return surprise_table(count_runs(kept))
-
-
-def _scores(batch: pa.RecordBatch, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    code, offsets = runs(batch.column("text"))
-    total = np.concatenate(([0], np.cumsum(table[code], dtype=np.int64)))
-    return np.diff(offsets), np.diff(total[offsets])
+    kept = kept.select("text")
+    spelling = surprise_table(count_runs(kept, spelled=True))
+    return Model(spelling, *word_model(count_pairs(kept, spelling)))
+
+
+def row_key():
+    """Rows with equal keys have the same doc_id and text, so the same score."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
+def _packed(batch: pa.RecordBatch, model_table: np.ndarray, fallback: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """For each shard, the keys of its pairs and words, their rows and counts; the rows' own parts are in the first."""
+    found = Sequences(batch.column("text"))
+    symbols, nats = found.spelled(model_table)
+
+    def own(x: np.ndarray) -> np.ndarray:
+        total = np.concatenate(([0], np.cumsum(x[found.which], dtype=np.int64)))
+        return np.diff(total[found.first]) + np.where(found.counts > 0, x[-1], 0)
+
+    base = own(nats) + np.where(found.counts > 0, found.counts + 1, 0) * fallback
+    at, row = found.pairs()
+    keys = np.concatenate((mix(found.hashes), pair_key(found.hashes[at - 1], found.hashes[at])))
+    rows = np.concatenate((found.rows, row))
+    order = np.argsort(keys, kind="stable")
+    keys, rows = keys[order], rows[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+    begin = np.flatnonzero(new)
+    times = np.diff(np.append(begin, len(keys))).astype(np.uint32)
+    keys, rows = keys[begin], rows[begin].astype(np.uint32)
+    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    ids = batch.column("row").to_numpy().tobytes()
+    own_parts = np.stack((base, own(symbols))).astype(np.int64).tobytes()
+    full = [i for i in range(shards) if not i or edges[i] < edges[i + 1]]
+    columns = [pa.array(full, pa.int64())]
+    columns += [pa.array([x[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()) for x in (keys, rows, times)]
+    columns += [pa.array([ids] * len(full), pa.binary()), pa.array([b"" if i else own_parts for i in full], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "rows", "times", "ids", "own"])
+
+
+def _added(left: pa.Table, right: pa.Table) -> pa.Table:
+    """row, micronats, n_symbols, times: what a shard adds to each row."""
+    key = right["key"].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    key, value = key[order], right["value"].to_numpy()[order]
+    out: list[list[np.ndarray]] = [[], [], [], []]
+    for at in range(left.num_rows):
+        part = [left[c][at].as_buffer() for c in ("keys", "rows", "times", "ids", "own")]
+        keys, rows, times, ids, own = (np.frombuffer(x, t) for x, t in zip(part, ("u8", "u4", "u4", "i8", "i8")))
+        sums, symbols = (own.reshape(2, -1) if len(own) else np.zeros((2, len(ids)), np.int64)).copy()
+        if len(key):
+            place = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+            hit = key[place] == keys
+            np.add.at(sums, rows[hit], value[place[hit]] * times[hit].astype(np.int64))
+        some = np.arange(len(ids)) if len(own) else np.flatnonzero(sums)
+        ones = np.full(len(some), int(len(own) > 0))
+        for column, x in zip(out, (ids[some], sums[some], symbols[some], ones)):
+            column.append(x)
+    names = ["row", "micronats", "n_symbols", "times"]
+    return pa.table({c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in zip(names, out)})
+
+
+def row_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """row (its key), n_symbols and micronats of every document."""
+    spark = docs.sparkSession
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent, fallback = spark.sparkContext.broadcast(model.spelling), model.fallback
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            yield from _packed(batch, sent.value, fallback, shards)
 
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alone = batch.column("w1").is_null().to_numpy(zero_copy_only=False)
+            first = batch.column("w1").fill_null(0).to_numpy().view(np.uint64)
+            second = batch.column("w2").to_numpy().view(np.uint64)
+            key = np.where(alone, mix(second), pair_key(first, second))
+            columns = [pa.array(shard_of(key, shards)), pa.array(key.view(np.int64)), batch.column("value")]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "key", "value"])
 
-def scores(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """doc_id, lang, n_symbols and micronats of every document."""
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    made = "shard long, keys binary, rows binary, times binary, ids binary, own binary"
+    left = docs.select("text", row_key().alias("row")).mapInArrow(pack, made)
+    right = model.values.mapInArrow(keyed, "shard long, key long, value long")
+    met = left.groupBy("shard").cogroup(right.groupBy("shard"))
+    added = met.applyInArrow(_added, "row long, micronats long, n_symbols long, times long")
+    sums = added.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("micronats", "n_symbols", "times")])
+    # Equal rows were added up; each has its share.
+    return sums.select("row", *[F.expr(f"{c} div times").alias(c) for c in ("n_symbols", "micronats")])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            n, nats = _scores(batch, sent.value)
-            columns = [batch.column("doc_id"), batch.column("lang"), pa.array(n), pa.array(nats)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "n_symbols", "micronats"])
 
-    kept = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text")
-    return kept.mapInArrow(score, "doc_id long, lang string, n_symbols long, micronats long")
+def scores(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang, n_symbols and micronats of every document, and row, its key."""
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), row_key().alias("row"))
+    return kept.join(row_scores(docs, model).hint("merge"), "row")
 
 
 def _lowered(micronats: str = "micronats", n: str = "n_symbols"):
@@ -197,6 +419,10 @@ def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold (both as perplexities at the document's length) and kept."""
+    return _judged(docs, labels, quantile).drop("row")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, quantile: float) -> DataFrame:
     scored = cut(scores(docs, train(docs, labels)))
     limits = cut(thresholds(scored, labels, quantile))
     own = limits.where("lang_known").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own"))
@@ -206,6 +432,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
     allowed = F.col("limit") + F.lit(SLACK * 1e6) / F.sqrt(F.col("n_symbols"))
     mean = F.when(F.col("n_symbols") > 0, F.col("micronats") / F.col("n_symbols"))
     return joined.select(
+        "row",
         "doc_id",
         "lang",
         "n_symbols",
@@ -216,18 +443,8 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
 
 
 def keep(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """The documents that the model doesn't reject, with all their columns; texts are read again and not shuffled."""
-    table = train(docs, labels)
-    found = thresholds(scores(docs, table), labels, quantile).collect()  # one row per language, and one for all
-    limits = {r.lang: r.limit for r in found if r.lang_known}
-    other = next((r.limit for r in found if not r.lang_known), None)
-    sent = docs.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            n, nats = _scores(batch, sent.value)
-            limit = np.array([np.inf if (v := limits.get(x, other)) is None else v for x in batch.column("lang").to_pylist()])
-            mean = nats / np.maximum(n, 1) - SLACK * 1e6 / np.sqrt(np.maximum(n, 1))
-            yield batch.filter(pa.array((n == 0) | (mean <= limit)))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The documents that the model doesn't reject, with all their columns."""
+    # A row's language decides its limit, so equal texts under one doc_id may fare differently.
+    gone = _judged(docs, labels, quantile).where("NOT kept").select(F.col("row").alias("_gone"), F.col("lang").alias("_of")).distinct()
+    same = (row_key() == F.col("_gone")) & F.col("lang").cast("string").eqNullSafe(F.col("_of"))
+    return docs.join(gone.hint("merge"), same, "left_anti")
