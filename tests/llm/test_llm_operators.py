@@ -293,6 +293,22 @@ def test_long_and_repeated_pages(spark):
     assert sorted(r.text.count("\n") for r in got) == [0, 19_999, 19_999]
 
 
+def test_ratios_choose_the_lines():
+    long = ["The first long paragraph, which says a lot about its subject and a little of others.",
+            "The second long paragraph, which goes on with it and comes to no end for a while.",
+            "The third long paragraph, which ends it, as everything has been said by now."]
+    paragraphs = "".join(f"<p>{x}</p>" for x in long)
+    card = "<article><h3><a href=1>Another page</a></h3><p>Short words on it.</p></article>"
+    # The main text lies beside an article element that is only a card.
+    assert extract.main_text(f"<body><div>{paragraphs}</div>{card}</body>") == "\n".join(long)
+    # Rows of links inside the article are none of its text; a short paragraph is.
+    links = "".join(f"<li><a href={i}>Page {i}</a></li>" for i in range(6))
+    assert extract.main_text(f"<article>{paragraphs}<p>So.</p><p>Yes.</p><ul>{links}</ul></article>") == "\n".join([*long, "So.", "Yes."])
+    # Elements of the same kind of content come together.
+    two = f"<article>{paragraphs}</article>" * 2
+    assert extract.main_text(f"<body>{two}</body>") == "\n".join(long * 2)
+
+
 # ---- 6 toxicity ----------------------------------------------------------------------------------------------------
 def toxic_corpus(n=600):
     rng = random.Random(3)

@@ -4,9 +4,12 @@ The standard library's parser streams a page's events; no tree is built. Every b
 has its text, its number of tags and the text inside links. What lies in menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, hidden elements and reader comments (by element, role, or class and id names) is no line.
 A line's ratio is its text outside links by its tags; the ratios are smoothed with a Gaussian and those above ``SPREAD``
-standard deviations of the page's ratios are content. The content's lines choose the region: the article or main element
-with most content text if there is one, with all its lines; else the lines from the first content line to the last, with a
-heading right before them, without lines that are mostly links.
+standard deviations of the page's ratios are content. The text is that of the part of the page with most content: an article or
+main element, or what lies in none. That an element says so is a prior: its content counts ``PRIOR`` times against what lies in
+none. Other parts with at least ``SIBLING`` of the chosen one's content join. Of an element, content lines are taken, and
+others with a sign or more for each tag that aren't mostly links, so short paragraphs stay and rows of links and buttons go.
+Outside of elements it is the lines from the first content line to the last, with a heading right before them, without lines that
+are mostly links.
 
 Character references are decoded, white space in a line becomes one space, lines are joined by a line feed; a line break
 element is white space. A null, empty or broken page gives what can be read, at worst an empty text. Rows that share a
@@ -29,6 +32,9 @@ from tidemark.llm.text import pieces
 RADIUS = 1
 SPREAD = 0.5
 MOST_LINKS = 0.5
+PRIOR = 2
+SIBLING = 0.25
+LEAST_RATIO = 1.0
 
 # HTML elements by their meaning.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -259,16 +265,23 @@ def main_text(html: str | None) -> str:
     weights: dict[int, int] = {}
     for x, t, is_content in zip(lines, texts, content):
         weights[x.region] = weights.get(x.region, 0) + (len(t) - x.linked if is_content else 0)
-    inside = {k: v for k, v in weights.items() if k}
-    if inside:
-        best = max(inside, key=lambda k: (inside[k], -k))
-        return "\n".join(t for x, t in zip(lines, texts) if x.region == best)
-    at = np.flatnonzero(content)
-    first, last = int(at[0]), int(at[-1])
-    while first and lines[first - 1].heading:
+    best = max(weights, key=lambda k: (weights[k] * (PRIOR if k else 1), k != 0, -k))
+    joined = {k for k, v in weights.items() if k == best or v and v >= SIBLING * weights[best]}
+    plain = [x.region == 0 for x in lines]
+    at = np.flatnonzero(content & np.array(plain))
+    first, last = (int(at[0]), int(at[-1])) if len(at) else (0, -1)
+    while first and lines[first - 1].heading and plain[first - 1]:
         first -= 1
-    chosen = zip(lines[first : last + 1], texts[first : last + 1])
-    return "\n".join(t for x, t in chosen if x.heading or x.linked <= MOST_LINKS * len(t))
+    out = []
+    for i, (x, t) in enumerate(zip(lines, texts)):
+        written = x.linked <= MOST_LINKS * len(t)
+        if x.region == 0:
+            taken = first <= i <= last and (x.heading or written)
+        else:
+            taken = content[i] or x.heading or written and ratios[i] >= LEAST_RATIO
+        if taken and x.region in joined:
+            out.append(t)
+    return "\n".join(out)
 
 
 def extract(pages: DataFrame) -> DataFrame:
