@@ -211,6 +211,16 @@ def test_simhash_of_odd_tables(docs, odd, clashing):
     assert kept.columns == clashing(odd).columns and kept.where("doc_id IN (2, 3)").count() == 0 and kept.where("doc_id IS NULL").count() == 2
 
 
+def test_one_row_of_each_group_stays(docs):
+    rng = random.Random(6)
+    one, two, three, four = (prose(rng, 80) for _ in range(4))
+    kept = simhash.keep_one(docs((1, one), (1, one), (2, one + " end"), (3, two), (3, three), (4, two), (None, four), (None, four), (None, one)))
+    # A row that shares its id with another's copy stays, if its own text is unlike any other.
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, four), (1, one), (3, two), (3, three)])
+    kept = simhash.keep_one(docs((1, one), (2, one), (2, two)))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, one), (2, two)])
+
+
 # ---- 4 fingerprints ------------------------------------------------------------------------------------------------
 def shingles(text):
     words = text.encode().split()

@@ -62,17 +62,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> bytes:
     return np.packbits(2 * total > count).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (long, the 64 bits)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``carried``, and fp (long, the 64 bits)."""
+    names = ["doc_id", *carried]
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             bits = b"".join(fingerprint(t.as_py(), shingle) for t in batch.column("text"))
             fps = pa.array(np.frombuffer(bits, dtype=">i8").astype(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), fps], names=[*names, "fp"])
         release()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, fp long")
+    kept = docs.select(F.col("doc_id").cast("long"), *carried, "text")
+    shape = ", ".join(f"{c} {kind}" for c, kind in kept.drop("text").dtypes)
+    return kept.mapInArrow(batches, f"{shape}, fp long")
 
 
 def masks(radius: int = RADIUS, seed: int = 7) -> list[int]:
@@ -171,8 +174,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     )
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The documents whose doc_id is the smallest of their component; rows without a doc_id stay."""
-    marked = near_duplicates(docs, shingle, radius)
-    gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """One row of each component, whatever ids the rows have: the smallest doc_id, null last, then by a hash of the row.
+
+    A component is one of texts here, so rows that share a doc_id part if their texts do. Rows with neither a doc_id nor a
+    word stay.
+    """
+    id_ = F.col("doc_id").cast("long")
+    # Rows with the same id and hash are equal in all columns.
+    hashed, bare = F.xxhash64(*docs.columns), id_.isNull() & ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    keyed = docs.where(~bare).select(F.coalesce(id_, F.lit(0)).alias("doc_id"), id_.isNull().alias("none"), hashed.alias("hash"), "text")
+    marked = cut(fingerprints(keyed, shingle, ("none", "hash")))
+    classes = marked.groupBy("fp").agg(F.min(F.struct("none", "doc_id", "hash")).alias("least")).withColumn("rep", F.col("fp"))
+    label = components(links(classes.select("rep", "fp"), radius, bucket))
+    named = classes.join(label, classes.rep == label.node, "left").withColumn("group", F.coalesce("component", "rep"))
+    first = named.groupBy("group").agg(F.min("least").alias("least"))
+    stays = first.select(F.col("least.doc_id").alias("_kept_id"), F.col("least.hash").alias("_kept_hash"))
+    same = docs.where(~bare).withColumns({"_kept_id": F.coalesce(id_, F.lit(0)), "_kept_hash": hashed})
+    # Dealt by the join's keys already, so texts are shuffled once.
+    one = same.join(stays.hint("merge"), ["_kept_id", "_kept_hash"], "left_semi").dropDuplicates(["_kept_id", "_kept_hash"])
+    return one.select(*docs.columns).unionByName(docs.where(bare))
