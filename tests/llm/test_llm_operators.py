@@ -83,6 +83,24 @@ def test_mix_of_odd_tables(docs, odd, clashing):
     assert mixing.resample(clashing(odd)).columns == clashing(odd).columns and mixing.resample(docs()).count() == 0
 
 
+def test_resampled_words_are_those_of_the_mix(docs):
+    rng = random.Random(9)
+    long = " ".join(f"w{i}" for i in range(4000))
+    rows = [(0, long, "en", "a")] + [(i, prose(rng, 30), "en", "b" if i % 2 else "c") for i in range(1, 300)]
+    df = docs(*rows)
+    words, texts = Counter(), {r[0]: r[1] for r in rows}
+    for r in mixing.resample(df).collect():
+        words[r.source] += len(r.text.split())
+        assert r.text in texts[r.doc_id] and r.n_chars == len(r.text)
+    goal = {r.source: r.target for r in mixing.taken(df).collect()}
+    want = Counter()
+    for r in mixing.taken(df).collect():
+        want[r.source] += r.taken
+    assert words == want
+    for source, target in goal.items():
+        assert abs(words[source] - target) <= 0.05 * target
+
+
 # ---- 2 rules -------------------------------------------------------------------------------------------------------
 def brute_rules(text):
     words = (text or "").encode().split()

@@ -182,12 +182,46 @@ def mixed(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = S
 
 
 def resample(docs: DataFrame, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED) -> DataFrame:
-    """The documents, each as often as the mix takes its words: taken / size times, the fraction rounded up with that
-    probability by a hash of doc_id. A document of which the mix takes nothing, or that has no words, goes."""
+    """As many words of each document as the mix takes: whole copies, and a run of its words for what is left.
+
+    The run begins at a place hashed from doc_id. So a source has the mix's words exactly, up to one word for each row of a
+    doc_id that several rows share. A document of which the mix takes nothing, or that has no words, goes. ``n_chars`` of a run
+    is its own.
+    """
     shares = taken(docs, block, slots, seed).where("taken > 0").groupBy(F.col("doc_id").alias("_id"))
-    shares = shares.agg((F.sum("taken") / F.sum("size")).alias("_share"))
-    packed = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.struct(*docs.columns).alias("_row"))
-    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("_doc")), F.lit(1_000_000)) / 1_000_000
-    met = packed.join(shares.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
-    copies = F.array_repeat(F.col("_row"), F.floor(F.col("_share") + chance).cast("int"))
-    return met.select(F.explode(copies).alias("_row")).select("_row.*")
+    shares = shares.agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    names, schema = docs.columns, docs.schema
+    text = names.index("text")
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")), F.lit(1_000_000)).alias("_chance")
+    packed = docs.select(F.col("doc_id").cast("long").alias("_doc"), chance, F.struct(*names).alias("_row"))
+    met = packed.join(shares.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id"))).select("_row", "_taken", "_size", "_chance")
+
+    def copies(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        words = words_of(batch.column(text))
+        size = np.diff(words.first)
+        share, whole, chance = (batch.column(len(names) + k).to_numpy() for k in range(3))
+        # In floating point a long source's product would lose words; in 64 bits it would pass their end.
+        goal = np.array([n * t // w for n, t, w in zip(size.tolist(), share.tolist(), whole.tolist())], dtype=np.int64)
+        times, rest = goal // np.maximum(size, 1), goal % np.maximum(size, 1)
+        columns = [batch.column(k) for k in range(len(names))]
+        at = pa.array(np.repeat(np.arange(batch.num_rows), times))
+        yield pa.RecordBatch.from_arrays([c.take(at) for c in columns], names=names)
+        some = np.flatnonzero(rest)
+        begin = words.first[some] + (size[some] - rest[some] + 1) * chance[some] // 1_000_000
+        ends = words.ends[begin + rest[some] - 1] if len(some) else begin
+        starts = words.starts[begin] if len(some) else begin
+        runs = [words.raw[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist())]
+        parts = [c.take(pa.array(some)) for c in columns]
+        parts[text] = pa.array(runs, pa.string()).cast(columns[text].type)
+        if "n_chars" in names and pa.types.is_integer(columns[names.index("n_chars")].type):
+            parts[names.index("n_chars")] = pa.array([len(x) for x in runs], columns[names.index("n_chars")].type)
+        yield pa.RecordBatch.from_arrays(parts, names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [*batch.column(0).flatten(), *(batch.column(k) for k in (1, 2, 3))]
+            flat = pa.RecordBatch.from_arrays(columns, names=[str(k) for k in range(len(columns))])
+            for piece in pieces(iter([flat]), str(text)):
+                yield from copies(piece)
+
+    return met.mapInArrow(run, schema)
