@@ -1,9 +1,11 @@
 """Every registered query against its SQL, on the smallest data set."""
 
 import os
+import shutil
 
 import pytest
 from oracle_check import compare, duck
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 
@@ -28,3 +30,13 @@ def test_query_equals_sql(spark, db, name):
 
 def test_entry(spark):
     assert registry.entry(spark).count() > 0
+
+
+def test_cycles_read_their_tables_on_each_call(spark, tmp_path):
+    folder, events = f"{tmp_path}/tables", spark.read.parquet(f"{SF_DIR}/events.parquet")
+    shutil.copytree(SF_DIR, folder, ignore=shutil.ignore_patterns("events.parquet"))
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    events.write.parquet(f"{folder}/events.parquet")
+    before = registry.queries()["cycle_dates"](spark, folder).count()
+    events.where(F.to_date("ts") < F.lit(last)).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    assert registry.queries()["cycle_dates"](spark, folder).count() == before - 1
