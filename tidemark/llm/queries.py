@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, substrings, tokenfile, toxicity
+from tidemark.llm import (
+    centroids,
+    extract,
+    kneser,
+    mixing,
+    neighbours,
+    oph,
+    packing,
+    resampling,
+    rules,
+    simhash,
+    substrings,
+    tokenfile,
+    toxicity,
+)
 from tidemark.llm.frames import documents
 from tidemark.llm.tokens import Vocabulary
 from tidemark.session import fresh_dir
@@ -61,6 +75,18 @@ def op10_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_rules": op2_rules,
@@ -72,4 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_tokenfile": op8_tokenfile,
     "op9_packing": op9_packing,
     "op10_kneser": op10_kneser,
+    "op11_centroids": op11_centroids,
+    "op12_resampling": op12_resampling,
+    "op13_neighbours": op13_neighbours,
 }
