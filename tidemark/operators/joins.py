@@ -29,7 +29,7 @@ def join_current(fact: DataFrame, history: DataFrame, k: str) -> DataFrame:
     return fact.join(open_rows.drop(*taken), k, "inner")
 
 
-def count_per_key(fact: DataFrame, k: str, counted: str, total: str | None = None) -> DataFrame:
+def count_per_key(fact: DataFrame, k: str | list[str], counted: str, total: str | None = None) -> DataFrame:
     """Facts reduced to one row per foreign key, to be joined in place of the facts.
 
     A join on a unique key followed by sums over any grouping of the dimension gives the same result on these partial
@@ -38,4 +38,4 @@ def count_per_key(fact: DataFrame, k: str, counted: str, total: str | None = Non
     aggs = [F.count(counted).alias("__rows")]
     if total is not None:
         aggs.append(F.sum(total).alias("__total"))
-    return fact.groupBy(k).agg(*aggs)
+    return fact.groupBy(*([k] if isinstance(k, str) else k)).agg(*aggs)

@@ -69,9 +69,9 @@ def apply_rules(
     return keep_valid(df.observe(observation, *metrics), rules), observation
 
 
-def quality_report(df: DataFrame, rules: Sequence[Rule], table: str = "") -> DataFrame:
-    """One row per rule with its passed and failed row counts, from a single pass over the data."""
-    counts = df.agg(*rule_metrics(rules))
+def quality_report(df: DataFrame, rules: Sequence[Rule], table: str = "", by: Sequence[str] = ()) -> DataFrame:
+    """One row per rule with its passed and failed row counts, from a single pass over the data; with ``by``, for each group."""
+    counts = df.groupBy(*by).agg(*rule_metrics(rules))
     entries = [
         F.struct(
             F.lit(table).alias("table_name"),
@@ -82,4 +82,4 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], table: str = "") -> Dat
         )
         for r in rules
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    return counts.select(*by, F.inline(F.array(*entries)))

@@ -1,13 +1,13 @@
 """The full cycle: sources to bronze, bronze to silver, silver to gold. Every step can be repeated.
 
 Each step reads what is new since the last cycle: streams read new files only, dimensions refresh the keys of a batch, the
-daily mart the days of a batch, and the ranking adds a batch's sums to those of the tracks in it.
+daily mart and the sums of the ranking the days of a batch. All of it depends on the rows, not on how they came, so a stream
+that starts anew under another checkpoint changes nothing.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -32,7 +32,16 @@ from tidemark.sources.tables import (
     write_table,
 )
 from tidemark.streaming.dimensions import DimensionStore
-from tidemark.streaming.files import append_stream, available_now, await_all, batch_name, counted_sink, rule_totals, stream_files
+from tidemark.streaming.files import (
+    append_stream,
+    available_now,
+    await_all,
+    counted_sink,
+    rule_totals,
+    stream_files,
+    with_source_file,
+)
+from tidemark.streaming.partials import PartialStore
 from tidemark.streaming.silver import run_silver, silver_schema
 
 FACT = "FactStream"
@@ -121,6 +130,7 @@ def publish_dimensions(
             arriving, checkpoint = stream_files(spark, f"{paths.silver}/{table}/data", schemas[table]), f"{base}/checkpoint"
             land = stores[name].sink(checkpoint)
             if spec.rules:
+                arriving = with_source_file(arriving)
                 land = counted_sink(spec.rules, table, _counts(paths, table), checkpoint, land)
             queries.append(available_now(arriving, checkpoint, name).foreachBatch(land).start())
     await_all(queries)
@@ -139,7 +149,7 @@ def count_others(
     for table in sorted(set(landed) - set(DIMENSIONS.values())):
         if specs[table].rules:
             base = _counts(paths, table)
-            arriving = stream_files(spark, f"{paths.silver}/{table}/data", schemas[table])
+            arriving = with_source_file(stream_files(spark, f"{paths.silver}/{table}/data", schemas[table]))
             land = counted_sink(specs[table].rules, table, base, f"{base}-checkpoint", lambda batch, number: None)
             queries.append(available_now(arriving, f"{base}-checkpoint", f"rules-{table}").foreachBatch(land).start())
     await_all(queries)
@@ -163,57 +173,39 @@ def publish_fact(
     return read_or_empty(spark, f"{base}/data", shape)
 
 
-def publish_daily(spark: SparkSession, fact: DataFrame, paths: LakePaths) -> DataFrame:
-    """Bring the daily mart up to date for the days that new facts fall on; other days are not read again."""
-    base = f"{paths.gold}/{DAILY_TABLE}"
-    store = DimensionStore(f"{base}/data", ("stream_date",), ("refresh",), buckets=1)
-
-    def refreshed(days: DataFrame) -> DataFrame:
-        metrics = daily_metrics(fact.join(days, "stream_date", "left_semi"), extended=True, ordered=False)
-        return metrics.withColumn("refresh", F.lit(time.time_ns()))
+def _by_day(
+    spark: SparkSession, name: str, fact: DataFrame, paths: LakePaths, summed: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Sums of the facts of each day, brought up to date for the days that new facts fall on; other days are not read again."""
+    base, data = f"{paths.gold}/{name}", f"{paths.gold}/{FACT_TABLE}/data"
+    store = PartialStore(f"{base}/days", "stream_date")
 
-    def refresh(batch: DataFrame, number: int) -> None:
-        days = event_date(batch).select("stream_date").distinct()
-        store.apply(refreshed(days), batch_name(spark, f"{base}/checkpoint", number))
+    def refresh(batch: DataFrame, _: int) -> None:
+        days = store.touched(event_date(batch))
+        store.replace(spark, days, summed(store.only(fact, days)))
 
-    data = f"{paths.gold}/{FACT_TABLE}/data"
     if path_exists(spark, data):
         arriving = stream_files(spark, data, StructType([fact.schema["stream_timestamp"]]))
-        await_all([available_now(arriving, f"{base}/checkpoint", DAILY_TABLE).foreachBatch(refresh).start()])
-    return store.read(spark, refreshed(fact.select("stream_date")).schema).drop("refresh")
+        await_all([available_now(arriving, f"{base}/checkpoint", name).foreachBatch(refresh).start()])
+    return store.read(spark, summed(fact).schema)
+
+
+def publish_daily(spark: SparkSession, fact: DataFrame, paths: LakePaths) -> DataFrame:
+    """Bring the daily mart up to date."""
+    return _by_day(spark, DAILY_TABLE, fact, paths, lambda facts: daily_metrics(facts, extended=True, ordered=False))
 
 
 def publish_top(spark: SparkSession, gold: Mapping[str, DataFrame], paths: LakePaths) -> DataFrame:
-    """Add the sums of new facts to those of their tracks, and rank the artists by the sums of their tracks.
+    """Bring the sums of each day and track up to date, and rank the artists by the sums of their tracks.
 
     A reader of the mart sees the last ranking that was written whole.
     """
-    base, fact = f"{paths.gold}/{TOP_TABLE}", gold[FACT_TABLE]
-    store = DimensionStore(f"{base}/sums", ("track_id",), ("refresh",), buckets=1)
-    shape = count_per_key(fact, "track_id", "stream_id", "listen_duration").withColumn("refresh", F.lit(0).cast("bigint")).schema
-
-    def add(batch: DataFrame, number: int) -> None:
-        new = count_per_key(batch, "track_id", "stream_id", "listen_duration")
-        old = store.read(spark, shape).select(F.col("track_id").alias("_id"), F.col("__rows").alias("_rows"), F.col("__total").alias("_total"))
-        total = F.when(F.col("__total").isNull() & F.col("_total").isNull(), None).otherwise(
-            F.coalesce("__total", F.lit(0)) + F.coalesce("_total", F.lit(0))
-        )
-        sums = new.join(old, F.col("track_id").eqNullSafe(F.col("_id")), "left").select(
-            "track_id",
-            (F.col("__rows") + F.coalesce("_rows", F.lit(0))).alias("__rows"),
-            total.alias("__total"),
-            F.lit(time.time_ns()).alias("refresh"),
-        )
-        store.apply(sums, batch_name(spark, f"{base}/checkpoint", number))
-
-    data = f"{paths.gold}/{FACT_TABLE}/data"
-    if path_exists(spark, data):
-        columns = StructType([fact.schema[c] for c in ("stream_id", "track_id", "listen_duration")])
-        await_all([available_now(stream_files(spark, data, columns), f"{base}/checkpoint", TOP_TABLE).foreachBatch(add).start()])
-    sums = store.read(spark, shape).drop("refresh")
+    track = lambda facts: count_per_key(facts, ["stream_date", "track_id"], "stream_id", "listen_duration")
+    by_day = _by_day(spark, TOP_TABLE, gold[FACT_TABLE], paths, track)
+    sums = by_day.groupBy("track_id").agg(F.sum("__rows").alias("__rows"), F.sum("__total").alias("__total"))
     top = creators_by_totals(sums, gold["gold_dim_track_scd1"], gold["gold_dim_artist_scd1"])
-    publish_run(top, f"{base}/data")
-    return read_run(spark, f"{base}/data", top.schema)
+    publish_run(top, f"{paths.gold}/{TOP_TABLE}/data")
+    return read_run(spark, f"{paths.gold}/{TOP_TABLE}/data", top.schema)
 
 
 def publish_catalog(spark: SparkSession, gold: Mapping[str, DataFrame], database: str) -> None:

@@ -88,13 +88,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     return files.exists(target)
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
     """The names of what lies directly in a folder, hidden names aside; none if it does not exist."""
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     if not files.exists(target):
         return []
     return sorted(n for n in (f.getPath().getName() for f in files.listStatus(target)) if n[0] not in "._")
@@ -102,11 +102,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate files, if it is there."""
-    files, target = _file_system(spark, path)
+    files, target = file_system(spark, path)
     files.delete(target, True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 

@@ -5,17 +5,23 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.quality import Rule, keep_valid, quality_report
-from tidemark.sources.tables import path_exists, read_or_empty
+from tidemark.sources.commits import CommitLog, drop_unnamed, knows, merged, to_merge, with_batch
+from tidemark.sources.tables import path_exists
 
 # One micro-batch takes at most so many files, so a first run over a large lake is not one single batch.
 MAX_FILES = 1000
 
+SOURCE_FILE = "__source_file"
+# So many runs of rule counts are rewritten as one.
+COUNT_RUNS = 16
+
 
 def stream_files(spark: SparkSession, path: str, schema: StructType, max_files: int = MAX_FILES) -> DataFrame:
     """Parquet files as they arrive anywhere below ``path``.
@@ -80,27 +86,62 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
         raise failure
 
 
+def with_source_file(df: DataFrame) -> DataFrame:
+    """A file stream with the file of each row, by which :func:`counted_sink` knows what it has counted."""
+    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+
 def counted_sink(
     rules: Sequence[Rule], name: str, counts: str, checkpoint: str, land: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
     """What a stream does with each batch: count the rules over all of it, then land the rows that pass.
 
-    The counts of a batch are a folder of their own below ``counts``, so a batch that is repeated counts once.
+    Counts are kept by source file, so whatever comes again, a batch after a crash or all files under a new checkpoint,
+    counts once. The batch is read once: it is kept until it is landed and counted. Counting is a grouped aggregate, not an
+    observation, because a task that is run again after a lost executor is observed twice. A stream without
+    :func:`with_source_file` is counted by batch, so under a new checkpoint it counts again.
+
+    Layout below ``counts``: ``rows/run=<n>/``, one row for each file and rule, and ``commits/<n>.json``, the runs that count.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        folder = batch_name(batch.sparkSession, checkpoint, number).replace("/", "-").replace(":", "-")
-        report = quality_report(batch, rules, name)
-        report.coalesce(1).write.mode("overwrite").parquet(f"{counts}/batch={folder}")
-        land(keep_valid(batch, rules), number)
+        spark, log = batch.sparkSession, CommitLog(f"{counts}/commits")
+        label = batch_name(spark, checkpoint, number)
+        named = SOURCE_FILE in batch.columns
+        last, state = log.latest(spark)
+        if knows(state.get("streams", {}), label):
+            land(keep_valid(batch, rules).drop(SOURCE_FILE), number)
+            return
+        kept = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            whole = kept if named else kept.withColumn(SOURCE_FILE, F.lit(label))
+            report = quality_report(whole, rules, name, [SOURCE_FILE])
+            known = _counted(spark, counts, state.get("runs", [])).select(SOURCE_FILE).distinct()
+            fresh = report.join(known, SOURCE_FILE, "left_anti")
+            runs = [*state.get("runs", []), {"folder": f"run={last + 1}", "level": 0}]
+            fresh.coalesce(1).write.mode("overwrite").parquet(f"{counts}/rows/run={last + 1}")
+            land(keep_valid(kept, rules).drop(SOURCE_FILE), number)
+        finally:
+            kept.unpersist()
+        count = to_merge(runs, COUNT_RUNS)
+        if count > 1:
+            _counted(spark, counts, runs[-count:]).coalesce(1).write.mode("overwrite").parquet(f"{counts}/rows/run={last + 1}-{count}")
+            runs = merged(runs, count, f"run={last + 1}-{count}")
+        log.commit(spark, last + 1, {"runs": runs, "streams": with_batch(state.get("streams", {}), label)})
+        drop_unnamed(spark, f"{counts}/rows", [r["folder"] for r in (*runs, *state.get("runs", []), {"folder": f"run={last + 1}"})])
 
     return run
 
 
+def _counted(spark: SparkSession, counts: str, runs: list[dict]) -> DataFrame:
+    shape = f"{SOURCE_FILE} string, table_name string, rule string, action string, passed bigint, failed bigint"
+    folders = [f"{counts}/rows/{r['folder']}" for r in runs]
+    return spark.read.schema(shape).parquet(*folders) if folders else spark.createDataFrame([], shape)
+
+
 def rule_totals(spark: SparkSession, counts: str) -> DataFrame:
-    """One row per rule with its counts over all batches that a stream has ever landed."""
-    shape = "table_name string, rule string, action string, passed bigint, failed bigint"
-    found = read_or_empty(spark, counts, shape)
+    """One row per rule with its counts over all files that a stream has ever landed."""
+    found = _counted(spark, counts, CommitLog(f"{counts}/commits").latest(spark)[1].get("runs", []))
     return found.groupBy("table_name", "rule", "action").agg(
         F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
     )

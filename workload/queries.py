@@ -38,7 +38,7 @@ from tidemark.operators.rows import (
 )
 from tidemark.operators.scd import closed_intervals, current, scd1, scd2, with_current_flag
 from tidemark.operators.star import StarEntry, star_join
-from tidemark.plans.cycle import run_cycle
+from tidemark.plans.cycle import DAILY_TABLE, TOP_TABLE, run_cycle
 from tidemark.plans.ingest import LakePaths, ingest_all
 from tidemark.plans.marts import (
     daily_kpis,
@@ -53,7 +53,7 @@ from tidemark.sources.bronze import bronze_folder, land_bronze, read_bronze
 from tidemark.sources.control import TableSpec, load_specs
 from tidemark.sources.extract import extract_from, extract_since, extract_window
 from tidemark.sources.schemas import conform, evolve
-from tidemark.sources.tables import create_target, read_table, write_table
+from tidemark.sources.tables import create_target, delete_path, read_table, write_table
 from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import (
     append_stream,
@@ -63,6 +63,7 @@ from tidemark.streaming.files import (
     rule_totals,
     stream_files,
     stream_table,
+    with_source_file,
 )
 from tidemark.streaming.silver import append_unseen, read_silver, run_silver
 
@@ -495,12 +496,13 @@ def store_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules counted batch by batch, over many batches."""
+    """Rules counted batch by batch, over many batches; then the stream starts anew, in larger batches."""
     base, events = fresh_dir(spark, "stream-rules"), _events(spark, sf_dir)
     events.repartition(12).write.parquet(f"{base}/events")
-    arriving = stream_files(spark, f"{base}/events", events.schema, max_files=1)
-    sink = counted_sink(_RULES, "events", f"{base}/counts", f"{base}/checkpoint", lambda batch, number: None)
-    await_all([available_now(arriving, f"{base}/checkpoint").foreachBatch(sink).start()])
+    for checkpoint, most in ((f"{base}/first", 1), (f"{base}/second", 5)):
+        arriving = with_source_file(stream_files(spark, f"{base}/events", events.schema, max_files=most))
+        sink = counted_sink(_RULES, "events", f"{base}/counts", checkpoint, lambda batch, number: None)
+        await_all([available_now(arriving, checkpoint).foreachBatch(sink).start()])
     return rule_totals(spark, f"{base}/counts")
 
 
@@ -675,8 +677,8 @@ def full_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_cycles(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
-    """The gold tables of these source tables after two cycles: the clicks come late, and the second cycle delivers all rows
-    again."""
+    """The gold tables of these source tables after two cycles: the clicks come late, the second cycle delivers all rows
+    again, and the streams of the marts start anew."""
     paths, sources = LakePaths(fresh_dir(spark, "two-cycles")), _model_sources(spark, sf_dir)
     early = {
         **sources,
@@ -685,6 +687,8 @@ def _two_cycles(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, Dat
     }
     specs = [spec for spec in MODEL.values() if spec.table in tables]
     run_cycle(spark, specs, early, paths, buckets=4)
+    for mart in (DAILY_TABLE, TOP_TABLE):
+        delete_path(spark, f"{paths.gold}/{mart}/checkpoint")
     return run_cycle(spark, specs, sources, paths, backfill=True, buckets=4).gold
 
 
