@@ -1,0 +1,312 @@
+"""Clustering, resampling and neighbours against brute force on small fixtures, and on odd tables."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_fixtures import clashing, docs, odd  # noqa: F401
+from pyspark.sql import functions as F
+
+from tidemark.llm import centroids, neighbours, resampling
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def table(spark, *rows, schema=VECTORS):
+    return spark.createDataFrame([(i, v, 0) for i, v in rows], schema).repartition(3)
+
+
+def clouds(n, width=64, seed=3, centres=6, spread=0.4):
+    """Vectors around a few centres, as Python lists of single-precision numbers."""
+    rng = np.random.default_rng(seed)
+    middle = rng.standard_normal((centres, width))
+    points = middle[rng.integers(0, centres, n)] + spread * rng.standard_normal((n, width))
+    return [(i, [float(np.float32(x)) for x in p]) for i, p in enumerate(points)]
+
+
+# ---- 11 centroid clustering ----------------------------------------------------------------------------------------
+def plain_clusters(rows, k=8, rounds=10):
+    """The contract, step by step, in whole numbers."""
+    kept = [(i, v) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    points = [[math.floor(1024 * x) for x in v] for _, v in kept]
+    names = [hashlib.sha256(f"3:{'' if i is None else i}".encode()).hexdigest() for i, _ in kept]
+    centres = [points[j] for _, _, j in sorted((h, kept[j][1], j) for j, h in enumerate(names))[:k]]
+
+    def place():
+        every = [[sum((a - b) ** 2 for a, b in zip(p, c)) for c in centres] for p in points]
+        return [(d.index(min(d)), min(d)) for d in every]
+
+    for _ in range(rounds):
+        label = place()
+        for j in range(len(centres)):
+            mine = [p for p, (c, _) in zip(points, label) if c == j]
+            if mine:
+                centres[j] = [sum(x) // len(mine) for x in zip(*mine)]
+    label, inertia = place(), Counter()
+    for c, d in label:
+        inertia[c] += d
+    shown = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return Counter((i, c, d, inertia[c], sum(inertia.values()), shown[c]) for (i, _), (c, d) in zip(kept, label))
+
+
+def clustered(df):
+    return Counter(tuple(r) for r in centroids.cluster(df).collect())
+
+
+def test_clusters_equal_plain_ones(spark):
+    rows = clouds(300)
+    assert clustered(table(spark, *rows)) == plain_clusters(rows)
+
+
+def test_clusters_of_vectors_without_clusters(spark):
+    rows = clouds(200, centres=1, spread=1.0)
+    assert clustered(table(spark, *rows)) == plain_clusters(rows)
+
+
+def test_clusters_of_odd_tables(spark):
+    good = clouds(30)
+    zero, nan = [0.0] * 64, [0.5] * 63 + [float("nan")]
+    strange = [(100, None), (101, []), (102, [1.0] * 63), (103, [None] + [1.0] * 63), (104, nan), (105, [float("inf")] + [0.0] * 63)]
+    rows = [*good, *strange, (200, zero), (201, zero), (None, zero), (None, [1.0] * 64), *[(7, good[7][1])] * 40, (7, [-0.25] * 64)]
+    df = table(spark, *rows).withColumns({c: F.lit("x") for c in ("cluster", "point", "vector", "cached", "_hash")})
+    assert clustered(df) == plain_clusters(rows)
+    assert clustered(table(spark, (1, zero), (2, [1.0] * 64))) == plain_clusters([(1, zero), (2, [1.0] * 64)])
+    assert clustered(table(spark, *[(i, zero) for i in range(20)])) == plain_clusters([(i, zero) for i in range(20)])
+    assert centroids.cluster(table(spark, *strange)).count() == 0
+    assert centroids.cluster(spark.createDataFrame([], VECTORS)).columns == centroids._RESULT.replace(" string", "").replace(" long", "").replace(" int", "").split(", ")
+
+
+def test_clusters_of_doubles_beyond_the_range_are_an_error(spark):
+    with pytest.raises(Exception, match="beyond"):
+        centroids.cluster(table(spark, (1, [1e9] * 64), schema="vec_id long, embedding array<double>, label int")).collect()
+
+
+def test_bounds_never_pass_the_distance():
+    rng = np.random.default_rng(5)
+    for scale in (3, 1000, 1 << 26):
+        points, centres = rng.integers(-scale, scale, (400, 64)), rng.integers(-scale, scale, (9, 64))
+        centres[0] = points[0]
+        pivots = centroids.Pivots.of(np.concatenate((centres[:4] + rng.integers(-1, 2, (4, 64)), points[:4])))
+        cached, to_pivots = centroids.distances(points, pivots.points), centroids.distances(centres, pivots.points)
+        for j, c in enumerate(centres):
+            exact = [sum((int(a) - int(b)) ** 2 for a, b in zip(p, c)) for p in points]
+            bound = centroids.lower_bounds(cached, to_pivots[j], pivots.between)
+            assert all(b <= d for b, d in zip(bound.tolist(), exact))
+
+
+def test_pivots_leave_out_most_distances_of_clear_clusters():
+    points = np.floor(np.array([v for _, v in clouds(2000)]) * 1024).astype(np.int64)
+    centres = centroids.moved(points[:200], points[:6], 10)
+    pivots = centroids.Pivots.of(centres)
+    label, best, measured = centroids.nearest(points, centroids.distances(points, pivots.points), centres + 3, pivots)
+    every = np.stack([centroids.squared(points, c) for c in centres + 3], axis=1)
+    assert (label == every.argmin(axis=1)).all() and (best == every.min(axis=1)).all()
+    assert measured < 0.4 * every.size
+
+
+def test_ties_go_to_the_smaller_cluster():
+    centres = np.array([[2, 0], [0, 2], [2, 0], [-2, 0]])
+    points = np.array([[0, 0], [1, 1], [2, 0], [-1, -1]])
+    pivots = centroids.Pivots.of(np.array([[5, 5], [-7, 1], [0, 0]]))
+    assert centroids.nearest(points, centroids.distances(points, pivots.points), centres, pivots)[0].tolist() == [0, 0, 0, 3]
+
+
+# ---- 12 importance resampling --------------------------------------------------------------------------------------
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
+
+def plain_resample(rows, target, share=10, least=20, most=1, buckets=10_000):
+    """(doc_id, n_features, weight, score, rank) of each row (doc_id, text)."""
+
+    def found(text):
+        words = WORD.findall((text or "").encode().translate(FOLD))
+        runs = [b" ".join(words[i : i + n]) for n in range(1, most + 1) for i in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(r) % buckets for r in runs]
+
+    each, s, t = [found(text) for _, text in rows], Counter(), Counter()
+    for _, f in each:
+        s.update(f)
+    for text in target:
+        t.update(found(text)[1])
+    a, b = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[i] + 1) * (a + buckets) / ((s[i] + 1) * (b + buckets)))) for i in range(buckets)]
+    out = []
+    for (i, _), (n, f) in zip(rows, each):
+        h = int(hashlib.sha256(f"2024:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[x] for x in f)
+        out.append((i, n, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in out if r[1] >= least), key=lambda r: (-r[4], r[0] is None, r[0]))
+    won = able[: share * len(able) // 100]
+    places = Counter()
+    for place, r in enumerate(won, start=1):
+        places[(r[0], r[2], r[3], r[4], place)] += 1
+    for r in out:
+        places[(r[0], r[2], r[3], r[4], None)] += 1
+    for r in won:
+        places[(r[0], r[2], r[3], r[4], None)] -= 1
+    return +places
+
+
+def prose(rng, n):
+    words = "River stone light under CARRY morning quiet window garden letter über naïve 42 a1b2 日本語 x_y don't".split()
+    return " ".join(rng.choice(words) + rng.choice(["", "", ",", ".\n"]) for _ in range(n))
+
+
+def resampled(df, target, **more):
+    return Counter(tuple(r) for r in resampling.resample(df, target, **more).collect())
+
+
+@pytest.mark.parametrize("most", [1, 3])
+def test_resampling_equals_plain_one(spark, docs, most):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, rng.randrange(0, 90))) for i in range(400)]
+    target = [prose(rng, 30) + " letter letter letter", "morning " * 40, None, ""]
+    tests = spark.createDataFrame([(i, t) for i, t in enumerate(target)], "item_id long, text string")
+    got = resampled(docs(*rows).repartition(7), tests, most=most, share=37)
+    assert got == plain_resample(rows, target, most=most, share=37)
+
+
+def test_resampling_of_odd_tables(spark, odd, docs, clashing):
+    none = spark.createDataFrame([], "item_id long, text string")
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    for least, share in ((1, 100), (1, 50), (20, 100), (20, 0)):
+        got = resampled(clashing(odd), none, least=least, share=share)
+        assert got == plain_resample(rows, [], least=least, share=share)
+    assert resampling.resample(docs().limit(0), none).count() == 0
+
+
+def test_resampling_of_many_copies(spark, docs):
+    """A third of all rows are one row."""
+    rng = random.Random(2)
+    rows = [(5, "the same text again and again " * 5)] * 100 + [(i, prose(rng, 40)) for i in range(100, 300)]
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert resampled(docs(*rows), none, share=60) == plain_resample(rows, [], share=60)
+
+
+def test_checksums_of_words():
+    texts = ["", "a", "über " * 3 + "x" * 500, "日本語 " + "Z" * 48 + " " + "q" * 49]
+    words = resampling.words_of(pa.array(texts), resampling.SIGNS, fold=True)
+    shown = [words.raw[a:b].tobytes() for a, b in zip(words.starts, words.ends)]
+    assert (~resampling.word_crcs(words)).tolist() == [zlib.crc32(w) for w in shown]
+
+
+@pytest.mark.parametrize("wanted", [1, 2, 499, 500, 777, 1000])
+def test_cutoff_is_the_key_at_its_place(spark, wanted):
+    rng = random.Random(wanted)
+    rows = [(rng.randrange(-50, 50), rng.randrange(5), rng.randrange(3), i) for i in range(1000)]
+    keys = spark.createDataFrame(rows, "a long, b long, c long, d long").repartition(5)
+    assert resampling.cutoff(keys, wanted, few=1) == sorted(rows)[wanted - 1]
+
+
+def test_cutoff_of_nothing(spark):
+    keys = spark.createDataFrame([(1, 1, 1, 1)], "a long, b long, c long, d long")
+    assert resampling.cutoff(keys, 0) is None and resampling.cutoff(keys.limit(0), 1) is None
+
+
+def test_half_of_the_weight_lies_before_the_weighted_median():
+    rng = random.Random(4)
+    parts = [sorted(rng.randrange(1000) for _ in range(rng.randrange(1, 60))) for _ in range(40)]
+    every = sorted(x for p in parts for x in p)
+    (pivot,) = resampling.weighted_median([(len(p), (p[(len(p) - 1) // 2],)) for p in parts])
+    assert sum(x <= pivot for x in every) >= len(every) / 4 - 1 and sum(x >= pivot for x in every) >= len(every) / 4 - 1
+
+
+# ---- 13 nearest neighbours -----------------------------------------------------------------------------------------
+def plain_neighbours(rows, every=20, k=20):
+    able = [(i, v) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    width = max((len(v) for _, v in able), default=0)
+    ids, points = np.array([i for i, _ in able], np.int64), np.array([v + [0.0] * (width - len(v)) for _, v in able])
+    out = {}
+    for q in sorted({i for i in ids.tolist() if i % every == 0}):
+        own = min(v for i, v in able if i == q)
+        score = points @ np.array(own + [0.0] * (width - len(own)))
+        order = [j for j in np.lexsort((ids, -score)) if ids[j] != q][:k]
+        out[q] = [(int(ids[j]), float(score[j])) for j in order]
+    return out
+
+
+def found(df, **more):
+    rows = sorted(tuple(r) for r in neighbours.search(df, **more).collect())
+    out = {}
+    for q, rank, i, score in rows:
+        out.setdefault(q, []).append((i, score))
+        assert rank == len(out[q])
+    return out
+
+
+def recall(got, right):
+    assert got.keys() == right.keys() and all(len(got[q]) == len(right[q]) for q in right)
+    met = sum((Counter(i for i, _ in got[q]) & Counter(i for i, _ in right[q])).total() for q in right)
+    return met / max(1, sum(map(len, right.values())))
+
+
+@pytest.mark.parametrize("centres,spread", [(6, 0.4), (1, 1.0)])
+def test_neighbours_are_found(spark, centres, spread):
+    rows = clouds(3000, centres=centres, spread=spread)
+    got, right = found(table(spark, *rows), rows=64), plain_neighbours(rows)
+    assert recall(got, right) >= 0.9
+    scores = {q: dict(plain) for q, plain in plain_neighbours(rows, k=3000).items()}
+    assert all(s == pytest.approx(scores[q][i], abs=1e-9) for q, some in got.items() for i, s in some)
+    assert all(some == sorted(some, key=lambda x: (-x[1], x[0])) for some in got.values())
+
+
+def test_neighbours_of_vectors_of_all_lengths_of_norm(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(np.float32(x)) for x in 10 ** rng.uniform(-2, 2) * rng.standard_normal(16)]) for i in range(1500)]
+    assert recall(found(table(spark, *rows), rows=64), plain_neighbours(rows)) >= 0.9
+
+
+def test_neighbours_in_a_hot_list(spark):
+    """A third of all rows are one vector, and ties go to the smaller id."""
+    rows = clouds(1200)
+    rows = [(i, rows[0][1] if i % 3 == 0 else v) for i, v in rows]
+    got, right = found(table(spark, *rows), rows=64), plain_neighbours(rows)
+    assert recall(got, right) >= 0.9
+    copies = [(i, score) for i, score in got[0] if i % 3 == 0]
+    assert [i for i, _ in copies] == list(range(3, 3 * len(copies) + 1, 3)) and len({score for _, score in copies}) == 1
+    assert got[0] == [(i, pytest.approx(score, abs=1e-9)) for i, score in right[0]]
+
+
+def test_neighbours_in_odd_tables(spark):
+    good = clouds(40, width=8)
+    strange = [(60, None), (80, []), (100, [0.0] * 8), (120, [None] + [1.0] * 7), (140, [float("nan")] * 8), (160, [float("-inf")] * 8), (None, [1.0] * 8)]
+    rows = [*good, *strange, (180, [1.0, 2.0]), (20, [0.5] * 8), (3, [1.0] * 8), (3, [1.0] * 8)]
+    df = table(spark, *rows).withColumns({c: F.lit("x") for c in ("rank", "list", "vector", "block", "beat", "_id")})
+    got, right = found(df), plain_neighbours(rows)
+    assert recall(got, right) == 1 and set(got) == {0, 20, 180}
+    few = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (20, [-1.0, 3.0])]
+    assert {q: [i for i, _ in some] for q, some in found(table(spark, *few)).items()} == {0: [1, 20], 20: [1, 0]}
+    assert found(table(spark, (0, [1.0]))) == {}
+    assert found(table(spark, *strange)) == {} and found(spark.createDataFrame([], VECTORS)) == {}
+
+
+def test_a_query_that_finds_too_few_looks_everywhere(spark):
+    """Lists of fewer rows than a query wants."""
+    rows = clouds(200, centres=40, spread=0.01)
+    got, right = found(table(spark, *rows), rows=5, recall=0.1), plain_neighbours(rows)
+    assert all(len(some) == 20 for some in got.values()) and got.keys() == right.keys()
+
+
+def test_scans_abandon_most_candidates_and_keep_the_near_ones():
+    rows = np.array([v for _, v in clouds(4000, seed=11)])
+    norm = float((rows**2).sum(axis=1).max())
+    index = neighbours.Index(64, "<f8", norm, neighbours.rotation(65), np.zeros((0, 65)))
+    ids, columns, queries = np.arange(4000), index.turned(rows, True).T.astype("<f4"), rows[:100]
+    exact = np.where(np.eye(100, 4000, dtype=bool), -np.inf, queries @ rows.T)
+    beat = np.sort(exact, axis=1)[:, -40]
+    qid, vid, _, measured = neighbours.scan(index, ids, rows, columns, ids[:100], queries, beat, 20)
+    right = {(q, int(i)) for q in range(100) for i in np.argsort(-exact[q])[:20]}
+    assert len(right & set(zip(qid.tolist(), vid.tolist()))) >= 0.99 * len(right)
+    assert measured < 0.2 * 100 * 4000
+
+
+def test_rotations_keep_lengths():
+    turn = neighbours.rotation(17)
+    assert np.allclose(turn @ turn.T, np.eye(17)) and np.array_equal(turn, neighbours.rotation(17))
