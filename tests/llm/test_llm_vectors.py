@@ -226,7 +226,7 @@ def plain_neighbours(rows, every=20, k=20):
     out = {}
     for q in sorted({i for i in ids.tolist() if i % every == 0}):
         own = min(v for i, v in able if i == q)
-        score = points @ np.array(own + [0.0] * (width - len(own)))
+        score = (points * np.array(own + [0.0] * (width - len(own)))).sum(axis=1)
         order = [j for j in np.lexsort((ids, -score)) if ids[j] != q][:k]
         out[q] = [(int(ids[j]), float(score[j])) for j in order]
     return out
@@ -266,7 +266,8 @@ def test_neighbours_of_vectors_of_all_lengths_of_norm(spark):
 def test_neighbours_in_a_hot_list(spark):
     """A third of all rows are one vector, and ties go to the smaller id."""
     rows = clouds(1200)
-    rows = [(i, rows[0][1] if i % 3 == 0 else v) for i, v in rows]
+    hot = [3 * x for x in rows[0][1]]
+    rows = [(i, hot if i % 3 == 0 else v) for i, v in rows]
     got, right = found(table(spark, *rows), rows=64), plain_neighbours(rows)
     assert recall(got, right) >= 0.9
     copies = [(i, score) for i, score in got[0] if i % 3 == 0]
