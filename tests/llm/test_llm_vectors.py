@@ -266,7 +266,7 @@ def test_neighbours_of_vectors_of_all_lengths_of_norm(spark):
 def test_neighbours_in_a_hot_list(spark):
     """A third of all rows are one vector, and ties go to the smaller id."""
     rows = clouds(1200)
-    hot = [3 * x for x in rows[0][1]]
+    hot = [2 * x for x in rows[0][1]]
     rows = [(i, hot if i % 3 == 0 else v) for i, v in rows]
     got, right = found(table(spark, *rows), rows=64), plain_neighbours(rows)
     assert recall(got, right) >= 0.9
