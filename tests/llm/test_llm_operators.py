@@ -618,3 +618,33 @@ def spark_array(text):
     import pyarrow as pa
 
     return pa.array([text])
+
+
+# ---- rows that only a hash tells apart -----------------------------------------------------------------------------
+def test_substrings_of_rows_without_ids_and_with_one_hash(spark, docs):
+    """Two texts with one 32-bit hash: what repeats in the one isn't cut out of the other."""
+    many = spark.range(200_000).select(F.concat(*[F.sha2(F.concat(F.lit(f"{i}:"), F.col("id").cast("string")), 256) for i in range(5)]).alias("text"))
+    twins = many.withColumn("h", F.hash("text")).groupBy("h").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").first().texts
+    one, two = twins[:2]
+    for ids in ((None, None, None), (7, 7, 7)):
+        rows = list(zip(ids, (one, two, one[40:290] + " and an end")))
+        got = sorted((r.n_bytes, r.n_removed) for r in substrings.report(docs(*rows)).collect())
+        assert got == [(261, 250), (320, 0), (320, 250)]
+
+
+def test_rules_are_estimated_without_ids(spark, docs):
+    rows = [(None, f"some text number {i} " * 5) for i in range(300)]
+    found = rules.estimate(docs(*rows), sample=50)
+    assert found.keys() == {r.name for r in rules.RULES}
+
+
+def test_names_that_an_article_may_be_about(spark):
+    """Classes that look like page furniture at first sight, and an element that says something."""
+    text = "The committee met in the morning and heard the report of its three members on the state of the bridges."
+    parts = "".join(f"<{e}><p>{i} {text}</p></{e.split()[0]}>" for i, e in enumerate(('div class="share-prices"', 'section class="related-work"', 'div id="search-engines"')))
+    gone = "".join(f'<div class="{c}"><p>Share this with all of your friends today and tomorrow, please.</p></div>' for c in ("share-buttons", "related-posts", "related", "social"))
+    page = f"<html><body><article><h1>Bridges</h1><p>{text}</p>{parts}<p>So <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds. {text}</p>{gone}</article></body></html>"
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    got = extract.extract(df).first().text
+    assert all(f"{i} {text}" in got for i in range(3)) and "So E=m holds." in got.replace(" =", "=").replace("= ", "=")
+    assert "friends" not in got

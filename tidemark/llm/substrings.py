@@ -46,7 +46,6 @@ _PIECE = 1 << 18
 _COMBINED = 1_000_000
 _SYMBOLS = 60_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_NONE = -(2**63)
 
 
 def _words(raw: np.ndarray) -> np.ndarray:
@@ -330,9 +329,12 @@ def _counted(contexts: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, others: list[str]) -> DataFrame:
-    """Documents with what tells them apart: key (doc_id) and th (a hash of the text); other columns in ``rest``."""
+    """Documents with what tells them apart: key and th, 64 and 32 bits of two hashes; other columns in ``rest``.
+
+    Rows that are equal in both have the same doc_id and the same text, so the same is covered in them.
+    """
     text = F.coalesce("text", F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE))
+    key = F.xxhash64(F.col("doc_id").cast("long"), text)
     rest = [F.struct(*[F.col(c) for c in others]).alias("rest")] if others else []
     return docs.select(key.alias("key"), F.hash(text).alias("th"), text.alias("text"), *rest)
 
@@ -420,13 +422,12 @@ def report(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
             for text, list_ in zip(batch.column("text"), batch.column("spans")):
                 data, gone = text.as_py().encode("utf-8", "surrogatepass"), _merged(list_.values)
                 rows.append((len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(_kept(data, gone)).hexdigest()))
-            key = batch.column("key").to_numpy()
-            columns = [pa.array(key, mask=key == _NONE), *[pa.array(list(c)) for c in zip(*rows)]] if rows else []
             if rows:
+                columns = [batch.column("rest").field("doc_id").cast(pa.int64()), *[pa.array(list(c)) for c in zip(*rows)]]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return _with_spans(docs, contexts).mapInArrow(run, schema)
+    return _with_spans(docs, contexts, ["doc_id"]).mapInArrow(run, schema)
 
 
 def remove(docs: DataFrame, contexts: int = CONTEXTS) -> DataFrame:
