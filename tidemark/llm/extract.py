@@ -39,7 +39,7 @@ LEAST_RATIO = 1.0
 # HTML elements by their meaning.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset(
-    "script style noscript template svg math canvas iframe object audio video select option button textarea datalist dialog "
+    "script style noscript template svg canvas iframe object audio video select option button textarea datalist dialog "
     "head title".split()
 )
 ASIDE = frozenset("nav aside footer form menu".split())
@@ -62,20 +62,28 @@ CLOSES = {
     "th": {"td", "th"},
     "option": {"option"},
 }
-# First words of class and id names of what isn't the article.
+# First words of class and id names of what isn't the article; after those that an article may be about only such words may
+# follow as name a part of a page.
+PARTS = (
+    r"([-_]?(ads?|area|articles?|bar|block|box|buttons?|content|container|form|icons?|inner|items?|links?|list|media|nav|outer|panel|"
+    r"posts?|section|stories|this|toggle|tools?|widgets?|wrap|wrapper)([-_].*)?|\d*)"
+)
 NAMES = re.compile(
-    r"(ads?|adv|advert\w*|adsense|adslot|banner|bread-?crumbs?|comments?|commentlist|consent|cookies?|disqus|"
-    r"disclaimer|footer|gdpr|header|login|masthead|menu|modal|nav\w*|newsletter|notices?|notification|pagination|"
-    r"pager|popup|promo\w*|related|recommend\w*|reply|replies|respond|search|share|sharing|sidebar|signup|skip|"
-    r"skyscraper|social|sponsor\w*|subscribe|subscription|teaser|toolbar|topbar|widget)"
+    r"(ads?|adv|advert\w*|adsense|adslot|bread-?crumbs?|comments?|commentlist|consent|cookies?|disqus|"
+    r"disclaimer|footer|gdpr|header|masthead|menu|modal|nav\w*|newsletter|notification|pagination|"
+    r"pager|popup|promo\w*|respond|sidebar|signup|"
+    r"skyscraper|sponsor\w*|subscribe|subscription|toolbar|topbar)"
     r"([-_].*|\d*|[A-Z].*)?"
+    r"|(banner|login|notices?|related|recommend\w*|reply|replies|search|share|sharing|skip|social|teaser|widget)" + PARTS
 )
 LASTS = re.compile(
     r".*[-_](ads?|advert\w*|banner|comments?|cookies?|footer|menu|nav|navigation|newsletter|notice|popup|promo|related|"
     r"share|sidebar|social|sponsor\w*|widget)"
 )
 CHOSEN = re.compile(r"(has|with|no|is|not|without)[-_].*")
-READERS = re.compile(r"(comments?|commentlist|disqus|related|recommend\w*|reply|replies|respond|teaser)([-_].*)?|.*[-_](comments?|related)")
+READERS = re.compile(
+    r"(comments?|commentlist|disqus|respond)([-_].*)?|(related|recommend\w*|reply|replies|teaser)" + PARTS + r"|.*[-_](comments?|related)"
+)
 # End tags that may close what isn't the article; any other end tag inside it closes nothing outside.
 OUTER = ASIDE | REGIONS | {"body", "html", "header", "div", "section"}
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
