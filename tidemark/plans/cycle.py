@@ -20,17 +20,10 @@ from tidemark.operators.rows import event_date
 from tidemark.plans.ingest import LakePaths, Source, ingest_all
 from tidemark.plans.marts import creators_by_totals, daily_metrics
 from tidemark.plans.model import COMMENTS, DIMENSIONS, PROPERTIES, fact_stream
+from tidemark.sources.commits import CommitLog
 from tidemark.sources.control import EPOCH_DATE, TableSpec
 from tidemark.sources.schemas import registered_schema
-from tidemark.sources.tables import (
-    create_target,
-    describe_table,
-    path_exists,
-    publish_run,
-    read_or_empty,
-    read_run,
-    write_table,
-)
+from tidemark.sources.tables import describe_table, path_exists, publish_run, publish_table, read_or_empty, read_run
 from tidemark.streaming.dimensions import DimensionStore
 from tidemark.streaming.files import (
     append_stream,
@@ -89,7 +82,7 @@ def run_cycle(
             gold[TOP_TABLE] = publish_top(spark, gold, paths)
     count_others(spark, by_table, schemas, landed.keys(), paths)
     if database is not None:
-        publish_catalog(spark, gold, database)
+        publish_catalog(spark, gold, paths, database)
     checked = [rule_totals(spark, _counts(paths, s.table)) for s in specs if s.rules]
     quality = reduce(DataFrame.unionAll, checked) if checked else rule_totals(spark, _counts(paths, "none"))
     return CycleReport(audit, quality, gold)
@@ -208,13 +201,22 @@ def publish_top(spark: SparkSession, gold: Mapping[str, DataFrame], paths: LakeP
     return read_run(spark, f"{paths.gold}/{TOP_TABLE}/data", top.schema)
 
 
-def publish_catalog(spark: SparkSession, gold: Mapping[str, DataFrame], database: str) -> None:
-    """Declare the dimensions and marts as catalog tables and fill them; the fact table is filled by its own stream."""
+def publish_catalog(spark: SparkSession, gold: Mapping[str, DataFrame], paths: LakePaths, database: str) -> None:
+    """Show the dimensions and marts as catalog tables; the fact table is filled by its own stream.
+
+    What hasn't changed since it was last shown isn't written again. A table is pointed at its new files when they are whole.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in gold.items():
         table = f"{database}.{name}"
         if name != FACT_TABLE:
-            create_target(spark, table, df.schema, COMMENTS[name])
-            write_table(df, table, COMMENTS[name], PROPERTIES)
+            publish_table(df, table, f"{paths.gold}/{name}/published", COMMENTS[name], PROPERTIES, _stamp(spark, paths, gold, name))
         elif spark.catalog.tableExists(table):
             describe_table(spark, table, COMMENTS[name], PROPERTIES)
+
+
+def _stamp(spark: SparkSession, paths: LakePaths, gold: Mapping[str, DataFrame], name: str) -> str:
+    """The commits that a gold table is derived from; the ranking also depends on its dimensions."""
+    of = {"gold_dim_track_scd1", "gold_dim_artist_scd1"} & gold.keys() if name == TOP_TABLE else set()
+    logs = [f"{n}/{part}" for n in sorted({name, *of}) for part in ("data", "days")]
+    return " ".join(str(CommitLog(f"{paths.gold}/{log}/commits").latest(spark)[0]) for log in logs)

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+_STAMP = "derived_from"
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
@@ -75,6 +78,34 @@ def read_run(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema) if whole is None else spark.read.schema(schema).parquet(f"{path}/run={whole}")
 
 
+def publish_table(
+    df: DataFrame, name: str, path: str, comment: str | None = None, properties: Mapping[str, str] | None = None, stamp: str | None = None
+) -> None:
+    """Show a derived table in the catalog: it is written as the next run below ``path`` and the table is pointed at it.
+
+    Readers see the run before until then, and after a crash. With ``stamp``, what the table is derived from, nothing is written
+    if the catalog shows that already.
+    """
+    spark = df.sparkSession
+    known = spark.catalog.tableExists(name)
+    if known and stamp is not None:
+        held = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(f"key = '{_STAMP}'").first()
+        if held is not None and held["value"] == stamp and set(df.columns) <= set(spark.read.table(name).columns):
+            return
+    publish_run(df, path)
+    runs = sorted(int(n.removeprefix("run=")) for n in children(spark, path))
+    folder = f"{path}/run={runs[-1]}"
+    if known:
+        missing = [f for f in df.schema.fields if f.name not in spark.read.table(name).columns]
+        if missing:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in missing)})")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=folder, source="parquet", schema=df.schema)
+    describe_table(spark, name, comment, {**(properties or {}), **({_STAMP: stamp} if stamp is not None else {})})
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A parquet folder, or no rows if the folder does not exist. Any other failure is raised."""
     if not path_exists(spark, path):

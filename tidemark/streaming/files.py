@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -44,19 +44,33 @@ def append_stream(
     table: str | None = None,
     name: str | None = None,
     partition_by: Sequence[str] = (),
+    conf: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start appending all available rows to parquet files, then stop; optionally as a catalog table at ``path``.
 
     Files and checkpoint belong together: the sink remembers the batches of its checkpoint, so a replay under a new
-    checkpoint needs a new path.
+    checkpoint needs a new path. ``conf`` holds for this stream alone, such as ``LARGE_STATE_CONF`` for one that remembers many
+    keys; a stream that has run before keeps the state store it began with.
     """
     writer = available_now(df, checkpoint, name).outputMode("append").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if table is None:
-        return writer.start(path)
+        return _started(df.sparkSession, conf, lambda: writer.start(path))
     add_missing_columns(df.sparkSession, table, df.schema)
-    return writer.option("path", path).toTable(table)
+    return _started(df.sparkSession, conf, lambda: writer.option("path", path).toTable(table))
+
+
+def _started(spark: SparkSession, conf: Mapping[str, str] | None, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """A stream takes a copy of the session's settings when it starts."""
+    before = {key: spark.conf.get(key, None) for key in conf or {}}
+    for key, value in (conf or {}).items():
+        spark.conf.set(key, value)
+    try:
+        return start()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def available_now(df: DataFrame, checkpoint: str, name: str | None = None) -> DataStreamWriter:
