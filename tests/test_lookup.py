@@ -8,12 +8,15 @@ from conftest import values
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructType, TimestampType
 
+from tidemark.operators.joins import join_using
+from tidemark.plans import ingest
 from tidemark.plans.ingest import LakePaths, ingest_all
 from tidemark.sources import extract
+from tidemark.sources.bronze import read_bronze
 from tidemark.sources.commits import CommitLog, ConcurrentCommit
 from tidemark.sources.control import TableSpec
 from tidemark.sources.extract import RelationalSource, bounds_query, range_predicates, since_sql
-from tidemark.sources.tables import publish_table
+from tidemark.sources.tables import publish_table, write_table
 from tidemark.streaming import keyindex, landed, silver
 from tidemark.streaming.keyindex import KeyIndex
 from tidemark.streaming.landed import LandedFolders
@@ -251,3 +254,45 @@ def test_a_table_is_pointed_at_whole_runs(spark, tmp_path, rows):
     with pytest.raises(Exception, match="boom"):
         publish_table(broken, name, path, "third", {}, "3")
     assert values(spark.read.table(name)) == [(2, "b")]
+
+
+# ---- two ingests, and tables in buckets ----------------------------------------------------------------------------
+def test_of_two_ingests_one_is_refused(spark, tmp_path, monkeypatch):
+    """The other one starts and ends while the first is landing: no row lands twice and no mark is lost."""
+    spec, paths = TableSpec("a", "at", keys=("id",), sequence=("at",)), LakePaths(str(tmp_path))
+    rows = spark.createDataFrame([(n, "x", t(n)) for n in range(5)], SCHEMA)
+    real, others = ingest.land_bronze, []
+
+    def meanwhile(df, folder, cdc_col, high):
+        if not others:
+            others.append(None)
+            others[0] = ingest_all(spark, [spec], {"a": rows}, paths).first()["status"]
+        return real(df, folder, cdc_col, high)
+
+    monkeypatch.setattr(ingest, "land_bronze", meanwhile)
+    first = ingest_all(spark, [spec], {"a": rows}, paths).first()
+    assert others == ["OK"] and first["status"] == "FAILED" and "ConcurrentCommit" in first["error"]
+    landed = read_bronze(spark, paths.bronze, "a", SCHEMA)
+    assert sorted(r["id"] for r in landed.collect()) == list(range(5))
+    assert ingest_all(spark, [spec], {"a": rows}, paths).first()["status"] == "EMPTY"
+    more = rows.unionAll(spark.createDataFrame([(9, "x", t(9))], SCHEMA))
+    assert ingest_all(spark, [spec], {"a": more}, paths).first()["status"] == "OK"
+
+
+def test_tables_in_buckets_meet_without_a_shuffle(spark, tmp_path):
+    fact = spark.createDataFrame([(n, n % 7, float(n)) for n in range(100)], "f long, k long, x double")
+    dim = spark.createDataFrame([(n, f"d{n}") for n in range(7)], "k long, name string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in (("fact_b", fact), ("dim_b", dim)):
+            write_table(df, name, path=f"{tmp_path}/{name}", bucket_by=["k"], buckets=4)
+        joined = join_using(spark.read.table("fact_b"), spark.read.table("dim_b"), "k").groupBy("k", "name").agg(F.sum("x").alias("x"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert values(joined) == values(join_using(fact, dim, "k").groupBy("k", "name").agg(F.sum("x").alias("x")))
+        assert len(list((tmp_path / "fact_b").glob("*.parquet"))) <= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for name in ("fact_b", "dim_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.rows import RESCUED
 from tidemark.sources.bronze import bronze_folder, land_bronze
+from tidemark.sources.commits import CommitLog, ConcurrentCommit
 from tidemark.sources.control import EPOCH_DATE, TableSpec
 from tidemark.sources.extract import extract_window
 from tidemark.sources.schemas import conform, evolve, merge_schemas, registered_schema
+from tidemark.sources.tables import delete_path
 from tidemark.sources.watermarks import (
     Watermark,
     commit_watermark,
@@ -94,9 +96,13 @@ def ingest_table(
     The batch starts on the watermark, not after it, because rows with that very value may have been added or changed
     since. If nothing lies beyond the mark and the rows on it have the number and the fingerprint of those already landed,
     there is nothing to do; else the rows on the mark land again, and the overlap is removed by the dedupe in silver. The
-    batch's end is fixed before it is read. A crash before the watermark is written repeats the batch. ``narrow`` may read the
+    batch's end is fixed before it is read. A crash before the watermark is written repeats the batch. Of two ingests of a table at
+    one time one fails and takes back what it has landed: each claims a numbered commit before it lands and makes the next
+    one after that, and a number is given once. ``narrow`` may read the
     table from a mark on in a better way than by a filter on all of it, such as in balanced ranges.
     """
+    fence = CommitLog(f"{paths.state}-commits/{spec.table}")
+    number, _ = fence.latest(spark)
     kind = df.schema[spec.cdc_col].dataType
     mark = get_watermark(spark, paths.state, spec.table, kind)
     start = (spec.from_date or backfill_from) if backfill else mark.value
@@ -124,7 +130,13 @@ def ingest_table(
     batch = extract_window(df if narrow is None else narrow(spec, df, start), spec.cdc_col, start, found["high"])
     schema = evolve(spark, paths.registry, spec.table, df.schema, spec.columns)
     folder = bronze_folder(paths.bronze, spec.table, run_id)
+    fence.commit(spark, number + 1, {"run": run_id, "landing": folder})
     rows, at_high, fingerprint = land_bronze(conform(batch, schema, RESCUED), folder, spec.cdc_col, found["high"])
+    try:
+        fence.commit(spark, number + 2, {"run": run_id, "landed": folder})
+    except ConcurrentCommit:
+        delete_path(spark, folder)
+        raise
     commit_watermark(spark, paths.state, spec.table, Watermark(found["high"], at_high, fingerprint), run_id)
     # Without a backfill the batch started on the mark, so its end is the new one; a backfill may end below it.
     ahead = backfill and get_watermark(spark, paths.state, spec.table, kind).value != found["high"]

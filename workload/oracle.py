@@ -156,6 +156,10 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey AS c_custkey, o_orderpriority
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     """,
+    "bucketed_bridge_join": """
+        SELECT c_custkey, l_orderkey, l_linenumber, l_extendedprice, o_orderpriority, c_name, c_mktsegment
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    """,
     "bridge_join": """
         SELECT c_custkey, l_orderkey, l_linenumber, l_extendedprice, o_orderpriority, c_name, c_mktsegment
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey

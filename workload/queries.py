@@ -229,6 +229,20 @@ def inner_join_using(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_using(*_orders_by_line(spark, sf_dir), "l_orderkey")
 
 
+def bucketed_bridge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge join with lines and orders published in buckets of the order, so that neither is shuffled to meet."""
+    base, suffix, tables = fresh_dir(spark, "buckets"), uuid.uuid4().hex[:8], []
+    for name, df in zip(("lines", "orders"), _orders_by_line(spark, sf_dir)):
+        tables.append(f"{name}_{suffix}")
+        write_table(df, tables[-1], path=f"{base}/{name}", bucket_by=["l_orderkey"], buckets=16)
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    shared_dir(spark)
+    rows = join_via(*(read_table(spark, t) for t in tables), customers, "l_orderkey", "c_custkey").checkpoint()
+    for name in tables:
+        spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def bridge_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = _orders_by_line(spark, sf_dir)
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -743,6 +757,7 @@ QUERIES: dict[str, Query] = {
     "union_batches": union_batches_query,
     "inner_join_using": inner_join_using,
     "bridge_join": bridge_join,
+    "bucketed_bridge_join": bucketed_bridge_join,
     "star_join": star_join_query,
     "join_current_version": join_current_version,
     "daily_metrics": daily_metrics_query,
