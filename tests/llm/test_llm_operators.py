@@ -648,3 +648,33 @@ def test_names_that_an_article_may_be_about(spark):
     got = extract.extract(df).first().text
     assert all(f"{i} {text}" in got for i in range(3)) and "So E=m holds." in got.replace(" =", "=").replace("= ", "=")
     assert "friends" not in got
+
+
+# ---- the classifier's shuffle and thresholds -----------------------------------------------------------------------
+def test_packed_texts_are_no_larger_over_more_shards(spark, docs):
+    """Also with one word that is a third of all."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(4000)]
+    rows = [(i, " ".join("the" if rng.random() < 0.33 else rng.choice(words) for _ in range(300))) for i in range(300)]
+    df = docs(*rows).coalesce(1)
+    model = kneser.Model(np.zeros(kneser.SYMBOLS**kneser.ORDER, np.int32), spark.createDataFrame([], "w1 long, w2 long, value long"), 0)
+
+    def size(shards):
+        sums = F.sum(F.length("data") + F.length("own") + 56)
+        return kneser.packed_texts(df, model, shards).agg(sums.alias("s")).first().s
+
+    few, many = size(12), size(2000)
+    assert few <= many < 1.1 * few
+
+
+def test_thresholds_lean_on_all_languages_by_their_number(spark):
+    """A language with very many documents keeps its own quantile, one with few is drawn to the others."""
+    rows = [(i, "many", 100, 100 * 1_000_000) for i in range(3000)] + [(i + 5000, "few", 100, 100 * 3_000_000) for i in range(3)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_symbols long, micronats long")
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], LABELS)
+    got = {(r.lang_known, r.lang): r.limit for r in kneser.thresholds(scored, labels).collect()}
+    low, plus = 1e6 - 1.5e6 / 10, kneser.MARGIN * 1e6
+    assert got[(False, None)] == pytest.approx(low + plus, abs=1000) and got[(True, "many")] == pytest.approx(low + plus, abs=1000)
+    if (True, "few") in got:
+        n = sum(1 for r in kneser.trusted_ids(labels, False).collect() if r.doc_id >= 5000)
+        assert got[(True, "few")] == pytest.approx((n * (low + 2e6) + kneser.PRIOR * low) / (n + kneser.PRIOR) + plus, abs=2000)

@@ -15,8 +15,9 @@ tasks, four megabytes. Values are whole micronats, so sums are the same in any o
 
 A document's score is its mean surprise for a symbol (a word's, and one for each word's end and the text's); its perplexity is
 exp of it. A language's threshold is the ``QUANTILE`` over its unseen trusted documents of surprise less SLACK /
-sqrt(length), as the mean over a short text strays further, plus ``MARGIN``. Languages with fewer than ``LEAST`` of these use
-the quantile over all languages.
+sqrt(length), as the mean over a short text strays further, plus ``MARGIN``. It is drawn towards the quantile over all languages,
+which weighs as much as ``PRIOR`` documents of the language, so a language with few of them leans on the others and one
+with many does not; one without any uses that quantile.
 
 A text without words (null, empty, white) has perplexity null and is kept, as nothing speaks against it. A null language is a
 language. Rows that share a doc_id are scored one by one; a document without doc_id isn't trusted. Without trusted documents
@@ -30,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ SYMBOLS = 1 << BITS
 QUANTILE = 0.99
 SLACK = 1.5
 MARGIN = 0.15
-LEAST = 30
+PRIOR = 30
 FOLDS = 5
 TRAINED = 4
 _BIN = 1000
@@ -308,8 +310,9 @@ def row_key():
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
-def _packed(batch: pa.RecordBatch, model_table: np.ndarray, fallback: int, shards: int) -> Iterator[pa.RecordBatch]:
-    """For each shard, the keys of its pairs and words, their rows and counts; the rows' own parts are in the first."""
+def _packed(batch: pa.RecordBatch, model_table: np.ndarray, fallback: int, shards: int, piece: int) -> Iterator[pa.RecordBatch]:
+    """For each shard, the keys of a piece's pairs and words, their rows and counts. What the rows are, and their own parts, is in
+    the first shard alone, so the bytes don't grow with the number of shards."""
     found = Sequences(batch.column("text"))
     symbols, nats = found.spelled(model_table)
 
@@ -329,46 +332,59 @@ def _packed(batch: pa.RecordBatch, model_table: np.ndarray, fallback: int, shard
     times = np.diff(np.append(begin, len(keys))).astype(np.uint32)
     keys, rows = keys[begin], rows[begin].astype(np.uint32)
     edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
-    ids = batch.column("row").to_numpy().tobytes()
-    own_parts = np.stack((base, own(symbols))).astype(np.int64).tobytes()
+    own_parts = np.stack((batch.column("row").to_numpy(), base, own(symbols))).astype(np.int64).tobytes()
     full = [i for i in range(shards) if not i or edges[i] < edges[i + 1]]
-    columns = [pa.array(full, pa.int64())]
-    columns += [pa.array([x[edges[i] : edges[i + 1]].tobytes() for i in full], pa.binary()) for x in (keys, rows, times)]
-    columns += [pa.array([ids] * len(full), pa.binary()), pa.array([b"" if i else own_parts for i in full], pa.binary())]
-    yield pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "rows", "times", "ids", "own"])
+    data = [b"".join(x[edges[i] : edges[i + 1]].tobytes() for x in (keys, rows, times)) for i in full]
+    columns = [pa.array(full, pa.int64()), pa.array([piece] * len(full), pa.int64()), pa.array(data, pa.binary())]
+    columns.append(pa.array([b"" if i else own_parts for i in full], pa.binary()))
+    yield pa.RecordBatch.from_arrays(columns, names=["shard", "piece", "data", "own"])
 
 
 def _added(left: pa.Table, right: pa.Table) -> pa.Table:
-    """row, micronats, n_symbols, times: what a shard adds to each row."""
+    """piece, at (its row), row (the document's key, null but in the first shard), micronats, n_symbols: what a shard adds."""
     key = right["key"].to_numpy().view(np.uint64)
     order = np.argsort(key)
     key, value = key[order], right["value"].to_numpy()[order]
-    out: list[list[np.ndarray]] = [[], [], [], []]
-    for at in range(left.num_rows):
-        part = [left[c][at].as_buffer() for c in ("keys", "rows", "times", "ids", "own")]
-        keys, rows, times, ids, own = (np.frombuffer(x, t) for x, t in zip(part, ("u8", "u4", "u4", "i8", "i8")))
-        sums, symbols = (own.reshape(2, -1) if len(own) else np.zeros((2, len(ids)), np.int64)).copy()
+    out: list[list[np.ndarray]] = [[], [], [], [], [], []]
+    for i in range(left.num_rows):
+        data, own = left["data"][i].as_buffer(), np.frombuffer(left["own"][i].as_buffer(), "i8").reshape(3, -1)
+        n = len(data) // 16
+        keys, rows, times = (np.frombuffer(data, t, n, o * n) for t, o in (("u8", 0), ("u4", 8), ("u4", 12)))
+        sums = np.zeros(max(own.shape[1], int(rows.max()) + 1 if n else 0), np.int64)
+        sums[: own.shape[1]] += own[1]
         if len(key):
             place = np.minimum(np.searchsorted(key, keys), len(key) - 1)
             hit = key[place] == keys
             np.add.at(sums, rows[hit], value[place[hit]] * times[hit].astype(np.int64))
-        some = np.arange(len(ids)) if len(own) else np.flatnonzero(sums)
-        ones = np.full(len(some), int(len(own) > 0))
-        for column, x in zip(out, (ids[some], sums[some], symbols[some], ones)):
+        known = own.shape[1] > 0
+        some = np.arange(len(sums)) if known else np.flatnonzero(sums)
+        pieces_ = np.full(len(some), left["piece"][i].as_py())
+        none = np.zeros(len(some), np.int64)
+        for column, x in zip(out, (pieces_, some, own[0] if known else none, np.full(len(some), known), sums[some], own[2] if known else none)):
             column.append(x)
-    names = ["row", "micronats", "n_symbols", "times"]
-    return pa.table({c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in zip(names, out)})
+    names = ["piece", "at", "row", "known", "micronats", "n_symbols"]
+    full = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
+    arrays = [pa.array(x.astype(np.int64), mask=~full[3].astype(bool) if c == "row" else None) for c, x in zip(names, full)]
+    return pa.table(dict(zip(names, arrays))).drop_columns(["known"])
 
 
-def row_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """row (its key), n_symbols and micronats of every document."""
-    spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent, fallback = spark.sparkContext.broadcast(model.spelling), model.fallback
+def packed_texts(docs: DataFrame, model: Model, shards: int) -> DataFrame:
+    """shard, piece, data and own of all documents, see :func:`_packed`."""
+    sent, fallback = docs.sparkSession.sparkContext.broadcast(model.spelling), model.fallback
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            yield from _packed(batch, sent.value, fallback, shards)
+        # A task that is run again reads the same rows, so its pieces have the same numbers.
+        first = TaskContext.get().partitionId() << 32
+        for number, batch in enumerate(pieces(batches)):
+            yield from _packed(batch, sent.value, fallback, shards, first + number)
+
+    made = "shard long, piece long, data binary, own binary"
+    return docs.select("text", row_key().alias("row")).mapInArrow(pack, made)
+
+
+def row_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """row (its key), n_symbols and micronats of every document."""
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -379,14 +395,13 @@ def row_scores(docs: DataFrame, model: Model) -> DataFrame:
             columns = [pa.array(shard_of(key, shards)), pa.array(key.view(np.int64)), batch.column("value")]
             yield pa.RecordBatch.from_arrays(columns, names=["shard", "key", "value"])
 
-    made = "shard long, keys binary, rows binary, times binary, ids binary, own binary"
-    left = docs.select("text", row_key().alias("row")).mapInArrow(pack, made)
+    left = packed_texts(docs, model, shards)
     right = model.values.mapInArrow(keyed, "shard long, key long, value long")
     met = left.groupBy("shard").cogroup(right.groupBy("shard"))
-    added = met.applyInArrow(_added, "row long, micronats long, n_symbols long, times long")
-    sums = added.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("micronats", "n_symbols", "times")])
-    # Equal rows were added up; each has its share.
-    return sums.select("row", *[F.expr(f"{c} div times").alias(c) for c in ("n_symbols", "micronats")])
+    added = met.applyInArrow(_added, "piece long, at long, row long, micronats long, n_symbols long")
+    each = added.groupBy("piece", "at").agg(F.max("row").alias("row"), *[F.sum(c).alias(c) for c in ("micronats", "n_symbols")])
+    # Equal rows have equal scores.
+    return each.groupBy("row").agg(*[F.max(c).alias(c) for c in ("n_symbols", "micronats")])
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -403,7 +418,7 @@ def _lowered(micronats: str = "micronats", n: str = "n_symbols"):
 def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """lang and limit (micronats): the quantile over the unseen trusted documents, by counts of bins of a thousandth of a nat.
 
-    One row has lang_known false: the quantile of all trusted documents.
+    One row has lang_known false: the quantile of all trusted documents, towards which those of the languages are drawn.
     """
     known = scored.where("n_symbols > 0").join(trusted_ids(labels, False), "doc_id", "left_semi")
     bins = known.groupBy("lang", F.ceil(_lowered() / _BIN).alias("bin")).agg(F.count("*").alias("n"))
@@ -413,8 +428,13 @@ def thresholds(scored: DataFrame, labels: DataFrame, quantile: float = QUANTILE)
     up = Window.partitionBy("lang_known", "lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     all_ = Window.partitionBy("lang_known", "lang")
     ranked = bins.withColumns({"below": F.sum("n").over(up), "all": F.sum("n").over(all_)})
-    reached = ranked.where((F.col("below") >= F.col("all") * quantile) & (~F.col("lang_known") | (F.col("all") >= LEAST)))
-    return reached.groupBy("lang_known", "lang").agg((F.min("bin") * _BIN + int(MARGIN * 1e6)).alias("limit"))
+    reached = ranked.where(F.col("below") >= F.col("all") * quantile).groupBy("lang_known", "lang")
+    found = reached.agg((F.min("bin") * _BIN).alias("own"), F.max("all").alias("all"))
+    # One row for each language.
+    pooled = F.max(F.when(~F.col("lang_known"), F.col("own"))).over(Window.partitionBy(F.lit(0)))
+    drawn = F.round((F.col("all") * F.col("own") + PRIOR * F.col("_pooled")) / (F.col("all") + PRIOR)).cast("long")
+    limit = F.when(F.col("lang_known"), drawn).otherwise(F.col("own")) + int(MARGIN * 1e6)
+    return found.withColumn("_pooled", pooled).select("lang_known", "lang", limit.alias("limit"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
