@@ -181,3 +181,15 @@ def test_permutations_are_bijections(n):
     for key in range(4):
         out = mixing.permuted(index, np.full(n, n), np.full(n, key * 7919, np.uint64))
         assert sorted(out.tolist()) == list(range(n))
+
+
+@given(st.lists(st.integers(0, 3), max_size=1200), st.randoms())
+@settings(max_examples=60, deadline=None)
+def test_selects_of_many_places(steps, rng):
+    values = np.cumsum([s * rng.choice([1, 1, 1, 500]) for s in steps]).astype(np.int64)
+    found = eliasfano.Sequence(eliasfano.encode(values))
+    wanted = sorted(rng.sample(range(len(values)), len(values) // 2)) if len(values) else []
+    assert found.many(np.array(wanted)).tolist() == values[wanted].tolist()
+    assert found.many(np.arange(len(values))).tolist() == found.all().tolist() == values.tolist()
+    with pytest.raises(IndexError):
+        found.many(np.array([len(values)]))

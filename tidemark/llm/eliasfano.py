@@ -59,6 +59,21 @@ class Sequence:
         bits = np.unpackbits(self.lows[first // 8 : (first + self.low + 7) // 8], bitorder="little")[first % 8 :][: self.low]
         return ((place - i) << self.low) | int((bits.astype(np.int64) << np.arange(self.low)).sum())
 
+    def many(self, wanted: np.ndarray) -> np.ndarray:
+        """The values of ascending indexes, each from its sample and the bits up to the next sample."""
+        wanted, places = np.asarray(wanted, dtype=np.int64), np.zeros(len(wanted), dtype=np.int64)
+        if len(wanted) and not 0 <= wanted[0] <= wanted[-1] < self.n:
+            raise IndexError(f"not all of 0 to {self.n - 1}")
+        groups, first = np.unique(wanted // STEP, return_index=True)
+        for group, begin, end in zip(groups.tolist(), first.tolist(), [*first[1:].tolist(), len(wanted)]):
+            place = int(self.samples[group])
+            stop = int(self.samples[group + 1]) if group + 1 < len(self.samples) else 8 * len(self.highs)
+            bits = np.unpackbits(self.highs[place // 8 : -(-stop // 8)], bitorder="little")[place % 8 :]
+            places[begin:end] = place + np.flatnonzero(bits)[wanted[begin:end] % STEP]
+        at = wanted[:, None] * self.low + np.arange(self.low)
+        bits = (self.lows[at >> 3] >> (at & 7).astype(np.uint8)) & 1 if self.low else np.zeros((len(wanted), 0), np.uint8)
+        return ((places - wanted) << self.low) | (bits.astype(np.int64) << np.arange(self.low)).sum(axis=1)
+
     def all(self) -> np.ndarray:
         """Every value."""
         if not self.n:
