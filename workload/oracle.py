@@ -286,14 +286,14 @@ ORACLE: dict[str, str] = {
     """,
     "rescue_malformed": """
         SELECT event_id, user_id, TRY_CAST(props AS INTEGER) AS props,
-               '{"props":' || CAST(to_json(props) AS VARCHAR) || ',"event_type":'
-                   || CAST(to_json(event_type) AS VARCHAR) || '}' AS _rescued_data
+               '{"props":' || CAST(to_json(props) AS VARCHAR) || ',"ts":"' || ts || '","event_type":'
+                   || CAST(to_json(event_type) AS VARCHAR) || ',"value":"' || value || '"}' AS _rescued_data
         FROM events
     """,
     "rescue_twice": """
         SELECT event_id,
-               '{"props":' || CAST(to_json(props) AS VARCHAR) || ',"event_type":' || CAST(to_json(event_type) AS VARCHAR)
-                   || ',"user_id":"' || user_id || '"}' AS _rescued_data
+               '{"props":' || CAST(to_json(props) AS VARCHAR) || ',"ts":"' || ts || '","event_type":'
+                   || CAST(to_json(event_type) AS VARCHAR) || ',"value":"' || value || '","user_id":"' || user_id || '"}' AS _rescued_data
         FROM events
     """,
     "bronze_round_trip": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders",

@@ -536,10 +536,10 @@ def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rescue_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``props`` declared as a number, which no row satisfies, and ``value`` not declared at all."""
+    """``props`` declared as a number, which no row satisfies, and ``ts``, ``event_type`` and ``value`` not declared at all."""
     events = _table(spark, sf_dir, "events")
     declared = events.select("event_id", "user_id", F.col("props").cast("string").try_cast("int").alias("props"))
-    return conform(events.drop("ts", "value"), declared.schema)
+    return conform(events, declared.schema)
 
 
 def rescue_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
