@@ -1,4 +1,12 @@
-"""Stages that make a training set of documents: each takes documents and returns documents, the last one packed pieces."""
+"""Stages that make a training set of documents: each takes documents and returns documents, the last one packed pieces.
+
+Only the columns of documents go on; others, whatever their names, are left out. An empty table gives an empty one. A document
+with a null, empty or white text passes the quality classifier, is near to all others without words (one of them stays), loses
+nothing to substrings, where a null text becomes empty, is never taken by the mix, which counts words, and would be packed as its
+end alone. Null ids, languages and sources are values like others. Rows that share an id are documents of their own in all
+stages but the first, where the labels of an id hold for all its rows; of repeated rows the second stage keeps one. Long texts are
+worked on whole.
+"""
 
 from __future__ import annotations
 
