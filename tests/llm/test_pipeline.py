@@ -39,7 +39,7 @@ def test_stages_are_registered_in_order(spark):
     ]
     assert registry.queries()["pipeline"] is corpus_pipeline.run
     names = [n for n in registry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_columns_stay(results):
