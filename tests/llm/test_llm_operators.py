@@ -2,18 +2,20 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_fixtures import clashing, docs, odd  # noqa: F401
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import extract, kneser, mixing, oph, packing, rules, simhash, substrings, tokenfile, toxicity
+from tidemark.llm import extract, frames, kneser, mixing, oph, packing, rules, simhash, substrings, tokenfile, toxicity
 from tidemark.llm.tokens import Vocabulary
 from tidemark.session import fresh_dir
 
@@ -505,19 +507,36 @@ def test_packing_holds_every_id_once(docs, odd, clashing):
 
 
 # ---- 10 quality classifier -----------------------------------------------------------------------------------------
+def encoded(df, labels):
+    """The blocks of documents, and their trained rows."""
+    blocks = frames.cut(kneser.blocks(df))
+    return blocks, frames.cut(kneser.trained_rows(blocks, labels))
+
+
+def trusting(spark, ids):
+    return spark.createDataFrame([(i, 1, 0) for i in ids], LABELS)
+
+
+def trained_ids(labels):
+    return {r.doc_id for r in kneser.trusted_ids(labels, True).collect()}
+
+
 def test_counts_and_probabilities(spark, docs):
     df = docs(*corpus(n=30))
-    counts = kneser.count_runs(df)
-    expected = Counter()
+    labels = trusting(spark, range(-40, 40))
+    counts = kneser.count_runs(*encoded(df, labels))
+    expected, of = Counter(), trained_ids(labels)
     fold = lambda b: int(kneser._CLASS[b])
     for r in df.collect():
-        symbols = [0] * (kneser.ORDER - 1) + [fold(b) for b in r.text.encode() if fold(b) != 255]
-        for i in range(kneser.ORDER - 1, len(symbols)):
-            code = 0
-            for x in symbols[i - kneser.ORDER + 1 : i + 1]:
-                code = code * kneser.SYMBOLS + x
-            expected[code] += 1
-    assert {r.gram: r.c for r in counts.collect()} == dict(expected)
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.text) if r.doc_id in of else []
+        for word in [*words, ""] if words else []:
+            symbols = [0] * (kneser.ORDER - 1) + [fold(b) for b in word.encode() + b" " if fold(b) != 255]
+            for i in range(kneser.ORDER - 1, len(symbols)):
+                code = 0
+                for x in symbols[i - kneser.ORDER + 1 : i + 1]:
+                    code = code * kneser.SYMBOLS + x
+                expected[code] += 1
+    assert expected and {r.gram: r.c for r in counts.collect()} == dict(expected)
     table = kneser.surprise_table(counts)
     mass = np.exp(-table / 1e6).reshape(-1, kneser.SYMBOLS).sum(axis=1)
     assert np.allclose(mass, 1, atol=1e-3)  # every context's probabilities sum to one
@@ -586,38 +605,53 @@ def test_classifier_tells_word_order_and_letters(spark, docs):
     assert not any(got[r[0]] for r in shuffled) and not any(got[r[0]] for r in foreign)
 
 
-def test_probabilities_of_words_sum_to_one(spark, docs):
-    """The table's sum is the interpolated probability of a text, worked out by hand from the counts."""
-    df = docs((1, "a b a c"), (2, "a b b"), (3, "c a b"))
-    spelling = kneser.surprise_table(kneser.count_runs(df, spelled=True))
-    pairs = kneser.count_pairs(df, spelling)
-    values, fallback = kneser.word_model(pairs)
-    found = pairs.collect()
-    d2 = kneser.discounts(Counter(r.c for r in found))
-    types = Counter(r.w2 for r in found)
+@pytest.mark.parametrize("block_bytes", [1, 200, 1 << 20])
+def test_scores_are_the_probabilities_of_the_counts(spark, docs, monkeypatch, block_bytes):
+    """Worked out by hand from the counts, with one, a few or all texts in a block, and words that only some texts have."""
+    monkeypatch.setattr(kneser, "BLOCK_BYTES", block_bytes)
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("the the the a b c dd éa f".split()) for _ in range(rng.randrange(0, 30)))) for i in range(60)]
+    rows += [(100, "the unknown word " + "x" * 3000), (101, None), (3, "the the a"), (None, "the b the b")]
+    df, labels = docs(*rows), trusting(spark, range(50))
+    of = trained_ids(labels)
+    table = kneser.surprise_table(kneser.count_runs(*encoded(df, labels)))
+    texts = [["<", *r.text.split(), ">"] for r in df.collect() if r.doc_id in of and (r.text or "").split()]
+    count = Counter(p for t in texts for p in zip(t, t[1:]))
+    d2 = kneser.discounts(Counter(count.values()))
+    types = Counter(b for _, b in count)
     d1 = kneser.discounts(Counter(types.values()))
-    spelled = {r.w2: r.spelled for r in found}
-    minus = lambda c, d: d[min(c, 3) - 1]
-    left = sum(minus(c, d1) for c in types.values()) / len(found)
-    low = {w: (c - minus(c, d1)) / len(found) + left * np.exp(-spelled[w] / 1e6) for w, c in types.items()}
-    count = {(r.w1, r.w2): r.c for r in found}
-    ends = lambda text: [int(x) for x in kneser.Sequences(spark_array(text)).hashes.view(np.int64)]
-    got = {r.row: r for r in kneser.row_scores(df, kneser.Model(spelling, values, fallback)).collect()}
-    for r in df.select("text", kneser.row_key().alias("row")).collect():
-        seq, total = ends(r.text), 0.0
-        for a, b in zip(seq, seq[1:]):
-            here = {w: c for (x, w), c in count.items() if x == a}
-            n = sum(here.values())
-            gamma = sum(minus(c, d2) for c in here.values()) / n
-            p = (here[b] - minus(here[b], d2)) / n if b in here else 0
-            total -= np.log(p + gamma * low[b])
-        assert got[r.row].micronats / 1e6 == pytest.approx(total, abs=1e-4)
-
-
-def spark_array(text):
-    import pyarrow as pa
-
-    return pa.array([text])
+    minus = lambda c, d: d[min(c, 3) - 1] if c else 0
+    left = sum(minus(c, d1) for c in types.values()) / len(count)
+
+    def spelled(word):
+        raw = b"" if word == ">" else word.encode()
+        found = kneser.Sequences.of(pa.array([raw.decode()])) if raw else kneser.Sequences.of(pa.array([""]))
+        return int(found.spelled(table)[1][0 if raw else 1])
+
+    def nats(a, b):
+        after = {w: c for (x, w), c in count.items() if x == a}
+        n, c = sum(after.values()), count[a, b]
+        gamma = sum(minus(k, d2) for k in after.values()) / n if n else 1
+        if not c and not types[b]:
+            return spelled(b) / 1e6 - np.log(gamma * left)
+        low = (types[b] - minus(types[b], d1)) / len(count) + left * np.exp(-spelled(b) / 1e6)
+        return -np.log(((c - minus(c, d2)) / n if c else 0) + gamma * low)
+
+    got = Counter((r.doc_id, r.row, r.micronats) for r in kneser.scores(df, labels).collect())
+    assert sum(got.values()) == len(rows)
+    micronats = {(i, row): m for i, row, m in got}
+    for r in df.select("doc_id", "text", kneser.row_key().alias("row")).collect():
+        seq = ["<", *r.text.split(), ">"] if (r.text or "").split() else []
+        total = sum(nats(a, b) for a, b in zip(seq, seq[1:]))
+        assert micronats[r.doc_id, r.row] / 1e6 == pytest.approx(total, abs=1e-3)
+
+
+def test_words_of_a_block_come_back(spark):
+    texts = pa.array(["a bb  a\tccc", None, "", " \n", "日本 a bb", "x" * 5000 + " a"])
+    made = kneser.Sequences.of(texts)
+    back = kneser.Sequences.unpacked(pa.py_buffer(made.packed()))
+    assert (back.hashes == made.hashes).all() and (back.ids == made.ids).all() and (back.rows == made.rows).all()
+    assert back.counts.tolist() == [4, 0, 0, 0, 3, 2]
 
 
 # ---- rows that only a hash tells apart -----------------------------------------------------------------------------
@@ -651,20 +685,20 @@ def test_names_that_an_article_may_be_about(spark):
 
 
 # ---- the classifier's shuffle and thresholds -----------------------------------------------------------------------
-def test_packed_texts_are_no_larger_over_more_shards(spark, docs):
-    """Also with one word that is a third of all."""
+def test_lists_are_hardly_larger_over_more_shards(spark, docs):
+    """What blocks send to shards, also with one word that is a third of all."""
     rng = random.Random(6)
-    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(4000)]
-    rows = [(i, " ".join("the" if rng.random() < 0.33 else rng.choice(words) for _ in range(300))) for i in range(300)]
-    df = docs(*rows).coalesce(1)
-    model = kneser.Model(np.zeros(kneser.SYMBOLS**kneser.ORDER, np.int32), spark.createDataFrame([], "w1 long, w2 long, value long"), 0)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40_000)]
+    rows = [(i, " ".join("the" if rng.random() < 0.33 else rng.choice(words) for _ in range(300))) for i in range(2000)]
+    blocks, trained = encoded(docs(*rows).coalesce(1), trusting(spark, range(2000)))
+    assert blocks.count() == 1
 
     def size(shards):
-        sums = F.sum(F.length("data") + F.length("own") + 56)
-        return kneser.packed_texts(df, model, shards).agg(sums.alias("s")).first().s
+        asked = kneser.ask_pairs(blocks, trained, shards)
+        return asked.agg(F.sum(F.length("data") + 24).alias("s"), F.max("n").alias("n")).first()
 
-    few, many = size(12), size(2000)
-    assert few <= many < 1.1 * few
+    few, many = size(12), size(1000)
+    assert many.n < few.n / 20 and few.s <= many.s < 1.15 * few.s
 
 
 def test_thresholds_lean_on_all_languages_by_their_number(spark):

@@ -7,11 +7,15 @@ before it, and a word's on its spelling: a model of the same kind over bytes fol
 ``ORDER`` inside a word, each byte an even share of its class. So every text has a probability. Each model has three
 discounts for each order from the counts of counts.
 
-The pairs and words grow with the corpus and are a table sharded by 64-bit hashes; the driver sees none of them. Its values
-are what a pair or word adds to the fallback's logarithm, and what a word leaves to it as a context, so a text's logarithm is
-the sum over its pairs and words that the table has and a part of its own. A task counts them document by document and packs
-them by shard; a join by shard adds up the values. Only the spellings' SYMBOLS ** ORDER = 1,048,576 runs are sent to the
-tasks, four megabytes. Values are whole micronats, so sums are the same in any order.
+The pairs and words grow with the corpus, and neither the driver nor a task sees all of them. Texts are written once as blocks of
+about ``BLOCK_BYTES``: the block's different words, and for each of its words a number. From then on only blocks are read. Counts
+are joined by shard of a 64-bit hash: each block sends each shard its different pairs, sorted and as differences, with
+their trained counts; the shard adds the counts of all blocks up and answers each block, in the order in which it has asked, so no
+key and no row's id travels back. Of the blocks that have trained on a pair one is told that the pair is its own, so that
+block counts it for its two words: once before the second, and with its count after the first. These sums go through shards in
+the same way. Then a block has what it needs to score its texts. A frequent pair or word is one entry a block, however often it
+occurs. A shard has the keys of about two blocks, up to ``SHARDS`` shards. Only the spellings' SYMBOLS ** ORDER = 1,048,576 runs
+are sent to the tasks, four megabytes. A pair's surprise is a whole number of micronats, so sums are the same in any order.
 
 A document's score is its mean surprise for a symbol (a word's, and one for each word's end and the text's); its perplexity is
 exp of it. A language's threshold is the ``QUANTILE`` over its unseen trusted documents of surprise less SLACK /
@@ -21,7 +25,7 @@ with many does not; one without any uses that quantile.
 
 A text without words (null, empty, white) has perplexity null and is kept, as nothing speaks against it. A null language is a
 language. Rows that share a doc_id are scored one by one; a document without doc_id isn't trusted. Without trusted documents
-nothing is rejected. An empty table gives no rows. Long texts are scored whole.
+nothing is rejected. An empty table gives no rows. Long texts are scored whole; one beyond the size of a block is a block.
 """
 
 from __future__ import annotations
@@ -36,7 +40,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import cut
-from tidemark.llm.text import WHITE, Words, buffers, mix, pieces, word_hashes, words_of
+from tidemark.llm.text import WHITE, Words, buffers, mix, pieces, release, word_hashes, words_of
+from tidemark.session import fresh_dir
 
 ORDER = 4
 BITS = 5
@@ -48,6 +53,8 @@ PRIOR = 30
 FOLDS = 5
 TRAINED = 4
 _BIN = 1000
+BLOCK_BYTES = 4 << 20
+SHARDS = 4096
 
 _DROP = 255
 _CLASS = np.full(256, 31, dtype=np.uint8)
@@ -91,51 +98,60 @@ def trusted_ids(labels: DataFrame, trained: bool) -> DataFrame:
     return marks.agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality")).where("quality = 1").select("doc_id")
 
 
-def count_runs(docs: DataFrame, spelled: bool = False) -> DataFrame:
-    """gram (the run's code) and c, over all texts; with ``spelled``, inside each of a text's words and its end."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
-        for batch in pieces(batches):
-            texts = batch.column("text")
-            if spelled:
-                texts, times = Sequences(texts).spellings()
-                code, offsets = runs(texts)
-                np.add.at(total, code, np.repeat(times, np.diff(offsets)))
-            else:
-                total += np.bincount(runs(texts)[0], minlength=len(total))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "c"])
-
-    return docs.select("text").mapInArrow(count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-
-
 class Sequences:
-    """The words of a batch's texts as hashes, a start and an end around each text that has words.
+    """Texts as numbers of their different words, with a start and an end around each text that has words.
 
-    ``rows`` has the row of each of ``hashes``. ``words`` are the different words, whose spellings are looked up once.
+    ``words`` are the different words, ``which`` the number of each word, ``counts`` the words of each row. ``ids`` has starts and
+    ends too, whose numbers follow those of the words; ``hashes`` has the hash of each number, ``rows`` the row of each of ``ids``.
     """
 
-    def __init__(self, texts: pa.Array):
-        words = words_of(texts)
-        self.counts = np.diff(words.first)
-        hashes, at, self.which = np.unique(word_hashes(words), return_index=True, return_inverse=True)
-        self.hashed = hashes
-        self.words = Words(words.raw, words.starts[at], words.ends[at], np.zeros(0, np.int64))
-        self.first = words.first
-        sizes = np.where(self.counts > 0, self.counts + 2, 0)
+    def __init__(self, words: Words, which: np.ndarray, counts: np.ndarray):
+        self.words, self.which, self.counts = words, which, counts
+        self.start = len(words.starts)
+        self.hashes = np.concatenate((word_hashes(words), [_START, _END]))
+        sizes = np.where(counts > 0, counts + 2, 0)
         self.rows = np.repeat(np.arange(len(sizes)), sizes)
         stops = np.cumsum(sizes)
-        self.hashes = np.zeros(len(self.rows), dtype=np.uint64)
-        inner = np.ones(len(self.rows), dtype=bool)
         heads, tails = (stops - sizes)[sizes > 0], stops[sizes > 0] - 1
+        inner = np.ones(len(self.rows), dtype=bool)
         inner[heads] = inner[tails] = False
-        self.hashes[inner] = hashes[self.which]
-        self.hashes[heads], self.hashes[tails] = _START, _END
-        self.texts = len(heads)
+        self.ids = np.zeros(len(self.rows), dtype=np.int64)
+        self.ids[inner] = which
+        self.ids[heads], self.ids[tails] = self.start, self.start + 1
 
-    def spellings(self) -> tuple[pa.Array, np.ndarray]:
-        """Each different word with a white after it, last the end (no word, and a white), and how often they occur."""
+    @staticmethod
+    def of(texts: pa.Array) -> Sequences:
+        """The frequent words have the small numbers."""
+        words = words_of(texts)
+        _, at, which, times = np.unique(word_hashes(words), return_index=True, return_inverse=True, return_counts=True)
+        order = np.argsort(-times, kind="stable")
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order))
+        different = Words(words.raw, words.starts[at[order]], words.ends[at[order]], np.zeros(0, np.int64))
+        return Sequences(different, number[which], np.diff(words.first))
+
+    def packed(self) -> bytes:
+        texts, _ = self.spellings()
+        raw, _ = buffers(texts)
+        sizes = np.array([len(raw), len(self.which), len(self.counts)], dtype=np.int64)
+        parts = (sizes, raw, _planes(self.which.astype(np.uint32)), _planes(self.counts.astype(np.uint32)))
+        return sizes.tobytes() + pa.compress(b"".join(x.tobytes() for x in parts[1:]), codec="zstd", asbytes=True)
+
+    @staticmethod
+    def unpacked(data: pa.Buffer) -> Sequences:
+        n, m, rows = (int(x) for x in np.frombuffer(data, np.int64, 3))
+        flat = np.frombuffer(pa.decompress(data.slice(24), n + 4 * (m + rows), codec="zstd"), np.uint8)
+        raw = flat[:n]
+        # Each word ends with a white; the last is the text's end, which has no letters.
+        ends = np.flatnonzero(WHITE[raw])[:-1]
+        starts = np.concatenate(([0], ends + 1))[: len(ends)]
+        which = _numbers(flat[n : n + 4 * m], np.uint32).astype(np.int64)
+        counts = _numbers(flat[n + 4 * m :], np.uint32).astype(np.int64)
+        return Sequences(Words(raw, starts, ends, np.zeros(0, np.int64)), which, counts)
+
+    def spellings(self, of: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+        """Each different word with a white after it, last the end (no word, and a white), and how often they occur in rows
+        that ``of`` marks."""
         words = self.words
         lengths = np.append(words.ends - words.starts, 0)
         offsets = np.concatenate(([0], np.cumsum(lengths + 1)))
@@ -144,165 +160,121 @@ class Sequences:
         place = np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         flat[offsets[:-1][word] + place] = words.raw[np.append(words.starts, 0)[word] + place]
         made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
-        return made, np.append(np.bincount(self.which, minlength=len(words.starts)), self.texts)
+        times = np.bincount(self.ids if of is None else self.ids[of[self.rows]], minlength=self.start + 2)
+        return made, np.delete(times, self.start)
 
     def spelled(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols and micronats of the spelling of each different word, last of the end."""
+        """Symbols and micronats of the spelling of each number; nothing for a start."""
         texts, _ = self.spellings()
         code, offsets = runs(texts)
         raw, ends = buffers(texts)
         nats = np.concatenate(([0], np.cumsum(table[code], dtype=np.int64)))[offsets]
         within = np.concatenate(([0], np.cumsum(_WITHIN[raw])))[ends]
         # A white is one of several, but only ends a word.
-        return np.diff(offsets), np.diff(nats) + np.diff(within) - _WITHIN[0x20]
+        found = np.diff(offsets), np.diff(nats) + np.diff(within) - _WITHIN[0x20]
+        return tuple(np.insert(x, self.start, 0) for x in found)
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """The places of the second words of all pairs, and the row of each."""
-        at = np.flatnonzero(self.hashes != _START)
-        return at, self.rows[at]
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the different pairs, in order, their first and second numbers; for each pair of words which it is, and its row."""
+        at = np.flatnonzero(self.ids != self.start)
+        code, which = np.unique(self.ids[at - 1] * len(self.hashes) + self.ids[at], return_inverse=True)
+        first, second = np.divmod(code, len(self.hashes))
+        keys = mix(mix(self.hashes[first]) * _PAIR + self.hashes[second])
+        order = np.argsort(keys)
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order))
+        return keys[order], first[order], second[order], number[which], self.rows[at]
 
+    def sums(self, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The sum of whole numbers over each row; ``rows`` ascend."""
+        total = np.concatenate(([0], np.cumsum(x, dtype=np.int64)))
+        return np.diff(total[np.searchsorted(rows, np.arange(len(self.counts) + 1))])
 
-def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(mix(first) * _PAIR + second)
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The lowest bytes of all numbers, then the next ones and so on: high ones are mostly zero and compress."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """In the order of the keys, so that sorted keys lie shard by shard."""
-    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
+def _numbers(flat: np.ndarray, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(flat.reshape(size, -1).T).view(kind).ravel()
 
-def discounts(n: dict[int, int]) -> tuple[float, float, float]:
-    """The discounts for counts 1, 2 and 3 or more, from how many runs were counted 1, 2, 3 and 4 times."""
-    n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
-    if not n1 or not n2:
-        return 0.5, 0.75, 0.9
-    y = n1 / (n1 + 2 * n2)
-    found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 0.9)
-    return tuple(min(max(d, 0.05), k) for d, k in zip(found, (0.95, 1.9, 2.9)))
 
+def _pack(columns: list[np.ndarray]) -> bytes:
+    return pa.compress(b"".join(_planes(c.astype(np.uint64)).tobytes() for c in columns), codec="zstd", asbytes=True)
 
-def probabilities(counts: DataFrame) -> list[DataFrame]:
-    """For each order from 1: gram, prob (interpolated down to the uniform) and gamma (what its context leaves to the next
-    lower order)."""
-    orders = [counts]
-    for k in range(ORDER - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND(SYMBOLS**k - 1)
-        orders.append(orders[-1].groupBy(suffix.alias("gram")).agg(F.count("*").alias("c")))
-    out: list[DataFrame] = []
-    for k, grams in enumerate(reversed(orders), start=1):
-        few = grams.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()
-        d1, d2, d3 = discounts({r.c: r.n for r in few})
-        context = F.shiftright("gram", BITS).alias("context")
-        marked = grams.select("gram", "c", context)
-        minus = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        sums = marked.groupBy("context").agg(F.sum("c").alias("total"), F.sum(minus).alias("taken"))
-        rows = marked.join(sums, "context").select(
-            "gram", ((F.col("c") - minus) / F.col("total")).alias("own"), (F.col("taken") / F.col("total")).alias("gamma")
-        )
-        if k == 1:
-            prob = rows.select("gram", (F.col("own") + F.col("gamma") / SYMBOLS).alias("prob"), "gamma")
-        else:
-            lower = out[-1].select(F.col("gram").alias("suffix"), F.col("prob").alias("below"))
-            rows = rows.withColumn("suffix", F.col("gram").bitwiseAND(SYMBOLS ** (k - 1) - 1))
-            prob = rows.join(lower, "suffix").select(
-                "gram", (F.col("own") + F.col("gamma") * F.col("below")).alias("prob"), "gamma"
-            )
-        out.append(prob)
-    return out
 
+def _unpack(data: pa.Buffer, n: int, width: int) -> np.ndarray:
+    flat = np.frombuffer(pa.decompress(data, 8 * n * width, codec="zstd"), np.uint8)
+    return np.stack([_numbers(flat[8 * n * i : 8 * n * (i + 1)], np.uint64) for i in range(width)])
 
-def surprise_table(counts: DataFrame) -> np.ndarray:
-    """Micronats of every run, seen or not: SYMBOLS ** ORDER whole numbers, whatever the size of the corpus."""
-    below = np.full(1, 1.0 / SYMBOLS)
-    for k, table in enumerate(probabilities(cut(counts)), start=1):
-        found = table.toArrow()
-        gram, prob, gamma = (found[c].to_numpy() for c in ("gram", "prob", "gamma"))
-        left = np.ones(SYMBOLS ** (k - 1))
-        left[gram >> BITS] = gamma
-        code = np.arange(SYMBOLS**k)
-        dense = left[code >> BITS] * (below[code & (SYMBOLS ** (k - 1) - 1)] if k > 1 else below[0])
-        dense[gram] = prob
-        below = dense
-    return np.round(-1e6 * np.log(np.maximum(below, 1e-12))).astype(np.int32)
 
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """In the order of the keys, so that sorted keys lie shard by shard."""
+    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
 
-def count_pairs(docs: DataFrame, spelling: np.ndarray) -> DataFrame:
-    """w1, w2 (hashes of words), c, and spelled: the micronats of the second's spelling."""
-    sent = docs.sparkSession.sparkContext.broadcast(spelling)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            found = Sequences(batch.column("text"))
-            _, nats = found.spelled(sent.value)
-            at, _ = found.pairs()
-            second = found.hashes[at]
-            keys, where, n = np.unique(pair_key(found.hashes[at - 1], second), return_index=True, return_counts=True)
-            w1, w2 = found.hashes[at - 1][where], second[where]
-            place = np.searchsorted(found.hashed, w2)
-            cost = nats[np.where(w2 == _END, len(found.hashed), np.minimum(place, len(found.hashed)))]
-            columns = [pa.array(x.view(np.int64)) for x in (w1, w2)] + [pa.array(n.astype(np.int64)), pa.array(cost)]
-            yield pa.RecordBatch.from_arrays(columns, names=["w1", "w2", "c", "spelled"])
-
-    counted = docs.select("text").mapInArrow(count, "w1 long, w2 long, c long, spelled long")
-    return counted.groupBy("w1", "w2").agg(F.sum("c").alias("c"), F.min("spelled").alias("spelled"))
-
-
-def _least(grams: DataFrame) -> tuple[float, float, float]:
-    return discounts({r.c: r.n for r in grams.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()})
-
-
-def _minus(d: tuple[float, float, float]):
-    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-
-
-def _taken(d: tuple[float, float, float]):
-    """The sum of discounts, from whole counts, so that the order of the rows doesn't matter."""
-    ones, twos = F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))
-    return ones * d[0] + twos * d[1] + (F.count("*") - ones - twos) * d[2]
-
-
-def word_model(pairs: DataFrame) -> tuple[DataFrame, int]:
-    """w1 (null for a word alone), w2, value: the micronats that the pair or word adds; and those of each fallback on the
-    spelling."""
-    pairs = cut(pairs)
-    d2 = _least(pairs)
-    words = cut(pairs.groupBy("w2").agg(F.count("*").alias("c"), F.min("spelled").alias("spelled")))
-    d1 = _least(words)
-    whole = words.agg(F.sum("c").alias("total"), _taken(d1).alias("taken")).first()
-    if not whole.total:
-        return pairs.select("w1", "w2", F.lit(0).cast("long").alias("value")), 0
-    left = whole.taken / whole.total
-    prob = (F.col("c") - _minus(d1)) / F.lit(float(whole.total)) + F.lit(left) * F.exp(-F.col("spelled") / 1e6)
-    alone = words.select("w2", F.log(prob).alias("log1"), F.col("spelled"))
-    contexts = pairs.groupBy("w1").agg(F.sum("c").alias("total"), _taken(d2).alias("taken"))
-    contexts = cut(contexts.select("w1", "total", (F.col("taken") / F.col("total")).alias("gamma")))
-    lower = alone.select("w2", F.exp("log1").alias("below"))
-    met = pairs.join(contexts.hint("merge"), "w1").join(lower.hint("merge"), "w2")
-    fell = F.col("gamma") * F.col("below")
-    ratio = ((F.col("c") - _minus(d2)) / F.col("total") + fell) / fell
-    seen = met.select("w1", "w2", F.round(-1e6 * F.log(ratio)).cast("long").alias("value"))
-    own = -1e6 * (F.col("log1") - F.lit(float(np.log(left)))) - F.col("spelled")
-    one = alone.select("w2", F.round(own).cast("long").alias("value"))
-    two = contexts.select(F.col("w1").alias("w2"), F.round(-1e6 * F.log("gamma")).cast("long").alias("value"))
-    both = one.unionByName(two).groupBy("w2").agg(F.sum("value").alias("value"))
-    values = seen.unionByName(both.select(F.lit(None).cast("long").alias("w1"), "w2", "value"))
-    return values, int(round(-1e6 * np.log(left)))
+# What a block asks of a shard: keys (as differences) and columns of n numbers.
+_LIST = "block long, shard long, n long, data binary"
 
 
-@dataclass
-class Model:
-    spelling: np.ndarray
-    values: DataFrame
-    fallback: int
+def lists(block: int, keys: np.ndarray, columns: list[np.ndarray], shards: int) -> pa.Table:
+    """One row for each shard that has some of the block's sorted keys."""
+    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+    full = np.flatnonzero(np.diff(edges))
+    data = []
+    for a, b in zip(edges[full], edges[full + 1]):
+        data.append(_pack([np.diff(keys[a:b], prepend=np.uint64(0)), *[c[a:b] for c in columns]]))
+    ids = np.full(len(full), block, dtype=np.int64)
+    return pa.table([pa.array(ids), pa.array(full), pa.array(np.diff(edges)[full]), pa.array(data, pa.binary())], ["block", "shard", "n", "data"])
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    # Labels grow with the corpus, so the join is never planned as a broadcast, however few they are.
-    ids = trusted_ids(labels, True).hint("merge")
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    kept = kept.select("text")
-    spelling = surprise_table(count_runs(kept, spelled=True))
-    return Model(spelling, *word_model(count_pairs(kept, spelling)))
+def added(asked: DataFrame, width: int) -> DataFrame:
+    """The answers: for each list the sums of its keys' columns over all blocks, and whether the key is the block's own.
+
+    ``few`` has the number of the shard's different keys whose first column is 1, 2, 3, 4, at least 1, and that column's sum; it
+    stands with one of the shard's lists.
+    """
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
+        ns = table["n"].to_numpy()
+        found = [_unpack(d.as_buffer(), n, width + 1) for d, n in zip(table["data"], ns)]
+        keys = np.concatenate([np.cumsum(f[0], dtype=np.uint64) for f in found])
+        columns = np.concatenate([f[1:] for f in found], axis=1).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys, columns = keys[order], columns[:, order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[1:] != keys[:-1]
+        begin, group = np.flatnonzero(new), np.cumsum(new) - 1
+        sums = np.add.reduceat(columns, begin, axis=1)
+        # The first block, in order, that has counted the key.
+        has = np.flatnonzero(columns[0] > 0)
+        mine = has[np.unique(group[has], return_index=True)[1]]
+        own = np.zeros(len(keys), dtype=np.int64)
+        own[mine] = 1
+        answers = np.empty((width + 1, len(keys)), dtype=np.int64)
+        answers[:, order] = np.concatenate((sums[:, group], own[None]))
+        ends = np.cumsum(ns)
+        data = [_pack(list(answers[:, e - n : e])) for e, n in zip(ends, ns)]
+        few = [int((sums[0] == k).sum()) for k in (1, 2, 3, 4)] + [int((sums[0] > 0).sum()), int(sums[0].sum())]
+        fews = pa.array([few] + [None] * (len(ns) - 1), pa.list_(pa.int64()))
+        return pa.table([table["block"], table["shard"], table["n"], pa.array(data, pa.binary()), fews], ["block", "shard", "n", "data", "few"])
+
+    return asked.groupBy("shard").applyInArrow(add, f"{_LIST}, few array<long>")
+
+
+def _answer(table: pa.Table, width: int) -> np.ndarray:
+    """The columns of a block's answers, in the order of its keys."""
+    table = table.sort_by("shard")
+    found = [_unpack(d.as_buffer(), n, width + 1) for d, n in zip(table["data"], table["n"].to_pylist())]
+    return np.concatenate(found, axis=1).astype(np.int64) if found else np.zeros((width + 1, 0), np.int64)
+
+
+def few_of(answers: DataFrame) -> list[int]:
+    sums = answers.agg(*[F.coalesce(F.sum(F.col("few")[i]), F.lit(0)).alias(f"f{i}") for i in range(6)])
+    return list(sums.first())
 
 
 def row_key():
@@ -310,104 +282,196 @@ def row_key():
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
-def _packed(batch: pa.RecordBatch, model_table: np.ndarray, fallback: int, shards: int, piece: int) -> Iterator[pa.RecordBatch]:
-    """For each shard, the keys of a piece's pairs and words, their rows and counts. What the rows are, and their own parts, is in
-    the first shard alone, so the bytes don't grow with the number of shards."""
-    found = Sequences(batch.column("text"))
-    symbols, nats = found.spelled(model_table)
-
-    def own(x: np.ndarray) -> np.ndarray:
-        total = np.concatenate(([0], np.cumsum(x[found.which], dtype=np.int64)))
-        return np.diff(total[found.first]) + np.where(found.counts > 0, x[-1], 0)
-
-    base = own(nats) + np.where(found.counts > 0, found.counts + 1, 0) * fallback
-    at, row = found.pairs()
-    keys = np.concatenate((mix(found.hashes), pair_key(found.hashes[at - 1], found.hashes[at])))
-    rows = np.concatenate((found.rows, row))
-    order = np.argsort(keys, kind="stable")
-    keys, rows = keys[order], rows[order]
-    new = np.ones(len(keys), dtype=bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
-    begin = np.flatnonzero(new)
-    times = np.diff(np.append(begin, len(keys))).astype(np.uint32)
-    keys, rows = keys[begin], rows[begin].astype(np.uint32)
-    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
-    own_parts = np.stack((batch.column("row").to_numpy(), base, own(symbols))).astype(np.int64).tobytes()
-    full = [i for i in range(shards) if not i or edges[i] < edges[i + 1]]
-    data = [b"".join(x[edges[i] : edges[i + 1]].tobytes() for x in (keys, rows, times)) for i in full]
-    columns = [pa.array(full, pa.int64()), pa.array([piece] * len(full), pa.int64()), pa.array(data, pa.binary())]
-    columns.append(pa.array([b"" if i else own_parts for i in full], pa.binary()))
-    yield pa.RecordBatch.from_arrays(columns, names=["shard", "piece", "data", "own"])
-
-
-def _added(left: pa.Table, right: pa.Table) -> pa.Table:
-    """piece, at (its row), row (the document's key, null but in the first shard), micronats, n_symbols: what a shard adds."""
-    key = right["key"].to_numpy().view(np.uint64)
-    order = np.argsort(key)
-    key, value = key[order], right["value"].to_numpy()[order]
-    out: list[list[np.ndarray]] = [[], [], [], [], [], []]
-    for i in range(left.num_rows):
-        data, own = left["data"][i].as_buffer(), np.frombuffer(left["own"][i].as_buffer(), "i8").reshape(3, -1)
-        n = len(data) // 16
-        keys, rows, times = (np.frombuffer(data, t, n, o * n) for t, o in (("u8", 0), ("u4", 8), ("u4", 12)))
-        sums = np.zeros(max(own.shape[1], int(rows.max()) + 1 if n else 0), np.int64)
-        sums[: own.shape[1]] += own[1]
-        if len(key):
-            place = np.minimum(np.searchsorted(key, keys), len(key) - 1)
-            hit = key[place] == keys
-            np.add.at(sums, rows[hit], value[place[hit]] * times[hit].astype(np.int64))
-        known = own.shape[1] > 0
-        some = np.arange(len(sums)) if known else np.flatnonzero(sums)
-        pieces_ = np.full(len(some), left["piece"][i].as_py())
-        none = np.zeros(len(some), np.int64)
-        for column, x in zip(out, (pieces_, some, own[0] if known else none, np.full(len(some), known), sums[some], own[2] if known else none)):
-            column.append(x)
-    names = ["piece", "at", "row", "known", "micronats", "n_symbols"]
-    full = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
-    arrays = [pa.array(x.astype(np.int64), mask=~full[3].astype(bool) if c == "row" else None) for c, x in zip(names, full)]
-    return pa.table(dict(zip(names, arrays))).drop_columns(["known"])
-
-
-def packed_texts(docs: DataFrame, model: Model, shards: int) -> DataFrame:
-    """shard, piece, data and own of all documents, see :func:`_packed`."""
-    sent, fallback = docs.sparkSession.sparkContext.broadcast(model.spelling), model.fallback
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows as a table in the shared folder."""
+    path = fresh_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """block, data, and doc_id, lang and row (its key) of each of the block's rows."""
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), row_key().alias("row"), "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A task that is run again reads the same rows, so its pieces have the same numbers.
+        # Only one try of a task is committed, so a block's number is its own.
         first = TaskContext.get().partitionId() << 32
-        for number, batch in enumerate(pieces(batches)):
-            yield from _packed(batch, sent.value, fallback, shards, first + number)
+        for number, batch in enumerate(pieces(batches, most=BLOCK_BYTES)):
+            names = ["doc_id", "lang", "row"]
+            known = [pa.array([batch.column(c).to_pylist()], pa.list_(batch.schema.field(c).type)) for c in names]
+            data = pa.array([Sequences.of(batch.column("text")).packed()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([first + number]), data, *known], names=["block", "data", *names])
+
+    return kept.mapInArrow(pack, "block long, data binary, doc_id array<long>, lang array<string>, row array<long>")
+
+
+def trained_rows(encoded: DataFrame, labels: DataFrame) -> DataFrame:
+    """block and trained: the places of the block's rows that the model is trained on; only blocks that have such rows."""
+    rows = encoded.select("block", F.posexplode("doc_id").alias("at", "doc_id"))
+    # Labels grow with the corpus, so the join is never planned as a broadcast, however few they are.
+    rows = rows.join(trusted_ids(labels, True).hint("merge"), "doc_id", "left_semi")
+    return rows.groupBy("block").agg(F.collect_list("at").alias("trained"))
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Sequences, np.ndarray]]:
+    """The blocks of batches, and which of their rows the model is trained on."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            found = Sequences.unpacked(batch.column("data")[i].as_buffer())
+            trained = np.zeros(len(found.counts), dtype=bool)
+            if "trained" in batch.schema.names and batch.column("trained")[i].is_valid:
+                trained[batch.column("trained")[i].values.to_numpy()] = True
+            yield batch.column("block")[i].as_py(), found, trained
+    release()
+
+
+def count_runs(encoded: DataFrame, trained: DataFrame) -> DataFrame:
+    """gram (the run's code) and c, inside each word, and the end, of the texts that the model is trained on."""
 
-    made = "shard long, piece long, data binary, own binary"
-    return docs.select("text", row_key().alias("row")).mapInArrow(pack, made)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
+        for _, found, of in _each(batches):
+            texts, times = found.spellings(of)
+            code, offsets = runs(texts)
+            np.add.at(total, code, np.repeat(times, np.diff(offsets)))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "c"])
+
+    every = encoded.select("block", "data").join(trained.hint("shuffle_hash"), "block")
+    return every.mapInArrow(count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def row_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """row (its key), n_symbols and micronats of every document."""
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def ask_pairs(encoded: DataFrame, trained: DataFrame, shards: int) -> DataFrame:
+    """The pairs of all blocks with the number of times that the model is trained on them."""
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alone = batch.column("w1").is_null().to_numpy(zero_copy_only=False)
-            first = batch.column("w1").fill_null(0).to_numpy().view(np.uint64)
-            second = batch.column("w2").to_numpy().view(np.uint64)
-            key = np.where(alone, mix(second), pair_key(first, second))
-            columns = [pa.array(shard_of(key, shards)), pa.array(key.view(np.int64)), batch.column("value")]
-            yield pa.RecordBatch.from_arrays(columns, names=["shard", "key", "value"])
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, found, of in _each(batches):
+            keys, _, _, which, rows = found.pairs()
+            counts = np.bincount(which[of[rows]], minlength=len(keys))
+            yield from lists(block, keys, [counts], shards).to_batches()
 
-    left = packed_texts(docs, model, shards)
-    right = model.values.mapInArrow(keyed, "shard long, key long, value long")
-    met = left.groupBy("shard").cogroup(right.groupBy("shard"))
-    added = met.applyInArrow(_added, "piece long, at long, row long, micronats long, n_symbols long")
-    each = added.groupBy("piece", "at").agg(F.max("row").alias("row"), *[F.sum(c).alias(c) for c in ("micronats", "n_symbols")])
-    # Equal rows have equal scores.
-    return each.groupBy("row").agg(*[F.max(c).alias(c) for c in ("n_symbols", "micronats")])
+    every = encoded.select("block", "data").join(trained.hint("shuffle_hash"), "block", "left")
+    return every.mapInArrow(ask, _LIST)
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang, n_symbols and micronats of every document, and row, its key."""
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), row_key().alias("row"))
-    return kept.join(row_scores(docs, model).hint("merge"), "row")
+def ask_words(encoded: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
+    """The words of all blocks. Of the block's own pairs: before the word (their number), after it (their counts' sum, and the
+    number of those with a count of 1, 2 and more)."""
+
+    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for block, found, _ in _each(left.to_batches()):
+            _, first, second, _, _ = found.pairs()
+            c, own = _answer(right, 1)
+            size, own = len(found.hashes), own > 0
+            f, s, c = first[own], second[own], c[own]
+            after = np.zeros(size, dtype=np.int64)
+            np.add.at(after, f, c)
+            kinds = [np.bincount(f[k], minlength=size) for k in (c == 1, c == 2, c > 2)]
+            keys = mix(found.hashes)
+            order = np.argsort(keys)
+            columns = [x[order] for x in (np.bincount(s, minlength=size), after, *kinds)]
+            out.append(lists(block, keys[order], columns, shards))
+        return pa.concat_tables(out) if out else lists(0, np.zeros(0, np.uint64), [], 1)
+
+    asked = encoded.select("block", "data").groupBy("block").cogroup(answers.select("block", "shard", "n", "data").groupBy("block"))
+    return asked.applyInArrow(ask, _LIST)
+
+
+def discounts(n: dict[int, int]) -> tuple[float, float, float]:
+    """The discounts for counts 1, 2 and 3 or more, from how many runs were counted 1, 2, 3 and 4 times."""
+    n1, n2, n3, n4 = (n.get(k, 0) for k in (1, 2, 3, 4))
+    if not n1 or not n2:
+        return 0.5, 0.75, 0.9
+    y = n1 / (n1 + 2 * n2)
+    found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 0.9)
+    return tuple(min(max(d, 0.05), k) for d, k in zip(found, (0.95, 1.9, 2.9)))
+
+
+def surprise_table(counts: DataFrame) -> np.ndarray:
+    """Micronats of every run, seen or not: SYMBOLS ** ORDER whole numbers, whatever the size of the corpus."""
+    found = counts.toArrow()
+    level = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
+    level[found["gram"].to_numpy()] = found["c"].to_numpy()
+    levels = [level]
+    for _ in range(ORDER - 1):
+        levels.append((levels[-1].reshape(SYMBOLS, -1) > 0).sum(axis=0))
+    below = np.full(1, 1.0 / SYMBOLS)
+    for level in reversed(levels):
+        c = level.reshape(-1, SYMBOLS)
+        minus = _minus(c, discounts({k: int((c == k).sum()) for k in (1, 2, 3, 4)}))
+        total = c.sum(axis=1, keepdims=True)
+        some = np.maximum(total, 1)
+        gamma = np.where(total > 0, minus.sum(axis=1, keepdims=True) / some, 1.0)
+        below = ((c - minus) / some + gamma * np.tile(below, c.size // len(below)).reshape(c.shape)).ravel()
+    return np.round(-1e6 * np.log(np.maximum(below, 1e-12))).astype(np.int32)
+
+
+def _minus(c: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    """The discount of each count."""
+    return np.array((0.0, *d))[np.minimum(c, 3)]
+
+
+@dataclass
+class Fallbacks:
+    """Discounts of pairs and of words, what the words leave to the spelling, and the number of different trained pairs."""
+
+    d2: tuple[float, float, float]
+    d1: tuple[float, float, float]
+    left: float
+    types: int
+
+
+def pair_nats(first: np.ndarray, second: np.ndarray, c: np.ndarray, words: np.ndarray, spelled: np.ndarray, to: Fallbacks) -> np.ndarray:
+    """Micronats of each different pair, from its count and the five sums of each word."""
+    before, after, *kinds = words
+    some = np.maximum(after, 1)
+    gamma = np.where(after > 0, sum(k * d for k, d in zip(kinds, to.d2)) / some, 1.0)
+    below = (before - _minus(before, to.d1)) / max(to.types, 1) + to.left * np.exp(-spelled / 1e6)
+    prob = (c - _minus(c, to.d2)) / some[first] + gamma[first] * below[second]
+    # A long unknown word's probability may be too small for a double, its logarithm isn't.
+    unknown = (c == 0) & (before[second] == 0)
+    log = np.log(np.where(unknown, gamma[first] * to.left, prob))
+    return np.round(np.where(unknown, spelled[second], 0) - 1e6 * log).astype(np.int64)
+
+
+def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, lang, row (its key), n_symbols and micronats of every document."""
+    encoded = _stored(blocks(docs), "word-blocks")
+    shards = max(1, min(encoded.count() // 2, SHARDS))
+    trained = cut(trained_rows(encoded, labels))
+    table = surprise_table(count_runs(encoded, trained))
+    pairs = _stored(added(ask_pairs(encoded, trained, shards), 1), "pair-counts")
+    n1, n2, n3, n4, _, _ = few_of(pairs)
+    d2 = discounts({1: n1, 2: n2, 3: n3, 4: n4})
+    words = _stored(added(ask_words(encoded, pairs, shards), 5), "word-counts")
+    n1, n2, n3, n4, kinds, types = few_of(words)
+    d1 = discounts({1: n1, 2: n2, 3: n3, 4: n4})
+    left = (n1 * d1[0] + n2 * d1[1] + (kinds - n1 - n2) * d1[2]) / types if types else 1.0
+    to = Fallbacks(d2, d1, left, types)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+
+    def score(one: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for _, found, _ in _each(one.to_batches()):
+            kind = answers["kind"].to_numpy()
+            _, first, second, which, rows = found.pairs()
+            c = _answer(answers.filter(pa.array(kind == 2)), 1)[0]
+            order = np.argsort(mix(found.hashes))
+            sums = np.empty((5, len(order)), dtype=np.int64)
+            sums[:, order] = _answer(answers.filter(pa.array(kind == 1)), 5)[:5]
+            symbols, spelled = found.spelled(sent.value)
+            nats = pair_nats(first, second, c, sums, spelled, to)
+            full = [found.sums(symbols[found.ids], found.rows), found.sums(nats[which], rows)]
+            known = [one[c].combine_chunks().flatten() for c in ("doc_id", "lang", "row")]
+            out.append(pa.table([*known, *[pa.array(x) for x in full]], ["doc_id", "lang", "row", "n_symbols", "micronats"]))
+        return pa.concat_tables(out)
+
+    both = pairs.select("block", "shard", "n", "data", F.lit(2).alias("kind")).unionByName(
+        words.select("block", "shard", "n", "data", F.lit(1).alias("kind"))
+    )
+    met = encoded.groupBy("block").cogroup(both.groupBy("block"))
+    return met.applyInArrow(score, "doc_id long, lang string, row long, n_symbols long, micronats long")
 
 
 def _lowered(micronats: str = "micronats", n: str = "n_symbols"):
@@ -443,7 +507,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
 
 
 def _judged(docs: DataFrame, labels: DataFrame, quantile: float) -> DataFrame:
-    scored = cut(scores(docs, train(docs, labels)))
+    scored = cut(scores(docs, labels))
     limits = cut(thresholds(scored, labels, quantile))
     own = limits.where("lang_known").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own"))
     other = limits.where("NOT lang_known").agg(F.max("limit")).first()[0]
