@@ -31,6 +31,7 @@ nothing is rejected. An empty table gives no rows. Long texts are scored whole;
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,6 +56,7 @@ TRAINED = 4
 _BIN = 1000
 BLOCK_BYTES = 4 << 20
 SHARDS = 4096
+BUCKETS = 1 << 14
 
 _DROP = 255
 _CLASS = np.full(256, 31, dtype=np.uint8)
@@ -289,6 +291,21 @@ def _stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def stored_blocks(docs: DataFrame) -> Iterator[DataFrame]:
+    """The blocks of documents as a table in the shared folder, in buckets by block, so that what is known of a block comes to
+    it and blocks are never shuffled. The catalog knows the table as long as it is in use."""
+    spark = docs.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(docs.rdd.getNumPartitions(), BUCKETS))
+    path = fresh_dir(spark, "word-blocks")
+    name = "word_blocks_" + path.rsplit("-", 1)[1]
+    blocks(docs).write.format("parquet").option("path", path).bucketBy(buckets, "block").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """block, data, and doc_id, lang and row (its key) of each of the block's rows."""
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), row_key().alias("row"), "text")
@@ -437,7 +454,12 @@ def pair_nats(first: np.ndarray, second: np.ndarray, c: np.ndarray, words: np.nd
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, row (its key), n_symbols and micronats of every document."""
-    encoded = _stored(blocks(docs), "word-blocks")
+    with stored_blocks(docs) as encoded:
+        return cut(block_scores(encoded, labels))
+
+
+def block_scores(encoded: DataFrame, labels: DataFrame) -> DataFrame:
+    """The scores of the rows of all blocks."""
     shards = max(1, min(encoded.count() // 2, SHARDS))
     trained = cut(trained_rows(encoded, labels))
     table = surprise_table(count_runs(encoded, trained))
@@ -449,7 +471,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     d1 = discounts({1: n1, 2: n2, 3: n3, 4: n4})
     left = (n1 * d1[0] + n2 * d1[1] + (kinds - n1 - n2) * d1[2]) / types if types else 1.0
     to = Fallbacks(d2, d1, left, types)
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    sent = encoded.sparkSession.sparkContext.broadcast(table)
 
     def score(one: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
@@ -507,7 +529,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> Dat
 
 
 def _judged(docs: DataFrame, labels: DataFrame, quantile: float) -> DataFrame:
-    scored = cut(scores(docs, labels))
+    scored = scores(docs, labels)
     limits = cut(thresholds(scored, labels, quantile))
     own = limits.where("lang_known").select(F.col("lang").alias("_lang"), F.col("limit").alias("_own"))
     other = limits.where("NOT lang_known").agg(F.max("limit")).first()[0]
