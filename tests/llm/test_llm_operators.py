@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -712,3 +713,54 @@ def test_thresholds_lean_on_all_languages_by_their_number(spark):
     if (True, "few") in got:
         n = sum(1 for r in kneser.trusted_ids(labels, False).collect() if r.doc_id >= 5000)
         assert got[(True, "few")] == pytest.approx((n * (low + 2e6) + kneser.PRIOR * low) / (n + kneser.PRIOR) + plus, abs=2000)
+
+
+# ---- the classifier's disk -----------------------------------------------------------------------------------------
+def shuffled(spark):
+    """Shuffle files on this machine."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_what_a_round_has_shuffled_is_removed(spark, docs, monkeypatch):
+    """No list that blocks have sent to shards is on disk any more when the next round begins, or when the counts are read."""
+    monkeypatch.setattr(kneser, "BLOCK_BYTES", 500)
+    df, labels = docs(*corpus(n=60)), trusting(spark, range(60))
+    before, seen = [], []
+
+    def watched(f):
+        def call(*args, **kwargs):
+            if not before:
+                before.append(shuffled(spark))  # what was there when the first round began
+            # Files are removed in the background.
+            until = time.time() + 10
+            while (left := shuffled(spark) - before[0]) and time.time() < until:
+                time.sleep(0.1)
+            seen.append(left)
+            return f(*args, **kwargs)
+
+        return call
+
+    for name in ("added", "few_of"):
+        monkeypatch.setattr(kneser, name, watched(getattr(kneser, name)))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name)
+    assert kneser.scores(df, labels).count() == df.count()
+    assert len(seen) == 2 * kneser.ROUNDS + 2 and not any(seen)
+    assert spark.conf.get(name) == was
+
+
+def test_rounds_ask_all_shards_once(spark, docs, monkeypatch):
+    for shards in (1, 2, 3, 4, 5, 23, kneser.SHARDS):
+        found = kneser.rounds(shards)
+        assert [s for of in found for s in of] == list(range(shards)) and len(found) == min(shards, kneser.ROUNDS) and all(found)
+    monkeypatch.setattr(kneser, "BLOCK_BYTES", 500)
+    blocks, trained = encoded(docs(*corpus(n=60)), trusting(spark, range(60)))
+    columns = lambda df: Counter((r.block, r.shard, r.n, bytes(r.data)) for r in df.collect())
+    whole, parts = columns(kneser.ask_pairs(blocks, trained, 7)), Counter()
+    for of in kneser.rounds(7):
+        part = columns(kneser.ask_pairs(blocks, trained, 7, of))
+        assert part and {shard for _, shard, _, _ in part} <= set(of)
+        parts += part
+    assert parts == whole

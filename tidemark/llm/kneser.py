@@ -13,9 +13,10 @@ are joined by shard of a 64-bit hash: each block sends each shard its different
 their trained counts; the shard adds the counts of all blocks up and answers each block, in the order in which it has asked, so no
 key and no row's id travels back. Of the blocks that have trained on a pair one is told that the pair is its own, so that
 block counts it for its two words: once before the second, and with its count after the first. These sums go through shards in
-the same way. Then a block has what it needs to score its texts. A frequent pair or word is one entry a block, however often it
-occurs. A shard has the keys of about two blocks, up to ``SHARDS`` shards. Only the spellings' SYMBOLS ** ORDER = 1,048,576 runs
-are sent to the tasks, four megabytes. A pair's surprise is a whole number of micronats, so sums are the same in any order.
+the same way. Then a block has what it needs to score its texts. All this goes in ``ROUNDS`` rounds: in each a part of the shards
+is asked, or of the blocks scored, and what it has shuffled is removed when it ends, so the lists are never all on disk at once.
+A frequent pair or word is one entry a block, however often it occurs. A shard has the keys of about two blocks, up to
+``SHARDS`` shards. Only the spellings' SYMBOLS ** ORDER = 1,048,576 runs are sent to the tasks, four megabytes. A pair's surprise is a whole number of micronats, so sums are the same in any order.
 
 A document's score is its mean surprise for a symbol (a word's, and one for each word's end and the text's); its perplexity is
 exp of it. A language's threshold is the ``QUANTILE`` over its unseen trusted documents of surprise less SLACK /
@@ -33,6 +34,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import cut
 from tidemark.llm.text import WHITE, Words, buffers, mix, pieces, release, word_hashes, words_of
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, shuffles_removed
 
 ORDER = 4
 BITS = 5
@@ -57,6 +59,8 @@ _BIN = 1000
 BLOCK_BYTES = 4 << 20
 SHARDS = 4096
 BUCKETS = 1 << 14
+# The shards are asked, and the blocks scored, in so many rounds; what a round has shuffled is removed before the next.
+ROUNDS = 4
 
 _DROP = 255
 _CLASS = np.full(256, 31, dtype=np.uint8)
@@ -176,16 +180,18 @@ class Sequences:
         found = np.diff(offsets), np.diff(nats) + np.diff(within) - _WITHIN[0x20]
         return tuple(np.insert(x, self.start, 0) for x in found)
 
+    def pair_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """The place of the second of each pair of words, and the pair's key."""
+        at = np.flatnonzero(self.ids != self.start)
+        return at, mix((mix(self.hashes) * _PAIR)[self.ids[at - 1]] + self.hashes[self.ids[at]])
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Keys of the different pairs, in order, their first and second numbers; for each pair of words which it is, and its row."""
-        at = np.flatnonzero(self.ids != self.start)
-        code, which = np.unique(self.ids[at - 1] * len(self.hashes) + self.ids[at], return_inverse=True)
-        first, second = np.divmod(code, len(self.hashes))
-        keys = mix(mix(self.hashes[first]) * _PAIR + self.hashes[second])
-        order = np.argsort(keys)
-        number = np.empty(len(order), dtype=np.int64)
-        number[order] = np.arange(len(order))
-        return keys[order], first[order], second[order], number[which], self.rows[at]
+        at, every = self.pair_keys()
+        keys, which = np.unique(every, return_inverse=True)
+        one = np.empty(len(keys), dtype=np.int64)
+        one[which] = at
+        return keys, self.ids[one - 1], self.ids[one], which, self.rows[at]
 
     def sums(self, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """The sum of whole numbers over each row; ``rows`` ascend."""
@@ -221,19 +227,27 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 _LIST = "block long, shard long, n long, data binary"
 
 
-def lists(block: int, keys: np.ndarray, columns: list[np.ndarray], shards: int) -> pa.Table:
-    """One row for each shard that has some of the block's sorted keys."""
-    edges = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1))
+def rounds(shards: int) -> list[range]:
+    """All shards, in parts of nearly one size: ``ROUNDS``, or as many as there are shards."""
+    edges = np.linspace(0, shards, min(ROUNDS, shards) + 1).astype(int).tolist()
+    return [range(a, b) for a, b in zip(edges, edges[1:])]
+
+
+def lists(block: int, keys: np.ndarray, columns: list[np.ndarray], shards: int, of: range | None = None) -> pa.Table:
+    """One row for each shard, among those ``of`` has, that has some of the block's sorted keys."""
+    of = range(shards) if of is None else of
+    edges = np.searchsorted(shard_of(keys, shards), np.arange(of.start, of.stop + 1))
     full = np.flatnonzero(np.diff(edges))
     data = []
     for a, b in zip(edges[full], edges[full + 1]):
         data.append(_pack([np.diff(keys[a:b], prepend=np.uint64(0)), *[c[a:b] for c in columns]]))
     ids = np.full(len(full), block, dtype=np.int64)
-    return pa.table([pa.array(ids), pa.array(full), pa.array(np.diff(edges)[full]), pa.array(data, pa.binary())], ["block", "shard", "n", "data"])
+    return pa.table([pa.array(ids), pa.array(full + of.start), pa.array(np.diff(edges)[full]), pa.array(data, pa.binary())], ["block", "shard", "n", "data"])
 
 
-def added(asked: DataFrame, width: int) -> DataFrame:
-    """The answers: for each list the sums of its keys' columns over all blocks, and whether the key is the block's own.
+def added(asked: DataFrame, width: int, owned: bool = False) -> DataFrame:
+    """The answers: for each list the sums of its keys' columns over all blocks. With ``owned`` the first is twice its sum, and one
+    more if the key is the block's own.
 
     ``few`` has the number of the shard's different keys whose first column is 1, 2, 3, 4, at least 1, and that column's sum; it
     stands with one of the shard's lists.
@@ -251,13 +265,14 @@ def added(asked: DataFrame, width: int) -> DataFrame:
         new[1:] = keys[1:] != keys[:-1]
         begin, group = np.flatnonzero(new), np.cumsum(new) - 1
         sums = np.add.reduceat(columns, begin, axis=1)
-        # The first block, in order, that has counted the key.
-        has = np.flatnonzero(columns[0] > 0)
-        mine = has[np.unique(group[has], return_index=True)[1]]
-        own = np.zeros(len(keys), dtype=np.int64)
-        own[mine] = 1
-        answers = np.empty((width + 1, len(keys)), dtype=np.int64)
-        answers[:, order] = np.concatenate((sums[:, group], own[None]))
+        answers = np.empty((width, len(keys)), dtype=np.int64)
+        answers[:, order] = sums[:, group]
+        if owned:
+            # The first block, in order, that has counted the key.
+            has = np.flatnonzero(columns[0] > 0)
+            mine = has[np.unique(group[has], return_index=True)[1]]
+            answers[0] *= 2
+            answers[0, order[mine]] += 1
         ends = np.cumsum(ns)
         data = [_pack(list(answers[:, e - n : e])) for e, n in zip(ends, ns)]
         few = [int((sums[0] == k).sum()) for k in (1, 2, 3, 4)] + [int((sums[0] > 0).sum()), int(sums[0].sum())]
@@ -270,8 +285,8 @@ def added(asked: DataFrame, width: int) -> DataFrame:
 def _answer(table: pa.Table, width: int) -> np.ndarray:
     """The columns of a block's answers, in the order of its keys."""
     table = table.sort_by("shard")
-    found = [_unpack(d.as_buffer(), n, width + 1) for d, n in zip(table["data"], table["n"].to_pylist())]
-    return np.concatenate(found, axis=1).astype(np.int64) if found else np.zeros((width + 1, 0), np.int64)
+    found = [_unpack(d.as_buffer(), n, width) for d, n in zip(table["data"], table["n"].to_pylist())]
+    return np.concatenate(found, axis=1).astype(np.int64) if found else np.zeros((width, 0), np.int64)
 
 
 def few_of(answers: DataFrame) -> list[int]:
@@ -284,11 +299,13 @@ def row_key():
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The same rows as a table in the shared folder."""
-    path = fresh_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _stored(parts: Iterator[DataFrame], purpose: str) -> DataFrame:
+    """The rows of all parts as a table in the shared folder. A part is written, and what it has shuffled removed, before the next."""
+    path = None
+    for part in parts:
+        path = path or fresh_dir(part.sparkSession, purpose)
+        part.write.mode("append").parquet(path)
+    return part.sparkSession.read.parquet(path)
 
 
 @contextmanager
@@ -358,28 +375,32 @@ def count_runs(encoded: DataFrame, trained: DataFrame) -> DataFrame:
     return every.mapInArrow(count, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def ask_pairs(encoded: DataFrame, trained: DataFrame, shards: int) -> DataFrame:
-    """The pairs of all blocks with the number of times that the model is trained on them."""
+def ask_pairs(encoded: DataFrame, trained: DataFrame, shards: int, of: range | None = None) -> DataFrame:
+    """The pairs of all blocks with the number of times that the model is trained on them; ``of``: of these shards."""
+    of = range(shards) if of is None else of
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, found, of in _each(batches):
-            keys, _, _, which, rows = found.pairs()
-            counts = np.bincount(which[of[rows]], minlength=len(keys))
-            yield from lists(block, keys, [counts], shards).to_batches()
+        for block, found, trained_on in _each(batches):
+            at, keys = found.pair_keys()
+            shard = shard_of(keys, shards)
+            inside = (shard >= of.start) & (shard < of.stop)
+            keys, which = np.unique(keys[inside], return_inverse=True)
+            counts = np.bincount(which[trained_on[found.rows[at[inside]]]], minlength=len(keys))
+            yield from lists(block, keys, [counts], shards, of).to_batches()
 
     every = encoded.select("block", "data").join(trained.hint("shuffle_hash"), "block", "left")
     return every.mapInArrow(ask, _LIST)
 
 
-def ask_words(encoded: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
-    """The words of all blocks. Of the block's own pairs: before the word (their number), after it (their counts' sum, and the
-    number of those with a count of 1, 2 and more)."""
+def ask_words(encoded: DataFrame, answers: DataFrame, shards: int, of: range | None = None) -> DataFrame:
+    """The words of all blocks; ``of``: of these shards. Of the block's own pairs: before the word (their number), after it (their
+    counts' sum, and the number of those with a count of 1, 2 and more)."""
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for block, found, _ in _each(left.to_batches()):
             _, first, second, _, _ = found.pairs()
-            c, own = _answer(right, 1)
+            c, own = np.divmod(_answer(right, 1)[0], 2)
             size, own = len(found.hashes), own > 0
             f, s, c = first[own], second[own], c[own]
             after = np.zeros(size, dtype=np.int64)
@@ -388,7 +409,7 @@ def ask_words(encoded: DataFrame, answers: DataFrame, shards: int) -> DataFrame:
             keys = mix(found.hashes)
             order = np.argsort(keys)
             columns = [x[order] for x in (np.bincount(s, minlength=size), after, *kinds)]
-            out.append(lists(block, keys[order], columns, shards))
+            out.append(lists(block, keys[order], columns, shards, of))
         return pa.concat_tables(out) if out else lists(0, np.zeros(0, np.uint64), [], 1)
 
     asked = encoded.select("block", "data").groupBy("block").cogroup(answers.select("block", "shard", "n", "data").groupBy("block"))
@@ -454,19 +475,19 @@ def pair_nats(first: np.ndarray, second: np.ndarray, c: np.ndarray, words: np.nd
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, row (its key), n_symbols and micronats of every document."""
-    with stored_blocks(docs) as encoded:
-        return cut(block_scores(encoded, labels))
+    with shuffles_removed(docs.sparkSession), stored_blocks(docs) as encoded:
+        return block_scores(encoded, labels)
 
 
 def block_scores(encoded: DataFrame, labels: DataFrame) -> DataFrame:
-    """The scores of the rows of all blocks."""
+    """The scores of the rows of all blocks, kept in the shared folder."""
     shards = max(1, min(encoded.count() // 2, SHARDS))
     trained = cut(trained_rows(encoded, labels))
     table = surprise_table(count_runs(encoded, trained))
-    pairs = _stored(added(ask_pairs(encoded, trained, shards), 1), "pair-counts")
+    pairs = _stored((added(ask_pairs(encoded, trained, shards, of), 1, owned=True) for of in rounds(shards)), "pair-counts")
     n1, n2, n3, n4, _, _ = few_of(pairs)
     d2 = discounts({1: n1, 2: n2, 3: n3, 4: n4})
-    words = _stored(added(ask_words(encoded, pairs, shards), 5), "word-counts")
+    words = _stored((added(ask_words(encoded, pairs, shards, of), 5) for of in rounds(shards)), "word-counts")
     n1, n2, n3, n4, kinds, types = few_of(words)
     d1 = discounts({1: n1, 2: n2, 3: n3, 4: n4})
     left = (n1 * d1[0] + n2 * d1[1] + (kinds - n1 - n2) * d1[2]) / types if types else 1.0
@@ -478,10 +499,10 @@ def block_scores(encoded: DataFrame, labels: DataFrame) -> DataFrame:
         for _, found, _ in _each(one.to_batches()):
             kind = answers["kind"].to_numpy()
             _, first, second, which, rows = found.pairs()
-            c = _answer(answers.filter(pa.array(kind == 2)), 1)[0]
+            c = _answer(answers.filter(pa.array(kind == 2)), 1)[0] // 2
             order = np.argsort(mix(found.hashes))
             sums = np.empty((5, len(order)), dtype=np.int64)
-            sums[:, order] = _answer(answers.filter(pa.array(kind == 1)), 5)[:5]
+            sums[:, order] = _answer(answers.filter(pa.array(kind == 1)), 5)
             symbols, spelled = found.spelled(sent.value)
             nats = pair_nats(first, second, c, sums, spelled, to)
             full = [found.sums(symbols[found.ids], found.rows), found.sums(nats[which], rows)]
@@ -492,8 +513,13 @@ def block_scores(encoded: DataFrame, labels: DataFrame) -> DataFrame:
     both = pairs.select("block", "shard", "n", "data", F.lit(2).alias("kind")).unionByName(
         words.select("block", "shard", "n", "data", F.lit(1).alias("kind"))
     )
-    met = encoded.groupBy("block").cogroup(both.groupBy("block"))
-    return met.applyInArrow(score, "doc_id long, lang string, row long, n_symbols long, micronats long")
+    parts = len(rounds(shards))
+    scored = []
+    for k in range(parts):
+        mine = F.pmod(F.xxhash64("block"), F.lit(parts)) == k
+        met = encoded.where(mine).groupBy("block").cogroup(both.where(mine).groupBy("block"))
+        scored.append(cut(met.applyInArrow(score, "doc_id long, lang string, row long, n_symbols long, micronats long")))
+    return reduce(DataFrame.unionByName, scored)
 
 
 def _lowered(micronats: str = "micronats", n: str = "n_symbols"):
